@@ -23,7 +23,7 @@ from tillwork.functions.text import lexicon_score  # noqa: E402
 from tillwork.operators import nesting, quality  # noqa: E402
 from tillwork.plans import customers, gold, orders, reports, silver  # noqa: E402
 from tillwork.plans.driver_tables import DriverTables  # noqa: E402
-from tillwork.session import new_folder  # noqa: E402
+from tillwork.session import new_folder, use_scale_settings  # noqa: E402
 from tillwork.sinks import tables  # noqa: E402
 from tillwork.sources import files  # noqa: E402
 
@@ -156,7 +156,7 @@ def _preferences_roundtrip(t: DriverTables) -> DataFrame:
     fields = {"preference_type": "type", "preference_value": "value"}
     records = nesting.nest_children(t.preferences, "customer_id", fields, "preference")
     records.select("customer_id", "preference").write.options(rootTag="customers", rowTag="customer").xml(path)
-    return files.read_preferences(t.spark, path).select("customer_id", "preference_type", "preference_value")
+    return files.read_preferences(t.spark, path, "records").select("customer_id", "preference_type", "preference_value")
 
 
 def _specifications_roundtrip(t: DriverTables) -> DataFrame:
@@ -304,7 +304,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build: Callable[[DriverTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: _plain(build(DriverTables(spark, folder)))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            use_scale_settings(spark)
+            return _plain(build(DriverTables(spark, folder)))
+
+        return run
 
     return {name: bound(build) for name, build in _QUERIES.items()}
 

@@ -274,7 +274,8 @@ _BODIES = {
         SELECT category, CAST(sum(price) AS DOUBLE) / count(price) AS avg_price, CAST(min(price) AS DOUBLE) AS min_price,
                CAST(max(price) AS DOUBLE) AS max_price FROM prod GROUP BY category""",
     "kpi_summary": """
-        SELECT 'total_revenue' AS kpi, sum(total_revenue) AS value FROM (SELECT total_revenue FROM top_cat WHERE metric = 'revenue' ORDER BY 1)
+        SELECT 'total_revenue' AS kpi, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS value
+        FROM top_cat WHERE metric = 'revenue'
         UNION ALL SELECT 'total_orders', CAST(sum(total_orders) AS DOUBLE) FROM top_cat WHERE metric = 'revenue'
         UNION ALL SELECT 'avg_order_value', list_reduce(list_sort(list(avg_order_value)), lambda a, b: a + b) / count(avg_order_value)
                   FROM top_cat WHERE metric = 'revenue'

@@ -1,0 +1,82 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tillwork.plans import reports
+from tillwork.sinks.csv_export import export_csv
+from tillwork.sinks.tables import append_rows, overwrite_table, replace_rows, write_many
+from tillwork.sources.files import read_preference_counts
+
+
+def _numbers(spark, low, high):
+    return spark.range(low, high).withColumn("text", F.col("id").cast("string"))
+
+
+def _failing(df):
+    return df.withColumn("id", F.when(F.col("id") > 5, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+
+
+def test_overwrite_replaces_rows_and_schema(spark, rows):
+    assert overwrite_table(_numbers(spark, 0, 10), "over") == 10
+    assert overwrite_table(spark.range(3).withColumnRenamed("id", "other"), "over") == 3
+    assert spark.table("over").columns == ["other"]
+    assert not spark.catalog.tableExists("over__new") and not spark.catalog.tableExists("over__old")
+
+
+def test_a_table_may_be_replaced_from_itself(spark, rows):
+    overwrite_table(_numbers(spark, 0, 4), "selfread")
+    overwrite_table(spark.table("selfread").where("id > 1"), "selfread")
+    assert rows(spark.table("selfread")) == [(2, "2"), (3, "3")]
+
+
+@pytest.mark.parametrize("write", [overwrite_table, replace_rows])
+def test_a_failed_job_keeps_the_old_rows(spark, rows, write):
+    name = f"kept_{write.__name__}"
+    write(_numbers(spark, 0, 2), name)
+    with pytest.raises(PySparkException):
+        write(_failing(_numbers(spark, 0, 10)), name)
+    assert rows(spark.table(name)) == [(0, "0"), (1, "1")]
+
+
+def test_an_interrupted_swap_is_repaired(spark, rows):
+    overwrite_table(_numbers(spark, 0, 2), "halfway")
+    spark.sql("ALTER TABLE halfway RENAME TO halfway__old")
+    with pytest.raises(PySparkException):
+        overwrite_table(_failing(_numbers(spark, 0, 10)), "halfway")
+    assert rows(spark.table("halfway")) == [(0, "0"), (1, "1")]
+
+
+def test_replace_rows_keeps_the_schema(spark, rows):
+    replace_rows(_numbers(spark, 0, 3), "fixed")
+    replace_rows(spark.createDataFrame([(7, 5)], "TEXT int, id int"), "fixed")
+    assert spark.table("fixed").dtypes == [("id", "bigint"), ("text", "string")]
+    assert rows(spark.table("fixed")) == [(5, "7")]
+    with pytest.raises(ValueError):
+        replace_rows(spark.range(1), "fixed")
+
+
+def test_append_and_write_many(spark, rows):
+    append_rows(spark.range(2), "log")
+    append_rows(spark.range(2), "log")
+    assert spark.table("log").count() == 4
+    many = {f"many_{n}": _numbers(spark, 0, n).withColumnRenamed("text", "'TEXT'") for n in (3, 1, 2)}
+    assert write_many(many, degree=2) == [3, 1, 2]
+    assert spark.table("many_3").columns == ["id", "text"]
+    assert write_many({}) == []
+
+
+def test_csv_export_round_trip(spark, tmp_path, rows):
+    data = [("Colour", 'de"ep, blue')] * 3 + [("Size", "L\nXL")] * 2 + [("A", None)]
+    preferences = spark.createDataFrame(data, "preference_type string, preference_value string")
+    path = str(tmp_path / "out")
+    reports.export_top_preferences(preferences, path)
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+    assert (next((tmp_path / "out").glob("*.csv"))).read_text().startswith("preference,count\n")
+    plain = spark.createDataFrame([("Colour", 'de"ep, blue')] * 3 + [("A", None)], preferences.schema)
+    reports.export_top_preferences(plain, path)
+    assert rows(read_preference_counts(spark, path)) == [(None, 1), ('Colour - de"ep, blue', 3)]
+
+
+def test_csv_export_is_bounded(spark, tmp_path):
+    with pytest.raises(ValueError):
+        export_csv(spark.range(5), str(tmp_path / "big"), 1_000_000)

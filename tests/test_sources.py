@@ -1,0 +1,205 @@
+import datetime as dt
+import json
+import sqlite3
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwork import schemas
+from tillwork.plans import bronze
+from tillwork.sources import files
+from tillwork.sources.databases import DIALECTS, DatabaseSource, HashSplit, RangeSplit, hash_predicates, read_table
+from tillwork.sources.dbapi import key_ranges, read_dbapi
+
+REVIEWS = [
+    {
+        "review_id": "R1", "product_id": "P1", "customer_id": 7, "rating": 4.5, "title": "t, [x]", "content": "a}, {b",
+        "date": "2025-01-02", "verified_purchase": True, "helpful_votes": 12,
+        "aspects": [{"name": "Quality", "rating": 4}, {"name": "Battery Life", "rating": 3.5}],
+    },
+    {
+        "review_id": "R2", "product_id": "P1", "customer_id": "C2", "rating": "3", "title": "t", "content": None,
+        "date": "2025-01-03", "verified_purchase": "false", "helpful_votes": "0", "aspects": [],
+    },
+    {"review_id": "R3", "rating": 2.4, "aspects": {"name": "Quality", "rating": 1}},
+]
+
+EXPECTED_REVIEWS = [
+    ("R1", "P1", "7", Decimal(5), "t, [x]", "a}, {b", dt.date(2025, 1, 2), "true", 12, [("Quality", 4.0), ("Battery Life", 3.5)]),
+    ("R2", "P1", "C2", Decimal(3), "t", None, dt.date(2025, 1, 3), "false", 0, []),
+    ("R3", None, None, Decimal(2), None, None, None, None, None, [("Quality", 1.0)]),
+]
+
+
+def _plain_rows(df):
+    return sorted(
+        (
+            tuple(
+                [tuple(one) for one in value] if isinstance(value, list) else value for value in row
+            )
+            for row in df.collect()
+        ),
+        key=str,
+    )
+
+
+@pytest.mark.parametrize(
+    ("layout", "text"),
+    [
+        ("document", json.dumps(REVIEWS, indent=2)),
+        ("document", json.dumps(REVIEWS)),
+        ("lines", json.dumps(REVIEWS)),
+        ("lines", "\n".join(json.dumps(one) for one in REVIEWS)),
+        ("lines", "[\n" + ",\n".join("  " + json.dumps(one) for one in REVIEWS) + "\n]\n"),
+        ("lines", "[" + ",\n".join(json.dumps(one) for one in REVIEWS) + "]"),
+    ],
+)
+def test_reviews_json(spark, tmp_path, layout, text):
+    path = tmp_path / "reviews.json"
+    path.write_text(text)
+    assert _plain_rows(files.read_reviews(spark, str(path), layout)) == EXPECTED_REVIEWS
+
+
+def test_json_layout_must_be_known(spark):
+    with pytest.raises(ValueError):
+        files.read_reviews(spark, "/nowhere", "other")
+
+
+PREFERENCES_XML = """<?xml version="1.0"?>
+<customers>
+  <customer><customer_id>C1</customer_id>
+    <preference><type>Category</type><value>Audio &amp; TV</value></preference>
+    <preference><type>Channel</type><value>12</value></preference></customer>
+  <customer/>
+  <customer id="x"><customer_id>2</customer_id><preference><type>Café</type></preference></customer>
+  <customer><customer_id>C3</customer_id></customer>
+</customers>
+"""
+
+
+@pytest.mark.parametrize("layout", ["document", "records"])
+def test_preferences_xml(spark, tmp_path, layout):
+    path = tmp_path / "preferences.xml"
+    path.write_text(PREFERENCES_XML)
+    df = files.read_preferences(spark, str(path), layout)
+    assert df.columns == ["customer_id", "source_file", "last_updated", "preference_type", "preference_value"]
+    assert {row.source_file for row in df.collect()} == {str(path)}
+    assert _plain_rows(df.select("customer_id", "preference_type", "preference_value")) == [
+        ("2", "Café", None), ("C1", "Category", "Audio & TV"), ("C1", "Channel", "12"),
+    ]
+
+
+@pytest.mark.parametrize("layout", ["document", "records"])
+def test_specifications_xml(spark, tmp_path, layout):
+    path = tmp_path / "specifications.xml"
+    path.write_text(
+        "<products><product><product_id>P1</product_id><specification><name>storage</name>"
+        "<value>64 GB</value></specification></product></products>"
+    )
+    df = files.read_specifications(spark, str(path), layout).select("product_id", "spec_name", "spec_value")
+    assert _plain_rows(df) == [("P1", "storage", "64 GB")]
+
+
+def test_large_xml_file_is_cut_without_loss(spark, tmp_path):
+    count = 5000
+    body = "\n".join(
+        f"  <customer>\n    <customer_id>C{n}</customer_id>\n    <preference><type>é{n % 7}</type>"
+        f"<value>{'x' * (n % 40)}-{n}</value></preference>\n  </customer>"
+        for n in range(count)
+    )
+    path = tmp_path / "large.xml"
+    path.write_text(f"<customers>\n{body}\n</customers>\n", encoding="utf-8")
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20011")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = files.read_preferences(spark, str(path), "records")
+        assert df.rdd.getNumPartitions() > 10
+        cut = _plain_rows(df.select("customer_id", "preference_type", "preference_value"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert cut == sorted(((f"C{n}", f"é{n % 7}", f"{'x' * (n % 40)}-{n}") for n in range(count)), key=str)
+
+
+def test_json_paths(spark):
+    df = spark.createDataFrame([(1, '{"a": {"b": [3, 4]}, "t": "7"}'), (2, "{}")], "id int, doc string")
+    found = files.project_paths(df, "doc", {"second": ("$.a.b[1]", "int"), "t": ("$.t", "bigint")})
+    assert _plain_rows(found) == [(1, 4, 7), (2, None, None)]
+
+
+def test_unknown_source_is_refused(spark):
+    with pytest.raises(ValueError):
+        bronze.database_table(spark, DatabaseSource("postgres"), "orders")
+
+
+def test_dialects_build_urls():
+    assert set(DIALECTS) == {"mysql", "oracle", "azuresql"}
+    url = DatabaseSource("mysql", "db.example", "shop", options={"user": "u"}).jdbc_options()
+    assert url["url"] == "jdbc:mysql://db.example:3306/shop" and url["user"] == "u"
+    assert DatabaseSource("oracle", "h", "svc").jdbc_options()["url"] == "jdbc:oracle:thin:@//h:1521/svc"
+    assert "databaseName=shop" in DatabaseSource("azuresql", "h", "shop").jdbc_options()["url"]
+
+
+def test_hash_predicates_cover_null_keys():
+    clauses = hash_predicates(DIALECTS["mysql"], HashSplit("order_id", 3))
+    assert len(clauses) == 3
+    assert clauses[0] == "(MOD(CRC32(order_id), 3) = 0 OR order_id IS NULL)"
+
+
+def test_jdbc_scan_over_an_embedded_database(spark, tmp_path, rows, monkeypatch):
+    """Derby ships with Spark and runs inside this JVM, so the JDBC path needs no server."""
+    from tillwork.sources import databases
+
+    url = f"jdbc:derby:{tmp_path}/shop;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.range(1, 101).select(F.col("id").alias("ORDER_ID"), (F.col("id") * 2).alias("AMOUNT"))
+    df.coalesce(1).write.jdbc(url, "orders", mode="overwrite", properties={"driver": driver})
+    embedded = databases.Dialect(url=url, driver=driver, port=0, bucket="MOD({column}, {buckets})")
+    monkeypatch.setitem(databases.DIALECTS, "embedded", embedded)
+    source = DatabaseSource("embedded", url=url)
+    expected = rows(df)
+    assert rows(read_table(spark, source, "orders")) == expected
+    ranged = read_table(spark, source, "orders", RangeSplit("ORDER_ID", 10, 60, 4))
+    assert ranged.rdd.getNumPartitions() == 4
+    assert rows(ranged) == expected
+    hashed = read_table(spark, source, "orders", HashSplit("ORDER_ID", 3))
+    assert hashed.rdd.getNumPartitions() == 3
+    assert rows(hashed) == expected
+    target = "bronze_from_derby"
+    assert bronze.load_table(spark, source, "orders", target, HashSplit("ORDER_ID", 3)) == 100
+    assert spark.table(target).columns == ["order_id", "amount"]
+
+
+def test_dbapi_scan_in_key_ranges(spark, tmp_path, rows):
+    path = str(tmp_path / "shop.db")
+    connection = sqlite3.connect(path)
+    connection.execute("CREATE TABLE items (id INTEGER, name TEXT, price REAL)")
+    data = [(n, f"n{n}", n / 4) for n in range(1, 1001)] + [(None, "no key", None)]
+    connection.executemany("INSERT INTO items VALUES (?, ?, ?)", data)
+    connection.commit()
+    connection.close()
+
+    def connect():
+        return sqlite3.connect(path)
+
+    schema = spark.createDataFrame([], "id bigint, name string, price double").schema
+    ranged = read_dbapi(spark, connect, "items", schema, key="id", parts=5)
+    assert ranged.rdd.getNumPartitions() == 5
+    expected = sorted(data, key=lambda row: [(value is not None, str(value)) for value in row])
+    assert rows(ranged) == expected
+    assert rows(read_dbapi(spark, connect, "items", schema)) == expected
+
+
+def test_key_ranges_are_open_ended():
+    ranges = key_ranges(1, 10, 3)
+    assert (ranges[0].low, ranges[-1].high) == (None, None)
+    assert [a.high for a in ranges[:-1]] == [b.low for b in ranges[1:]]
+    assert len(key_ranges(None, None, 4)) == 1
+    assert len(key_ranges(1, 2, 9)) == 2
+    assert ranges[0].where("k").endswith("OR k IS NULL)")
+
+
+def test_schemas_name_the_source_tables():
+    assert list(schemas.DATABASE_TABLES) == ["customers", "products", "orders", "inventory", "order_items"]

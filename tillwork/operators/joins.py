@@ -33,10 +33,13 @@ def left_join_many(left: DataFrame, right: DataFrame, on: str, suffix: str = "_r
     """``join_suffix(..., "left")`` for a right side in which one key may hold much of the rows.
 
     Adaptive execution can split a skewed partition of either side of an inner join, but only the
-    left one of a left outer join. So this is the inner join plus the left rows without a match;
-    the keys for the second part are made distinct before they are shuffled.
+    left one of a left outer join. So this is the inner join plus the left rows without a match.
+    The right keys are made distinct before they are shuffled, and both parts read the same
+    shuffle of the left side, which is why rows without a key are taken apart first.
     """
-    matched = join_suffix(left, right, on, "inner", suffix)
+    keyed = left.where(left[on].isNotNull())
+    matched = join_suffix(keyed, right, on, "inner", suffix)
     present = right.select(F.col(on).alias("_present")).distinct()
-    unmatched = left.join(present, left[on] == present["_present"], "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    unmatched = keyed.join(present, keyed[on] == present["_present"], "left_anti")
+    alone = unmatched.union(left.where(left[on].isNull()))
+    return matched.unionByName(alone, allowMissingColumns=True)

@@ -34,11 +34,13 @@ def load_reviews(
     return overwrite_table(files.read_reviews(spark, path, layout), target)
 
 
-def load_preferences(spark: SparkSession, path: str, target: str = schemas.BRONZE_CUSTOMER_PREFERENCES) -> int:
-    return overwrite_table(files.read_preferences(spark, path), target)
+def load_preferences(
+    spark: SparkSession, path: str, target: str = schemas.BRONZE_CUSTOMER_PREFERENCES, layout: str = "document"
+) -> int:
+    return overwrite_table(files.read_preferences(spark, path, layout), target)
 
 
 def load_specifications(
-    spark: SparkSession, path: str, target: str = schemas.BRONZE_PRODUCT_SPECIFICATIONS
+    spark: SparkSession, path: str, target: str = schemas.BRONZE_PRODUCT_SPECIFICATIONS, layout: str = "document"
 ) -> int:
-    return overwrite_table(files.read_specifications(spark, path), target)
+    return overwrite_table(files.read_specifications(spark, path, layout), target)

@@ -42,6 +42,7 @@ class Inputs:
     preferences: str
     specifications: str
     reviews_layout: str = "document"
+    xml_layout: str = "document"
 
 
 @dataclass(frozen=True)
@@ -67,8 +68,12 @@ def load_bronze(spark: SparkSession, inputs: Inputs) -> dict[str, int]:
 
     jobs = {target: table_job(name, target) for name, target in DATABASE_TARGETS.items()}
     jobs[schemas.BRONZE_PRODUCT_REVIEWS] = lambda: bronze.load_reviews(spark, inputs.reviews, inputs.reviews_layout)
-    jobs[schemas.BRONZE_CUSTOMER_PREFERENCES] = lambda: bronze.load_preferences(spark, inputs.preferences)
-    jobs[schemas.BRONZE_PRODUCT_SPECIFICATIONS] = lambda: bronze.load_specifications(spark, inputs.specifications)
+    jobs[schemas.BRONZE_CUSTOMER_PREFERENCES] = lambda: bronze.load_preferences(
+        spark, inputs.preferences, layout=inputs.xml_layout
+    )
+    jobs[schemas.BRONZE_PRODUCT_SPECIFICATIONS] = lambda: bronze.load_specifications(
+        spark, inputs.specifications, layout=inputs.xml_layout
+    )
     return _together(spark, jobs)
 
 

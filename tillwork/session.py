@@ -34,6 +34,13 @@ def open_session(app_name: str = "tillwork", master: str | None = None, **settin
     return builder.getOrCreate()
 
 
+def use_scale_settings(spark: SparkSession) -> None:
+    """Set the SQL part of the scale settings on a session somebody else has opened."""
+    for name, value in SCALE_SETTINGS.items():
+        if name.startswith("spark.sql."):
+            spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

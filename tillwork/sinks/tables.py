@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -24,7 +24,7 @@ def _drop(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_sql_name(name)}")
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
+def overwrite_table(df: DataFrame, name: str) -> int:
     """Replace rows and schema of ``name`` and return its row count.
 
     The rows go to ``name__new`` first and the tables are swapped after the job has succeeded, so
@@ -37,10 +37,7 @@ def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ())
         _rename(spark, retired, name)
     _drop(spark, fresh)
     _drop(spark, retired)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(fresh)
+    df.write.mode("overwrite").saveAsTable(fresh)
     if spark.catalog.tableExists(name):
         _rename(spark, name, retired)
     _rename(spark, fresh, name)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwork import schemas
 from tillwork.functions.names import clean_names
 
 
-def read_json_array(spark: SparkSession, path: str, schema, layout: str = "document") -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, schema: StructType, layout: str = "document") -> DataFrame:
     """One row per element of top-level arrays.
 
     ``document``: an array may be spread over lines in any way; each file is read by one task, so
@@ -66,32 +67,53 @@ def with_lineage(df: DataFrame, source_file: str) -> DataFrame:
     return df.withColumns({"source_file": F.lit(source_file), "last_updated": F.current_timestamp()})
 
 
-def _read_children(spark: SparkSession, path: str, row_tag: str, schema, key: str, child: str, names: tuple[str, str], outs: tuple[str, str]) -> DataFrame:
+def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: StructType, layout: str = "document") -> DataFrame:
+    """One row per ``row_tag`` element.
+
+    ``document``: Spark's XML reader; each file is read by one task, so large inputs should be many
+    files. ``records``: the text is cut at the closing tags, so one large file is read by many
+    tasks. That needs UTF-8 and closing tags that appear only as such (not in comments or CDATA),
+    and it skips empty elements of the form ``<tag/>``.
+    """
+    if layout == "document":
+        return spark.read.schema(schema).option("rowTag", row_tag).xml(path)
+    if layout != "records":
+        raise ValueError(f"unknown layout {layout!r}; use 'document' or 'records'")
+    closing = f"</{row_tag}>"
+    opening = rf"(?s)<{row_tag}(?:\s[^>]*[^/>])?>.*"
+    return (
+        spark.read.option("lineSep", closing)
+        .text(path)
+        .select(F.regexp_extract("value", opening, 0).alias("record"))
+        .where(F.col("record") != "")
+        .select(F.from_xml(F.concat("record", F.lit(closing)), schema).alias("row"))
+        .select("row.*")
+    )
+
+
+def _children_of(records: DataFrame, path: str, key: str, child: str, outs: dict[str, str]) -> DataFrame:
     """One row per child element; a record without children gives none."""
-    records = with_lineage(spark.read.schema(schema).option("rowTag", row_tag).xml(path), path)
-    exploded = records.select(key, "source_file", "last_updated", F.explode(child).alias("_child"))
+    exploded = with_lineage(records, path).select(key, "source_file", "last_updated", F.explode(child).alias("_child"))
     return exploded.select(
         F.col(key).cast("string").alias(key),
         "source_file",
         "last_updated",
-        *[F.col("_child").getField(name).cast("string").alias(out) for name, out in zip(names, outs)],
+        *[F.col("_child").getField(name).cast("string").alias(out) for name, out in outs.items()],
     )
 
 
-def read_preferences(spark: SparkSession, path: str) -> DataFrame:
-    """``customer`` records with ``preference`` children. Each file is read by one task."""
-    return _read_children(
-        spark, path, "customer", schemas.PREFERENCES_XML, "customer_id", "preference",
-        ("type", "value"), ("preference_type", "preference_value"),
-    )
+def read_preferences(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+    """``customer`` records with ``preference`` children."""
+    records = read_xml_records(spark, path, "customer", schemas.PREFERENCES_XML, layout)
+    outs = {"type": "preference_type", "value": "preference_value"}
+    return _children_of(records, path, "customer_id", "preference", outs)
 
 
-def read_specifications(spark: SparkSession, path: str) -> DataFrame:
-    """``product`` records with ``specification`` children. Each file is read by one task."""
-    return _read_children(
-        spark, path, "product", schemas.SPECIFICATIONS_XML, "product_id", "specification",
-        ("name", "value"), ("spec_name", "spec_value"),
-    )
+def read_specifications(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+    """``product`` records with ``specification`` children."""
+    records = read_xml_records(spark, path, "product", schemas.SPECIFICATIONS_XML, layout)
+    outs = {"name": "spec_name", "value": "spec_value"}
+    return _children_of(records, path, "product_id", "specification", outs)
 
 
 def read_preference_counts(spark: SparkSession, path: str) -> DataFrame:
