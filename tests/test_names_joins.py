@@ -1,5 +1,5 @@
 from tillwork.functions.names import clean_names, trim_names
-from tillwork.operators.joins import join_suffix, left_join_many
+from tillwork.operators.joins import join_suffix, left_join_many, small_enough
 
 
 def test_clean_names_removes_every_quote(spark):
@@ -16,7 +16,6 @@ def test_trim_names_strips_only_the_ends(spark):
 def test_join_suffix_renames_clashes_only(spark):
     left = spark.createDataFrame([(1, "a")], "id int, v string")
     right = spark.createDataFrame([(1, "b", "c")], "ID int, V string, w string")
-    joined = join_suffix(left, right, "id", suffix="_r") if "id" in right.columns else None
     right = right.withColumnRenamed("ID", "id")
     joined = join_suffix(left, right, "id", suffix="_r")
     assert joined.columns == ["id", "v", "id_r", "V_r", "w"]
@@ -32,3 +31,11 @@ def test_left_join_many_equals_left_join(spark, rows):
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
     assert split.count() == 500 * 2 + 1 + 1 + 1
+
+
+def test_small_enough_hints_only_below_the_bound(spark):
+    def hinted(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(small_enough(spark.range(5), 5))
+    assert not hinted(small_enough(spark.range(6), 5))

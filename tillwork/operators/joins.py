@@ -1,8 +1,9 @@
 """Equi-joins with a suffix for clashing right-hand names.
 
-No join carries a broadcast hint. Spark broadcasts a side only when its size, estimated or
-measured by adaptive execution, is below ``spark.sql.autoBroadcastJoinThreshold``; beyond that it
-sorts and merges, and splits skewed partitions.
+Joins carry no broadcast hint unless the side was counted (``small_enough``). Without one, Spark
+broadcasts a side only when its size, estimated or measured by adaptive execution, is below
+``spark.sql.autoBroadcastJoinThreshold``; beyond that it sorts and merges, and splits skewed
+partitions.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.names import quoted
 
+# Rows of a narrow key list that may be broadcast.
+BROADCAST_ROWS = 500_000
+
 
 def _renamed(left: DataFrame, right: DataFrame, suffix: str) -> DataFrame:
     taken = {name.lower() for name in left.columns}
@@ -43,3 +47,12 @@ def left_join_many(left: DataFrame, right: DataFrame, on: str, suffix: str = "_r
     unmatched = keyed.join(present, keyed[on] == present["_present"], "left_anti")
     alone = unmatched.union(left.where(left[on].isNull()))
     return matched.unionByName(alone, allowMissingColumns=True)
+
+
+def small_enough(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``keys`` with a broadcast hint if a count finds at most ``max_rows``, else as it is.
+
+    For filtered key lists: Spark cannot estimate what a filter leaves and would shuffle the large
+    side before it finds out.
+    """
+    return F.broadcast(keys) if keys.count() <= max_rows else keys

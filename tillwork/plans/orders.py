@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.measures import ratio, with_copies
 from tillwork.functions.text import Scorer, with_state
-from tillwork.operators.joins import join_suffix, left_join_many
+from tillwork.operators.joins import join_suffix, left_join_many, small_enough
 from tillwork.operators.ranking import top_n, top_ranked
 
 # Tags of the two top-n lists.
@@ -41,9 +41,14 @@ def customer_order_history(
     customer_id,
     extractor: Scorer | None = None,
 ) -> DataFrame:
-    """Order details of one customer, latest first. Only that customer's lines are joined."""
+    """Order details of one customer, latest first.
+
+    Counting the customer's orders first runs a job, but then the lines are cut down to that
+    customer inside the scan tasks.
+    """
     own = orders.where(F.col("customer_id") == F.lit(customer_id))
-    own_items = order_items.join(own.select("order_id"), "order_id", "left_semi").select(*order_items.columns)
+    own_ids = small_enough(own.select("order_id"))
+    own_items = order_items.join(own_ids, "order_id", "left_semi").select(*order_items.columns)
     person = customers.where(F.col("customer_id") == F.lit(customer_id))
     details = order_details(own, own_items, products, person, extractor)
     return details.orderBy(F.desc_nulls_last("order_date"), "order_id", "product_id")
@@ -53,13 +58,18 @@ def product_performance(order_items: DataFrame, products: DataFrame) -> DataFram
     """Distinct orders, quantity and revenue per product.
 
     Lines are aggregated per product id before the join. Items of unknown products keep their id
-    with NULL name and category.
+    with NULL name and category. Distinct orders are counted apart from the sums: their shuffle
+    carries (product, order) pairs only, while the sums shrink to a row per product in each task.
     """
-    sold = order_items.groupBy("product_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+    figures = ("total_orders", "_quantity", "_revenue")
+    sums = order_items.groupBy("product_id").agg(
         F.sum("quantity").alias("_quantity"),
         F.sum(F.col("unit_price") * F.col("quantity")).alias("_revenue"),
     )
+    counts = order_items.groupBy("product_id").agg(F.count_distinct("order_id").alias("total_orders"))
+    # One row per product on each side. Grouping the union, unlike a join, also pairs the NULL ids.
+    both = sums.unionByName(counts, allowMissingColumns=True)
+    sold = both.groupBy("product_id").agg(*[F.max(name).alias(name) for name in figures])
     labels = with_copies(products, "product_id", "product_name", "category")
     copies = F.coalesce("copies", F.lit(1))
     return sold.join(labels, "product_id", "left").select(

@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     one machine's disk, so there the setting is required.
     """
     global _local_folder
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     master = spark.sparkContext.master
