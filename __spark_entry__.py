@@ -21,7 +21,7 @@ from oracle_queries import NEGATIVE, ORACLES, POSITIVE  # noqa: E402
 from tillwork.functions.names import clean_names, trim_names  # noqa: E402
 from tillwork.functions.text import lexicon_score  # noqa: E402
 from tillwork.operators import nesting, quality  # noqa: E402
-from tillwork.plans import customers, gold, orders, reports, silver  # noqa: E402
+from tillwork.plans import customers, gold, nightly, orders, reports, silver  # noqa: E402
 from tillwork.plans.driver_tables import DriverTables  # noqa: E402
 from tillwork.session import new_folder, use_scale_settings  # noqa: E402
 from tillwork.sinks import tables  # noqa: E402
@@ -125,11 +125,6 @@ def _gold_specifications_text(df: DataFrame) -> DataFrame:
     return df.withColumn("specifications", _joined("specifications", "NAME", "VALUE"))
 
 
-def _spec_numbers(t: DriverTables) -> DataFrame:
-    numbers = reports.with_spec_numbers(reports.spec_pivot(t.products, t.specifications))
-    return reports.ranked_spec(numbers, "battery_life_hours")
-
-
 def _spec_json_rows(t: DriverTables) -> DataFrame:
     nested = silver.nested_specifications(t.specifications).select("product_id", F.to_json("specifications").alias("specifications"))
     return reports.specification_rows(nested)
@@ -140,31 +135,43 @@ def _json_paths(t: DriverTables) -> DataFrame:
     return files.project_paths(events, "props", {"votes": ("$.k", "bigint"), "votes_text": ("$.k", "string")})
 
 
-def _reviews_roundtrip(t: DriverTables) -> DataFrame:
-    """Reviews out as JSON arrays, one array per line, and back through the loader."""
+def _reviews_json(t: DriverTables) -> str:
+    """Reviews as JSON arrays, one array per line."""
     path = new_folder(t.spark, "reviews-json")
     fields = t.reviews.withColumnRenamed("review_date", "date")
     fields.select(F.to_json(F.array(F.struct(*fields.columns))).alias("value")).write.text(path)
-    read = files.read_reviews(t.spark, path, "lines")
-    return read.withColumn(
-        "aspects", F.concat_ws("|", F.transform("aspects", lambda one: one["name"]))
-    )
+    return path
 
 
-def _preferences_roundtrip(t: DriverTables) -> DataFrame:
+def _preferences_xml(t: DriverTables) -> str:
     path = new_folder(t.spark, "preferences-xml")
     fields = {"preference_type": "type", "preference_value": "value"}
     records = nesting.nest_children(t.preferences, "customer_id", fields, "preference")
     records.select("customer_id", "preference").write.options(rootTag="customers", rowTag="customer").xml(path)
-    return files.read_preferences(t.spark, path, "records").select("customer_id", "preference_type", "preference_value")
+    return path
 
 
-def _specifications_roundtrip(t: DriverTables) -> DataFrame:
+def _specifications_xml(t: DriverTables) -> str:
     path = new_folder(t.spark, "specifications-xml")
     fields = {"spec_name": "name", "spec_value": "value"}
     records = nesting.nest_children(t.specifications, "product_id", fields, "specification")
     records.select("product_id", "specification").write.options(rootTag="products", rowTag="product").xml(path)
-    return files.read_specifications(t.spark, path).select("product_id", "spec_name", "spec_value")
+    return path
+
+
+def _reviews_roundtrip(t: DriverTables) -> DataFrame:
+    read = files.read_reviews(t.spark, _reviews_json(t), "lines")
+    return read.withColumn("aspects", F.concat_ws("|", F.transform("aspects", lambda one: one["name"])))
+
+
+def _preferences_roundtrip(t: DriverTables) -> DataFrame:
+    read = files.read_preferences(t.spark, _preferences_xml(t), "records")
+    return read.select("customer_id", "preference_type", "preference_value")
+
+
+def _specifications_roundtrip(t: DriverTables) -> DataFrame:
+    read = files.read_specifications(t.spark, _specifications_xml(t))
+    return read.select("product_id", "spec_name", "spec_value")
 
 
 def _csv_roundtrip(t: DriverTables) -> DataFrame:
@@ -173,10 +180,16 @@ def _csv_roundtrip(t: DriverTables) -> DataFrame:
     return files.read_preference_counts(t.spark, path)
 
 
-def _table_write_modes(t: DriverTables) -> DataFrame:
-    """Every write mode on tables below the shared folder, then one SQL text over them."""
+def _new_database(t: DriverTables) -> str:
+    """A fresh database whose tables lie below the shared folder."""
     database = f"tillwork_{uuid.uuid4().hex}"
     t.spark.sql(f"CREATE DATABASE {database} LOCATION '{new_folder(t.spark, 'tables')}'")
+    return database
+
+
+def _table_write_modes(t: DriverTables) -> DataFrame:
+    """Every write mode on catalog tables, then one SQL text over them."""
+    database = _new_database(t)
     sales, changed, log = (f"{database}.{name}" for name in ("sales", "changed", "log"))
     tables.overwrite_table(t.orders.select("order_id", "status"), sales)
     tables.overwrite_table(t.orders, sales)
@@ -204,6 +217,59 @@ def _table_write_modes(t: DriverTables) -> DataFrame:
     )
 
 
+# A whole-number column to sum in each table of the nightly run.
+_NIGHTLY_FIGURES = {
+    "BRONZE_INVENTORY": "quantity",
+    "BRONZE_PRODUCT_REVIEWS": "helpful_votes",
+    "SILVER_CUSTOMERS": "size(preferences)",
+    "SILVER_PRODUCTS": "size(specifications)",
+    "SILVER_PRODUCT_REVIEWS": "if(sentiment_score = 'Positive', 1, 0)",
+    "SILVER_ORDERS": "if(state IS NULL, 0, 1)",
+    "GOLD_CUSTOMER_INSIGHTS": "total_orders",
+    "GOLD_PRODUCT_REVIEWS_ANALYTICS": "positive_reviews",
+    "GOLD_PRODUCT_PERFORMANCE": "total_orders",
+    "analytics_top_selling_products_by_quantity": "total_quantity_sold",
+    "analytics_top_selling_products_by_revenue": "total_quantity_sold",
+    "analytics_top_selling_categories_by_quantity": "total_quantity_sold",
+    "analytics_top_selling_categories_by_revenue": "total_quantity_sold",
+    "analytics_state_category_analysis": "order_count",
+    "analytics_customer_stats": "order_count",
+    "analytics_order_status_counts": "count",
+    "analytics_payment_method_counts": "count",
+    "analytics_inventory_per_product": "total_stock",
+    "analytics_inventory_per_category": "category_stock",
+    "analytics_inventory_per_warehouse": "warehouse_stock",
+}
+
+
+def _nightly_tables(t: DriverTables) -> DataFrame:
+    """The whole nightly run into a fresh database; rows and one figure of each table it wrote."""
+    sources = {
+        "customers": t.customers, "products": t.products, "orders": t.orders,
+        "inventory": t.inventory, "order_items": t.order_items,
+    }
+    inputs = nightly.Inputs(
+        table=sources.__getitem__,
+        reviews=_reviews_json(t),
+        preferences=_preferences_xml(t),
+        specifications=_specifications_xml(t),
+        reviews_layout="lines",
+        xml_layout="records",
+    )
+    database, previous = _new_database(t), t.spark.catalog.currentDatabase()
+    t.spark.catalog.setCurrentDatabase(database)
+    try:
+        written = nightly.run_nightly(t.spark, inputs, "driver-tables", nightly.Models(sentiment=_lexicon))
+    finally:
+        t.spark.catalog.setCurrentDatabase(previous)
+    counted = [
+        f"SELECT '{name}' AS table_name, count(*) AS n, "
+        f"CAST(sum({_NIGHTLY_FIGURES.get(name, 'NULL')}) AS BIGINT) AS figure FROM {database}.{name}"
+        for name in written
+    ]
+    return t.spark.sql(" UNION ALL ".join(counted))
+
+
 _EXPECTATIONS = (
     *quality.REVIEW_EXPECTATIONS,
     quality.ValuesInSet("verified_purchase", ("true", "false")),
@@ -226,6 +292,21 @@ def _validation_record(t: DriverTables) -> DataFrame:
     )
 
 
+def _validation_sample(t: DriverTables) -> DataFrame:
+    """The sampled form looks at 2000 rows, or all if there are fewer; which ones is open."""
+    return quality.check(t.reviews, _EXPECTATIONS[:1], sample_rows=2000).select("check_no", "element_count")
+
+
+def _state_by_extractor(t: DriverTables) -> DataFrame:
+    """The place extractor path: once per distinct address, joined back."""
+    shortened = silver.silver_orders(t.orders, t.customers, lambda address: F.replace(address, F.lit(" Main St")))
+    return shortened.select("order_id", "state")
+
+
+def _spec_ranking(t: DriverTables, measure: str) -> DataFrame:
+    return reports.ranked_spec(reports.with_spec_numbers(reports.spec_pivot(t.products, t.specifications)), measure)
+
+
 def _lineage(t: DriverTables) -> DataFrame:
     return files.with_lineage(t.customers, "customers.xml").select(
         "customer_id", "source_file", F.col("last_updated").isNotNull().alias("loaded")
@@ -254,6 +335,7 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
         "review_id", "sentiment_score"
     ),
     "silver_orders_state": _silver_orders,
+    "silver_orders_state_by_extractor": _state_by_extractor,
     "gold_customer_insights": lambda t: gold.customer_insights(t.customers, _silver_orders(t)).drop("last_updated"),
     "gold_review_aspects_pivot": lambda t: gold.review_aspects(_silver_reviews(t)),
     "gold_review_analytics": lambda t: gold.review_analytics(_silver_reviews(t)).drop("last_updated"),
@@ -281,7 +363,8 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
         reports.top_reviewed_products(gold.review_analytics(_silver_reviews(t)), _silver_products(t))
     ),
     "spec_pivot": lambda t: reports.spec_pivot(t.products, t.specifications),
-    "spec_numbers": _spec_numbers,
+    "spec_numbers": lambda t: _spec_ranking(t, "battery_life_hours"),
+    "spec_numbers_storage": lambda t: _spec_ranking(t, "storage_gb"),
     "spec_json_rows": _spec_json_rows,
     "preference_counts": lambda t: reports.preference_counts(t.preferences),
     "top_preferences": lambda t: reports.top_preferences(t.preferences),
@@ -293,6 +376,8 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "table_write_modes": _table_write_modes,
     "expectation_results": _expectation_results,
     "validation_record": _validation_record,
+    "validation_sample": _validation_sample,
+    "nightly_tables": _nightly_tables,
     "lineage_columns": _lineage,
 }
 

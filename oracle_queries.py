@@ -218,6 +218,60 @@ _DETAIL_OUT = """SELECT order_id, customer_id, order_date, CAST(total_amount AS
     product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, product_name, category, state,
     CAST(line_total AS DOUBLE) AS line_total FROM detail"""
 
+_NIGHTLY_TABLES = {
+    "BRONZE_CUSTOMERS": ("NULL", "cust"),
+    "BRONZE_PRODUCTS": ("NULL", "prod"),
+    "BRONZE_INVENTORY": ("quantity", "inv"),
+    "BRONZE_ORDERS": ("NULL", "ord"),
+    "BRONZE_ORDER_ITEMS": ("NULL", "item"),
+    "BRONZE_PRODUCT_REVIEWS": ("helpful_votes", "rev"),
+    "BRONZE_CUSTOMER_PREFERENCES": ("NULL", "pref"),
+    "BRONZE_PRODUCT_SPECIFICATIONS": ("NULL", "spec"),
+    "SILVER_CUSTOMERS": (
+        "n", "(SELECT cust.customer_id, nullif(count(preference_type), 0) AS n FROM cust LEFT JOIN pref "
+        "ON cust.customer_id = pref.customer_id GROUP BY cust.customer_id)"
+    ),
+    "SILVER_CUSTOMERS_MORE": ("NULL", "(SELECT 1 WHERE false)"),
+    "SILVER_PRODUCTS": (
+        "n", "(SELECT prod.product_id, count(spec_name) AS n FROM prod LEFT JOIN spec "
+        "ON prod.product_id = spec.product_id GROUP BY prod.product_id)"
+    ),
+    "SILVER_PRODUCTS_MORE": ("NULL", "(SELECT 1 WHERE false)"),
+    "SILVER_PRODUCT_REVIEWS": ("CASE WHEN sentiment_score = 'Positive' THEN 1 ELSE 0 END", "rev"),
+    "SILVER_ORDERS": (
+        "CASE WHEN state IS NULL THEN 0 ELSE 1 END", "ord LEFT JOIN placed ON ord.customer_id = placed.customer_id"
+    ),
+    "GOLD_CUSTOMER_INSIGHTS": (
+        "n", "(SELECT cust.customer_id, state, count(order_id) AS n FROM cust JOIN placed ON cust.customer_id = placed.customer_id "
+        "LEFT JOIN ord ON cust.customer_id = ord.customer_id "
+        "GROUP BY cust.customer_id, state)"
+    ),
+    "GOLD_PRODUCT_REVIEWS_ANALYTICS": ("positive_reviews", "review_figures"),
+    "GOLD_PRODUCT_PERFORMANCE": ("total_orders", "gold_perf"),
+    "analytics_top_selling_products_by_quantity": ("total_quantity_sold", "top_perf WHERE metric = 'quantity_sold'"),
+    "analytics_top_selling_products_by_revenue": ("total_quantity_sold", "top_perf WHERE metric = 'revenue'"),
+    "analytics_top_selling_categories_by_quantity": ("total_quantity_sold", "top_cat WHERE metric = 'quantity_sold'"),
+    "analytics_top_selling_categories_by_revenue": ("total_quantity_sold", "top_cat WHERE metric = 'revenue'"),
+    "analytics_state_category_analysis": ("order_count", "top_state"),
+    "analytics_customer_stats": ("order_count", "stats"),
+    "analytics_monthly_revenue": ("NULL", "months"),
+    "analytics_order_status_counts": ("count", "status_months"),
+    "analytics_payment_method_counts": ("count", "payment_months"),
+    "analytics_inventory_per_product": ("total_stock", "stock"),
+    "analytics_inventory_per_category": (
+        "s", "(SELECT category, sum(total_stock) AS s FROM stock WHERE category IS NOT NULL GROUP BY category)"
+    ),
+    "analytics_inventory_per_warehouse": (
+        "s", "(SELECT warehouse_id, sum(quantity) AS s FROM inv GROUP BY warehouse_id)"
+    ),
+    "analytics_product_price_stats": ("NULL", "(SELECT DISTINCT category FROM prod)"),
+}
+
+_NIGHTLY = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({figure}) AS BIGINT) AS figure FROM {source}"
+    for name, (figure, source) in _NIGHTLY_TABLES.items()
+)
+
 _BODIES = {
     "clean_names": 'SELECT c_custkey, c_name, c_mktsegment AS "Market Segment" FROM customer',
     "order_details": _DETAIL_OUT,
@@ -305,6 +359,14 @@ _BODIES = {
         SELECT *, try_cast(regexp_extract(battery_life, '(\\d+)', 1) AS DOUBLE) AS battery_life_hours,
                try_cast(regexp_extract(storage, '(\\d+)', 1) AS DOUBLE) AS storage_gb
         FROM spec_wide WHERE try_cast(regexp_extract(battery_life, '(\\d+)', 1) AS DOUBLE) IS NOT NULL""",
+    "spec_numbers_storage": """
+        SELECT *, try_cast(regexp_extract(battery_life, '(\\d+)', 1) AS DOUBLE) AS battery_life_hours,
+               try_cast(regexp_extract(storage, '(\\d+)', 1) AS DOUBLE) AS storage_gb
+        FROM spec_wide WHERE try_cast(regexp_extract(storage, '(\\d+)', 1) AS DOUBLE) IS NOT NULL""",
+    "silver_orders_state_by_extractor": """
+        SELECT order_id, state FROM ord LEFT JOIN placed ON ord.customer_id = placed.customer_id""",
+    "validation_sample": "SELECT CAST(0 AS INTEGER) AS check_no, least(n, 2000) AS element_count FROM checks",
+    "nightly_tables": _NIGHTLY,
     "spec_json_rows": "SELECT product_id, spec_name AS name, spec_value AS value FROM spec",
     "preference_counts": "SELECT * FROM pref_counts",
     "top_preferences": "SELECT * FROM pref_counts ORDER BY count DESC NULLS LAST, preference LIMIT 10",

@@ -11,7 +11,7 @@ FOLDER = os.environ.get("TILLWORK_TEST_DATA", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 
-WRITING = {"reviews_json_roundtrip", "preferences_xml_roundtrip", "specs_xml_roundtrip", "csv_export_roundtrip", "table_write_modes"}
+WRITING = {"reviews_json_roundtrip", "preferences_xml_roundtrip", "specs_xml_roundtrip", "csv_export_roundtrip", "table_write_modes", "nightly_tables"}
 
 
 def _plan(spark, name):
