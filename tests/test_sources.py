@@ -4,12 +4,16 @@ import sqlite3
 from decimal import Decimal
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillwork import schemas
 from tillwork.plans import bronze
 from tillwork.sources import files
-from tillwork.sources.databases import DIALECTS, DatabaseSource, HashSplit, RangeSplit, hash_predicates, read_table
+from tillwork.sources.databases import (
+    DIALECTS, UNSPLIT_ROWS, DatabaseSource, HashSplit, RangeSplit, hash_predicates, read_table, refuse_unsplit,
+)
 from tillwork.sources.dbapi import key_ranges, read_dbapi
 
 REVIEWS = [
@@ -61,6 +65,37 @@ def test_reviews_json(spark, tmp_path, layout, text):
     assert _plain_rows(files.read_reviews(spark, str(path), layout)) == EXPECTED_REVIEWS
 
 
+@pytest.mark.parametrize(
+    ("layout", "text"),
+    [("lines", json.dumps(REVIEWS, indent=2)), ("lines", '{"review_id": "R1"\n'), ("document", '[{"review_id": "R1"')],
+)
+def test_malformed_json_fails_and_loses_nothing(spark, tmp_path, layout, text):
+    path = tmp_path / "reviews.json"
+    path.write_text(text)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_reviews(spark, str(path), layout).collect()
+
+
+def test_line_separators_inside_texts(spark, tmp_path):
+    path = tmp_path / "reviews.json"
+    path.write_text(json.dumps([{"review_id": "R1", "content": "a\u2028b\u0085c"}], ensure_ascii=False), encoding="utf-8")
+    assert files.read_reviews(spark, str(path), "lines").first().content == "a\u2028b\u0085c"
+
+
+@pytest.mark.parametrize("layout", ["document", "records"])
+def test_truncated_xml_fails(spark, tmp_path, layout):
+    path = tmp_path / "preferences.xml"
+    path.write_text(PREFERENCES_XML[: PREFERENCES_XML.index("Channel")])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_preferences(spark, str(path), layout).collect()
+
+
+def test_unsplit_scan_of_a_large_table_is_refused():
+    with pytest.raises(ValueError):
+        refuse_unsplit("t", UNSPLIT_ROWS + 1)
+    refuse_unsplit("t", UNSPLIT_ROWS)
+
+
 def test_json_layout_must_be_known(spark):
     with pytest.raises(ValueError):
         files.read_reviews(spark, "/nowhere", "other")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -63,16 +64,17 @@ def _together(spark: SparkSession, jobs: Mapping[str, Callable[[], int]]) -> dic
 def load_bronze(spark: SparkSession, inputs: Inputs) -> dict[str, int]:
     """All eight loads. Silver waits for every one of them."""
 
-    def table_job(name: str, target: str) -> Callable[[], int]:
-        return lambda: overwrite_table(clean_names(inputs.table(name)), target)
-
-    jobs = {target: table_job(name, target) for name, target in DATABASE_TARGETS.items()}
-    jobs[schemas.BRONZE_PRODUCT_REVIEWS] = lambda: bronze.load_reviews(spark, inputs.reviews, inputs.reviews_layout)
-    jobs[schemas.BRONZE_CUSTOMER_PREFERENCES] = lambda: bronze.load_preferences(
-        spark, inputs.preferences, layout=inputs.xml_layout
+    jobs = {
+        target: partial(overwrite_table, clean_names(inputs.table(name)), target)
+        for name, target in DATABASE_TARGETS.items()
+    }
+    xml = inputs.xml_layout
+    jobs[schemas.BRONZE_PRODUCT_REVIEWS] = partial(bronze.load_reviews, spark, inputs.reviews, inputs.reviews_layout)
+    jobs[schemas.BRONZE_CUSTOMER_PREFERENCES] = partial(
+        bronze.load_preferences, spark, inputs.preferences, layout=xml
     )
-    jobs[schemas.BRONZE_PRODUCT_SPECIFICATIONS] = lambda: bronze.load_specifications(
-        spark, inputs.specifications, layout=inputs.xml_layout
+    jobs[schemas.BRONZE_PRODUCT_SPECIFICATIONS] = partial(
+        bronze.load_specifications, spark, inputs.specifications, layout=xml
     )
     return _together(spark, jobs)
 
@@ -90,20 +92,18 @@ def bronze_to_silver(
     specifications = silver.nested_specifications(
         spark.table(schemas.BRONZE_PRODUCT_SPECIFICATIONS), part_elements
     ).persist(StorageLevel.MEMORY_AND_DISK)
+    tables = {
+        schemas.SILVER_CUSTOMERS: silver.silver_customers(people, preferences),
+        schemas.SILVER_CUSTOMERS_MORE: nesting.further_parts(preferences),
+        schemas.SILVER_PRODUCTS: silver.silver_products(goods, specifications),
+        schemas.SILVER_PRODUCTS_MORE: nesting.further_parts(specifications),
+        schemas.SILVER_PRODUCT_REVIEWS: silver.silver_reviews(
+            spark.table(schemas.BRONZE_PRODUCT_REVIEWS), models.sentiment
+        ),
+        schemas.SILVER_ORDERS: silver.silver_orders(sales, people, models.place),
+    }
     try:
-        return {
-            name: overwrite_table(df, name)
-            for name, df in {
-                schemas.SILVER_CUSTOMERS: silver.silver_customers(people, preferences),
-                schemas.SILVER_CUSTOMERS_MORE: nesting.further_parts(preferences),
-                schemas.SILVER_PRODUCTS: silver.silver_products(goods, specifications),
-                schemas.SILVER_PRODUCTS_MORE: nesting.further_parts(specifications),
-                schemas.SILVER_PRODUCT_REVIEWS: silver.silver_reviews(
-                    spark.table(schemas.BRONZE_PRODUCT_REVIEWS), models.sentiment
-                ),
-                schemas.SILVER_ORDERS: silver.silver_orders(sales, people, models.place),
-            }.items()
-        }
+        return _together(spark, {name: partial(overwrite_table, df, name) for name, df in tables.items()})
     finally:
         preferences.unpersist()
         specifications.unpersist()
@@ -128,11 +128,16 @@ def silver_to_gold(spark: SparkSession) -> dict[str, int]:
     performance = gold.product_performance_by_month(
         spark.table(schemas.SILVER_PRODUCTS), gold.monthly_metrics(items, sales)
     )
-    return {
-        schemas.GOLD_CUSTOMER_INSIGHTS: replace_rows(insights, schemas.GOLD_CUSTOMER_INSIGHTS),
-        schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS: replace_rows(reviews, schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS),
-        schemas.GOLD_PRODUCT_PERFORMANCE: overwrite_table(performance, schemas.GOLD_PRODUCT_PERFORMANCE),
-    }
+    return _together(
+        spark,
+        {
+            schemas.GOLD_CUSTOMER_INSIGHTS: partial(replace_rows, insights, schemas.GOLD_CUSTOMER_INSIGHTS),
+            schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS: partial(
+                replace_rows, reviews, schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS
+            ),
+            schemas.GOLD_PRODUCT_PERFORMANCE: partial(overwrite_table, performance, schemas.GOLD_PRODUCT_PERFORMANCE),
+        },
+    )
 
 
 def order_analytics(spark: SparkSession, models: Models = Models()) -> dict[str, int]:
@@ -163,7 +168,7 @@ def order_analytics(spark: SparkSession, models: Models = Models()) -> dict[str,
 def customer_analytics(table: Callable[[str], DataFrame], degree: int = 10) -> dict[str, int]:
     """The eight customer, order, stock and price tables, written concurrently."""
     people, goods, sales, stock, _ = (clean_names(table(name)) for name in ANALYTICS_TABLES)
-    per_product = customers.inventory_per_product(goods, stock)
+    per_product = customers.inventory_per_product(goods, stock).persist(StorageLevel.MEMORY_AND_DISK)
     tables = {
         "analytics_customer_stats": customers.customer_stats(people, sales),
         "analytics_monthly_revenue": customers.monthly_revenue(sales),
@@ -174,7 +179,10 @@ def customer_analytics(table: Callable[[str], DataFrame], degree: int = 10) -> d
         "analytics_inventory_per_warehouse": customers.inventory_per_warehouse(stock),
         "analytics_product_price_stats": customers.product_price_stats(goods),
     }
-    return dict(zip(tables, write_many(tables, degree)))
+    try:
+        return dict(zip(tables, write_many(tables, degree)))
+    finally:
+        per_product.unpersist()
 
 
 def run_nightly(spark: SparkSession, inputs: Inputs, run_name: str, models: Models = Models()) -> dict[str, int]:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 FETCH_ROWS = 10_000
 
+# A scan without a split is a single task, so it is refused for tables with more rows.
+UNSPLIT_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -93,13 +96,18 @@ def hash_predicates(dialect: Dialect, split: HashSplit) -> list[str]:
     return clauses
 
 
+def refuse_unsplit(table: str, rows: int) -> None:
+    if rows > UNSPLIT_ROWS:
+        raise ValueError(f"{table} has {rows} rows; give a split so that it is read by many tasks")
+
+
 def read_table(
     spark: SparkSession,
     source: DatabaseSource,
     table: str,
     split: RangeSplit | HashSplit | None = None,
 ) -> DataFrame:
-    """Scan ``table``. Without a split the whole table is one task, which suits small tables only."""
+    """Scan ``table``. Without a split the table is one task; larger ones are refused after a count."""
     options = source.jdbc_options()
     if isinstance(split, HashSplit):
         url = options.pop("url")
@@ -112,4 +120,7 @@ def read_table(
             upperBound=str(split.upper),
             numPartitions=str(split.parts),
         )
+    if split is None:
+        counted = spark.read.format("jdbc").options(query=f"SELECT COUNT(*) AS n FROM {table}", **options).load()
+        refuse_unsplit(table, counted.first()[0])
     return spark.read.format("jdbc").options(dbtable=table, **options).load()

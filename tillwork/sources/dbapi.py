@@ -15,6 +15,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tillwork.sources.databases import refuse_unsplit
+
 BATCH_ROWS = 10_000
 
 
@@ -51,16 +53,18 @@ def _source_class(connect: Callable, table: str, schema: StructType, key: str |
 
     class Reader(DataSourceReader):
         def partitions(self):
-            if key is None:
-                return [KeyRange(None, None)]
+            bounds = f", MIN({key}), MAX({key})" if key is not None else ", NULL, NULL"
             connection = connect()
             try:
                 cursor = connection.cursor()
-                cursor.execute(f"SELECT MIN({key}), MAX({key}) FROM {table}")
-                low, high = cursor.fetchone()
+                cursor.execute(f"SELECT COUNT(*){bounds} FROM {table}")
+                rows, low, high = cursor.fetchone()
             finally:
                 connection.close()
-            return key_ranges(low, high, parts)
+            ranges = key_ranges(low, high, parts)
+            if len(ranges) == 1:
+                refuse_unsplit(table, rows)
+            return ranges
 
         def read(self, partition: KeyRange) -> Iterator[pa.RecordBatch]:
             arrow = to_arrow_schema(schema)

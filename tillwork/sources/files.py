@@ -15,20 +15,25 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType, layout:
 
     ``document``: an array may be spread over lines in any way; each file is read by one task, so
     large inputs should be many files. ``lines``: no element spans two lines (an array with an
-    element per line, an array per line, or plain JSON lines); such files are split.
+    element per line, an array per line, or plain JSON lines); such files are split. Malformed
+    input fails the job in both.
     """
     if layout == "document":
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
     if layout != "lines":
         raise ValueError(f"unknown layout {layout!r}; use 'document' or 'lines'")
     line = F.col("value")
-    elements = F.regexp_extract(line, r"^\s*\[?\s*(\{.*\})\s*,?\s*\]?\s*,?\s*$", 1)
+    elements = F.regexp_extract(line, r"(?s)^\s*\[?\s*(\{.*\})\s*,?\s*\]?\s*,?\s*$", 1)
+    # Lines of brackets, commas and blanks hold no element.
+    empty = line.rlike(r"^[\s\[\],]*$")
+    checked = F.when(empty, "").when(elements != "", elements).otherwise(
+        F.raise_error(F.concat(F.lit("not a line of whole JSON objects: "), F.substring(line, 1, 200)))
+    )
     array_type = f"array<{schema.simpleString()}>"
     return (
         spark.read.text(path)
-        .select(elements.alias("elements"))
-        .where(F.col("elements") != "")
-        .select(F.from_json(F.concat(F.lit("["), F.col("elements"), F.lit("]")), array_type).alias("rows"))
+        .select(F.concat(F.lit("["), checked, F.lit("]")).alias("elements"))
+        .select(F.from_json("elements", array_type, {"mode": "FAILFAST"}).alias("rows"))
         .select(F.inline("rows"))
     )
 
@@ -73,10 +78,10 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: Struc
     ``document``: Spark's XML reader; each file is read by one task, so large inputs should be many
     files. ``records``: the text is cut at the closing tags, so one large file is read by many
     tasks. That needs UTF-8 and closing tags that appear only as such (not in comments or CDATA),
-    and it skips empty elements of the form ``<tag/>``.
+    and it skips empty elements of the form ``<tag/>``. Malformed input fails the job in both.
     """
     if layout == "document":
-        return spark.read.schema(schema).option("rowTag", row_tag).xml(path)
+        return spark.read.schema(schema).options(rowTag=row_tag, mode="FAILFAST").xml(path)
     if layout != "records":
         raise ValueError(f"unknown layout {layout!r}; use 'document' or 'records'")
     closing = f"</{row_tag}>"
@@ -86,7 +91,7 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: Struc
         .text(path)
         .select(F.regexp_extract("value", opening, 0).alias("record"))
         .where(F.col("record") != "")
-        .select(F.from_xml(F.concat("record", F.lit(closing)), schema).alias("row"))
+        .select(F.from_xml(F.concat("record", F.lit(closing)), schema, {"mode": "FAILFAST"}).alias("row"))
         .select("row.*")
     )
 
