@@ -4,7 +4,8 @@ import shop as data
 from pyspark.sql import functions as F
 
 from tillwork import schemas
-from tillwork.plans import nightly
+from tillwork.plans import nightly, reports
+from tillwork.sources.files import read_preference_counts
 
 REVIEWS = [
     {"review_id": f"R{n}", "product_id": f"P{1 + n % 3}", "customer_id": "C1", "rating": 1 + n % 5, "title": "t",
@@ -61,6 +62,17 @@ def test_every_stage_twice(spark, tmp_path, rows):
     assert rows(audit) == [(False, "night-1"), (False, "night-2")]
     assert spark.table(schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS).agg(F.sum("total_reviews")).first()[0] == len(REVIEWS)
 
+    sets = reports.dashboard(spark)
+    counts = {name: df.count() for name, df in sets.items()}
+    assert counts == {
+        "kpis": 4, "categories": 3, "statuses": 3, "customers": 3, "states": 3, "products": 7, "reviews": 3,
+        "review_specifications": 4, "battery_life": 1, "storage": 1, "preferences": 3,
+    }
+    kpis = {row.kpi: row.value for row in sets["kpis"].collect()}
+    assert kpis["total_products"] == len(data.PRODUCTS)
+    reports.export_top_preferences(spark.table(schemas.BRONZE_CUSTOMER_PREFERENCES), str(tmp_path / "export"))
+    assert read_preference_counts(spark, str(tmp_path / "export")).count() == 3
+
 
 def test_large_keys_continue_in_the_second_table(spark):
     many = [("C1", "k", str(n)) for n in range(300)] + [("C2", "k", "v")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork import schemas
@@ -89,7 +89,10 @@ def top_reviewed_products(review_analytics: DataFrame, silver_products: DataFram
 
 
 def specification_rows(products: DataFrame) -> DataFrame:
-    """``product_id, name, value`` from the specification array, or from its JSON text."""
+    """``product_id, name, value`` from the specification array, or from its JSON text.
+
+    Also takes the table of further array parts, for products with very many specifications.
+    """
     specifications = F.col("specifications")
     if products.schema["specifications"].dataType.typeName() == "string":
         specifications = F.from_json(specifications, schemas.SPECIFICATIONS_TYPE)
@@ -132,3 +135,24 @@ def top_preferences(preferences: DataFrame, n: int = 10) -> DataFrame:
 
 def export_top_preferences(preferences: DataFrame, path: str, n: int = 10) -> None:
     export_csv(top_preferences(preferences, n), path, n)
+
+
+def dashboard(spark: SparkSession) -> dict[str, DataFrame]:
+    """Every result set of the dashboard, lazily, from the tables of the nightly run."""
+    by_revenue = spark.table("analytics_top_selling_categories_by_revenue")
+    goods = spark.table(schemas.SILVER_PRODUCTS)
+    specs = with_spec_numbers(spec_pivot(goods, spark.table(schemas.BRONZE_PRODUCT_SPECIFICATIONS)))
+    reviewed = top_reviewed_products(spark.table(schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS), goods)
+    return {
+        "kpis": kpi_summary(by_revenue, spark.table(schemas.GOLD_PRODUCT_PERFORMANCE)),
+        "categories": category_chart(by_revenue),
+        "statuses": status_distribution(spark.table("analytics_order_status_counts")),
+        "customers": top_customers_by_spend(spark.table("analytics_customer_stats")),
+        "states": state_revenue_treemap(spark.table("analytics_state_category_analysis")),
+        "products": top_products_table(spark.table("analytics_top_selling_products_by_revenue")),
+        "reviews": reviewed,
+        "review_specifications": specification_rows(reviewed),
+        "battery_life": ranked_spec(specs, "battery_life_hours"),
+        "storage": ranked_spec(specs, "storage_gb"),
+        "preferences": top_preferences(spark.table(schemas.BRONZE_CUSTOMER_PREFERENCES)),
+    }
