@@ -98,7 +98,7 @@ class DriverTables:
     @property
     def reviews(self) -> DataFrame:
         """Events as reviews. Views carry no aspects; the text is that of the document of the same id."""
-        votes = F.get_json_object("props", "$.k").cast("int")
+        votes = F.col("_votes")
         half = votes / F.lit(2.0)
 
         def aspect(name: str, rating):
@@ -116,7 +116,9 @@ class DriverTables:
             .otherwise(F.expr("cast(array() as array<struct<name:string,rating:double>>)"))
         )
         texts = self.raw("documents").select("doc_id", "text")
-        return self.raw("events").join(texts, F.col("event_id") == F.col("doc_id"), "left").select(
+        # A column of its own, so that the JSON is parsed once per event.
+        events = self.raw("events").withColumn("_votes", F.get_json_object("props", "$.k").cast("int"))
+        return events.join(texts, F.col("event_id") == F.col("doc_id"), "left").select(
             F.col("event_id").alias("review_id"),
             F.col("user_id").alias("product_id"),
             F.col("user_id").alias("customer_id"),
