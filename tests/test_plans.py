@@ -4,14 +4,19 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from tillwork.operators.joins import left_join_many
 
 FOLDER = os.environ.get("TILLWORK_TEST_DATA", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 
-WRITING = {"reviews_json_roundtrip", "preferences_xml_roundtrip", "specs_xml_roundtrip", "csv_export_roundtrip", "table_write_modes", "nightly_tables"}
+WRITING = {
+    "reviews_json_roundtrip", "preferences_xml_roundtrip", "specs_xml_roundtrip", "csv_export_roundtrip",
+    "table_write_modes", "nightly_tables",
+}
 
 
 def _plan(spark, name):
@@ -61,3 +66,31 @@ def test_the_product_count_skips_the_outer_joins(spark):
     plan = _plan(spark, "kpi_summary")
     products = plan[plan.index("Exchange SinglePartition"):]
     assert "Join" not in products
+
+
+def test_a_hot_right_key_is_split(spark):
+    """A third of the right rows on one key: the inner part is cut into several tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 1000)
+        right = spark.range(0, 300_000, 1, 8).select(hot.alias("key"), F.col("id").alias("value"))
+        left = spark.range(0, 1100, 1, 2).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+        joined = left_join_many(left, right, "key")
+        # A grouping on another column follows, as in the real plans.
+        total = joined.groupBy(F.col("twice") % 7).agg(F.count("value").alias("n"), F.count(F.lit(1)).alias("rows"))
+        found = total.agg(F.sum("n"), F.sum("rows"))
+        assert tuple(found.collect()[0]) == (300_000, 300_100)
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -63,7 +63,10 @@ class RangeSplit:
 
 @dataclass(frozen=True)
 class HashSplit:
-    """Hash buckets of any column, for text keys that have no even ranges. NULL keys go to bucket 0."""
+    """Hash buckets of a column, for text keys that have no even ranges. NULL keys go to bucket 0.
+
+    Equal values share a bucket, so choose a column that is unique or nearly so.
+    """
 
     column: str
     parts: int
