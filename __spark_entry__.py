@@ -27,6 +27,12 @@ from tillwork.session import new_folder, use_scale_settings  # noqa: E402
 from tillwork.sinks import tables  # noqa: E402
 from tillwork.sources import files  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from tillwork.llm import queries as corpus
+except ImportError:  # the subpackage of corpus operators is optional
+    corpus = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 
@@ -395,8 +401,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
         return run
 
-    return {name: bound(build) for name, build in _QUERIES.items()}
+    found = {name: bound(build) for name, build in _QUERIES.items()}
+    return found | ({} if corpus is None else {**corpus.QUERIES, "pipeline": corpus_pipeline.run})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | ({} if corpus is None else corpus.ORACLES)
