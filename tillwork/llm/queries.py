@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import decontamination
+from tillwork.llm import decontamination, jaccard_join
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": decontamination.op3,
+    "op8_ngram_jaccard_join": jaccard_join.op8,
 }
 
 ORACLES: dict[str, str] = {

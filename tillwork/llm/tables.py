@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.session import new_folder
+
 #: Rows per Arrow batch: with texts of a few thousand characters a batch is a few megabytes.
 ARROW_ROWS = 2_000
 
@@ -33,3 +35,10 @@ def with_length(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
         return docs
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def cut(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read again: a lost executor costs no recomputation."""
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
