@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import decontamination, jaccard_join
+from tillwork.llm import decontamination, jaccard_join, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": suffix_dedup.op1,
     "op3_benchmark_decontamination": decontamination.op3,
     "op8_ngram_jaccard_join": jaccard_join.op8,
 }
