@@ -11,10 +11,12 @@ with fewer words, the whole sequence). Two documents link when ``100 * intersect
    too much part it; the rest gets a leader, the smallest id, and every member meets that leader.
    Blocks with the same leader form one group: whoever shares a shingle also shares a group.
 3. In a group: shingles are hashed into counters, the counters are points of an R-tree, and the sum of the
-   coordinate-wise minima bounds the overlap from above. Surviving pairs are verified on the sets, unless
-   earlier links already join them. Groups beyond ``SHARD`` members are cut into shards that all
-   hold the leader; members not joined to it are then asked against every shard in turn. So no task holds
-   a whole large group, and no pair of it is left out.
+   coordinate-wise minima bounds the overlap from above. First only count vectors travel, and members whose
+   bound with every other member is too low leave the group (groups beyond ``TREE`` members go on whole). Then
+   the texts of the rest meet; pairs that survive the tree are verified on the sets, unless earlier links already
+   join them. Groups beyond ``SHARD`` members are cut into shards that all hold the leader; members not joined to
+   it are then asked against every shard in turn. So no task holds a whole large group, and no pair of it
+   is left out. The ids that need texts are broadcast only while a count shows at most ``KEYS`` of them.
 4. Spanning links are contracted to components.
 
 Defined results: a null or text without words has an empty set, links with nothing and is its own component;
@@ -35,6 +37,8 @@ from tillwork.llm import arrays, components, tables
 
 SHINGLE = 5
 SHARD = 1_000
+TREE = 10_000
+KEYS = 500_000
 FREQUENT = 65_536
 _LEAF = 16
 _BLOCK_HASHES = 4_000_000
@@ -68,20 +72,41 @@ def linked(first: np.ndarray, second: np.ndarray) -> bool:
 # The tree.
 
 
+def counters(size: int) -> int:
+    """How many groups the shingles of a set of this size are hashed into: about eight shingles each."""
+    return 1 << int(np.clip(np.ceil(np.log2(size / 8 + 1)), 4, 11))
+
+
+def count_vector(one: np.ndarray) -> np.ndarray:
+    groups = counters(len(one))
+    return np.bincount((one & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.uint32)
+
+
+def folded(vector: np.ndarray, groups: int) -> np.ndarray:
+    """The count vector over fewer groups."""
+    return vector.reshape(-1, groups).sum(0)
+
+
+def may_link(first: np.ndarray, first_size: int, second: np.ndarray, second_size: int) -> bool:
+    """Whether the bound of two count vectors leaves the similarity possible."""
+    if 100 * min(first_size, second_size) < 80 * max(first_size, second_size):
+        return False
+    groups = min(len(first), len(second))
+    overlap = int(np.minimum(folded(first, groups), folded(second, groups)).sum())
+    return 180 * overlap >= 80 * (first_size + second_size)
+
+
 class CountTree:
-    """An R-tree over count vectors, packed by size and then by place along one direction.
+    """An R-tree over count vectors of one length, packed by size and then by place along one direction.
 
     A node keeps the largest count per coordinate and the range of set sizes below it. Only upper corners
     are needed, since only upper bounds of overlaps are asked.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(one) for one in sets])
-        self.groups = 1 << int(np.clip(np.ceil(np.log2(max(int(sizes.max()), 1) / 8 + 1)), 4, 11))
-        points = np.stack([self.point(one) for one in sets])
+    def __init__(self, points: np.ndarray, sizes: np.ndarray):
         order = np.argsort(sizes, kind="stable")
-        slope = points @ np.cos(np.arange(self.groups))
-        slabs = np.arange(len(sets)) // (_LEAF * _LEAF)
+        slope = points @ np.cos(np.arange(points.shape[1]))
+        slabs = np.arange(len(sizes)) // (_LEAF * _LEAF)
         order = order[np.lexsort((slope[order], slabs))]
         self.rows = order
         self.levels = [(points[order], sizes[order], sizes[order])]
@@ -92,23 +117,62 @@ class CountTree:
                 (np.maximum.reduceat(upper, cuts), np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts))
             )
 
-    def point(self, one: np.ndarray) -> np.ndarray:
-        return np.bincount((one & np.uint64(self.groups - 1)).astype(np.int64), minlength=self.groups).astype(np.int32)
-
-    def near(self, one: np.ndarray) -> np.ndarray:
-        """Rows whose overlap with ``one`` may suffice, the largest bound first."""
-        point, size = self.point(one), len(one)
+    def near(self, point: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose overlap may suffice, and their bounds."""
         nodes = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
             upper, low, high = self.levels[depth]
             nodes = nodes[(100 * high[nodes] >= 80 * size) & (80 * low[nodes] <= 100 * size)]
-            bounds = np.minimum(upper[nodes], point).sum(1)
+            bounds = np.minimum(upper[nodes], point).sum(1, dtype=np.int64)
             kept = 180 * bounds >= 80 * (size + low[nodes])
             nodes, bounds = nodes[kept], bounds[kept]
             if depth:
                 nodes = (nodes[:, None] * _LEAF + np.arange(_LEAF)).ravel()
                 nodes = nodes[nodes < len(self.levels[depth - 1][0])]
-        return self.rows[nodes[np.argsort(-bounds, kind="stable")]]
+        return self.rows[nodes], bounds
+
+
+class CountForest:
+    """A tree per vector length. Sizes that can link differ by a quarter, so their lengths by a factor of two at most."""
+
+    def __init__(self, vectors: list[np.ndarray], sizes: list[int]):
+        self.vectors, self.sizes = vectors, np.array(sizes, np.int64)
+        lengths = np.array([len(one) for one in vectors])
+        self.trees = {}
+        for groups in {int(one) for one in lengths} | {int(one) // 2 for one in lengths}:
+            rows = np.flatnonzero((lengths == groups) | (lengths == 2 * groups))
+            points = np.stack([folded(vectors[k], groups) for k in rows]).astype(np.uint32)
+            self.trees[groups] = rows, CountTree(points, self.sizes[rows])
+
+    def near(self, vector: np.ndarray, size: int) -> np.ndarray:
+        """Rows that may link, the largest bound first."""
+        found, bounds = [], []
+        for groups in (len(vector), len(vector) // 2):
+            if groups in self.trees:
+                rows, tree = self.trees[groups]
+                places, bound = tree.near(folded(vector, groups), size)
+                found.append(rows[places])
+                bounds.append(bound)
+        if not found:
+            return np.zeros(0, np.int64)
+        found = np.concatenate(found)
+        found = found[np.argsort(-np.concatenate(bounds), kind="stable")]
+        return found[np.sort(np.unique(found, return_index=True)[1])]
+
+    def partnered(self) -> np.ndarray:
+        """Which rows may link with any other row; neighbours in the packing are tried before the tree is."""
+        known = np.zeros(len(self.vectors), bool)
+        for rows, tree in self.trees.values():
+            order = rows[tree.rows]
+            for first, second in zip(order[:-1].tolist(), order[1:].tolist()):
+                if not (known[first] and known[second]) and self._may_link(first, second):
+                    known[first] = known[second] = True
+        for k in np.flatnonzero(~known).tolist():
+            known[k] = (self.near(self.vectors[k], int(self.sizes[k])) != k).any()
+        return known
+
+    def _may_link(self, first: int, second: int) -> bool:
+        return may_link(self.vectors[first], int(self.sizes[first]), self.vectors[second], int(self.sizes[second]))
 
 
 def spanning_links(sets: list[np.ndarray]) -> tuple[list[tuple[int, int]], np.ndarray]:
@@ -119,11 +183,11 @@ def spanning_links(sets: list[np.ndarray]) -> tuple[list[tuple[int, int]], np.nd
         if linked(sets[0], sets[1]):
             return [(0, 1)], np.zeros(2, np.int64)
         return links, component
-    tree = CountTree(sets)
+    forest = CountForest([count_vector(one) for one in sets], [len(one) for one in sets])
     for k, one in enumerate(sets):
         if (component == component[0]).all():
             break
-        found = tree.near(one)
+        found = forest.near(forest.vectors[k], len(one))
         while len(found := found[component[found] != component[k]]):
             other, found = int(found[0]), found[1:]
             if linked(one, sets[other]):
@@ -136,25 +200,35 @@ def spanning_links(sets: list[np.ndarray]) -> tuple[list[tuple[int, int]], np.nd
 
 
 def _sketch(keep_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Per row: set size and a 128-bit digest of the set."""
+    """Per row: set size and a 128-bit digest of the set; with the text also the count vector."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, first, second = [], [], []
+            size, first, second, counts = [], [], [], []
             for one in shingle_sets(batch.column(1)):
                 size.append(len(one))
                 first.append(int(arrays.mix(one).sum(dtype=np.uint64)))
                 second.append(int(np.bitwise_xor.reduce(arrays.mix(one + np.uint64(77)))) if len(one) else 0)
+                if keep_text:
+                    counts.append(_narrow(count_vector(one)) if len(one) else b"")
             columns = [batch.column(0), pa.array(size, pa.int64())]
             columns += [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (first, second)]
             names = ["doc_id", "n", "c1", "c2"]
             if keep_text:
-                columns, names = [*columns, batch.column(1)], [*names, "text"]
+                columns, names = [*columns, pa.array(counts, pa.binary()), batch.column(1)], [*names, "counts", "text"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return sketch
 
 
+def _narrow(vector: np.ndarray) -> bytes:
+    return vector.astype(np.uint16 if vector.max() < 1 << 16 else np.uint32).tobytes()
+
+
+def _wide(raw: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * counters(size) else np.uint32).astype(np.uint32)
+
+
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that several documents of one stretch of rows share, with their number there."""
 
@@ -243,6 +317,36 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["leader", "member"])
 
 
+def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each leader's group, the members that may link with another one, and then the leader as well."""
+
+    def kept(leader: int, group: dict[int, tuple[int, bytes]]) -> list[tuple[int, int]]:
+        ids = list(group)
+        sizes = [group[one][0] for one in ids]
+        vectors = [_wide(group[one][1], size) for one, size in zip(ids, sizes)]
+        if len(ids) == 2:
+            chosen = ids if may_link(vectors[0], sizes[0], vectors[1], sizes[1]) else []
+        else:
+            chosen = [one for one, partnered in zip(ids, CountForest(vectors, sizes).partnered()) if partnered]
+        return [(leader, one) for one in ({*chosen, leader} if chosen else ())]
+
+    key, group, rows = None, {}, []
+    for name, batch, first, end in _grouped(batches, (0, 0)):
+        if name != key:
+            if key is not None:
+                rows += kept(key[0], group)
+            key, group = name, {}
+        part = batch.slice(first, end - first)
+        group.update(zip(part.column(1).to_pylist(), zip(part.column(2).to_pylist(), part.column(3).to_pylist())))
+        if len(rows) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], ["leader", "member"])
+            rows = []
+    if key is not None:
+        rows += kept(key[0], group)
+    columns = list(zip(*rows)) if rows else [[], []]
+    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["leader", "member"])
+
+
 _LINK_FIELDS = "a bigint, b bigint, leader bigint, shard int"
 
 
@@ -310,8 +414,9 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if tree is None:
                 if not members:
                     continue
-                order, tree, component = list(members), CountTree(list(members.values())), np.arange(len(members))
-            found, joined = tree.near(shingles), -1
+                order, component = list(members), np.arange(len(members))
+                tree = CountForest([count_vector(x) for x in members.values()], [len(x) for x in members.values()])
+            found, joined = tree.near(count_vector(shingles), len(shingles)), -1
             while len(found):
                 other, found = int(found[0]), found[1:]
                 if order[other] != one and linked(shingles, members[order[other]]):
@@ -326,11 +431,16 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def classes(documents: DataFrame) -> DataFrame:
     """One row per distinct non-empty set: digest, smallest id, its text."""
-    sketched = documents.mapInArrow(_sketch(True), "doc_id bigint, n bigint, c1 bigint, c2 bigint, text string")
+    sketched = documents.mapInArrow(_sketch(True), "doc_id bigint, n bigint, c1 bigint, c2 bigint, counts binary, text string")
     return (
         sketched.where("n > 0 and doc_id is not null")
         .groupBy("c1", "c2")
-        .agg(F.min("doc_id").alias("representative"), F.min_by("text", "doc_id").alias("text"))
+        .agg(
+            F.min("doc_id").alias("representative"),
+            F.min("n").alias("n"),
+            F.min("counts").alias("counts"),
+            F.min_by("text", "doc_id").alias("text"),
+        )
     )
 
 
@@ -354,16 +464,33 @@ def class_links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
         .distinct()
     )
     met = tables.cut(spark, met, "meetings")
-    sizes = met.groupBy("leader").agg(F.count("*").alias("members"))
-    sizes = sizes.select("leader", F.ceil(F.col("members") / SHARD).cast("int").alias("shards"))
-    members = met.join(sizes, "leader").select(
-        "leader", F.pmod(F.xxhash64("member"), F.col("shards")).cast("int").alias("shard"), "shards", "member"
+    met = met.unionByName(met.select("leader", F.col("leader").alias("member")).distinct())
+    counts = met.groupBy("leader").agg(F.count("*").alias("members"))
+    sized = met.join(counts, "leader")
+    vectors = distinct.select(F.col("representative").alias("member"), "n", "counts")
+    near = (
+        sized.where(F.col("members") <= TREE)
+        .join(vectors, "member")
+        .select("leader", "member", "n", "counts")
+        .repartition(parts, "leader")
+        .sortWithinPartitions("leader")
+        .mapInArrow(_pruned, "leader bigint, member bigint")
+    )
+    near = tables.cut(spark, near.unionByName(sized.where(F.col("members") > TREE).select("leader", "member")), "near")
+    sizes = near.groupBy("leader").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
+    members = (
+        near.where("leader <> member")
+        .join(sizes, "leader")
+        .select("leader", F.pmod(F.xxhash64("member"), F.col("shards")).cast("int").alias("shard"), "shards", "member")
     )
     leaders = sizes.select(
         "leader", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "shards", F.col("leader").alias("member")
     )
     groups = members.unionByName(leaders)
-    named = texts.withColumnRenamed("representative", "member")
+    needed = near.select("member").distinct()
+    if needed.count() <= KEYS:
+        needed = F.broadcast(needed)
+    named = texts.withColumnRenamed("representative", "member").join(needed, "member", "left_semi")
     found = (
         groups.join(named, "member")
         .select("leader", "shard", "shards", "member", "text")
