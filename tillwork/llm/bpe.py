@@ -58,7 +58,9 @@ class Vocabulary:
         self._special_pattern = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         split = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._word = regex.compile(split)
+        self._path, self._library = path, None
         characters = _byte_characters()
+        self._bytes = {one: byte for byte, one in enumerate(characters)}
         self._inner = np.array([ids[one] for one in characters], np.int64)
         self._last = np.array([ids[one + self.suffix] for one in characters], np.int64)
         pairs = [(ids[a], ids[b], ids[a + b]) for a, b in model["merges"]]
@@ -77,14 +79,25 @@ class Vocabulary:
     def words(self, text: str) -> list[str | int]:
         """The words of a text in order; ids stand for special tokens."""
         if "<|" not in text:
-            return self._word.findall(_normal(text))
+            return self._split(text)
         found: list[str | int] = []
         done = 0
         for match in self._special_pattern.finditer(text):
-            found += self._word.findall(_normal(text[done : match.start()]))
+            found += self._split(text[done : match.start()])
             found.append(self.special[match.group()])
             done = match.end()
-        return found + self._word.findall(_normal(text[done:]))
+        return found + self._split(text[done:])
+
+    def _split(self, text: str) -> list[str]:
+        """Letters, digits and marks as Unicode has them; the newest characters as the file's own library has them."""
+        if text.isascii() or all(unicodedata.category(one) != "Cn" for one in set(text)):
+            return self._word.findall(_normal(text))
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._path)
+        pieces = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+        return [bytes(map(self._bytes.__getitem__, piece)).decode() for piece, _ in pieces]
 
     # The pair occurrence index.
 

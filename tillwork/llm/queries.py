@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import decontamination, jaccard_join, language_id, pii, quality_classifier, suffix_dedup
+from tillwork.llm import bpe, decontamination, jaccard_join, language_id, pii, quality_classifier, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix_dedup.op1,
     "op3_benchmark_decontamination": decontamination.op3,
     "op4_pii": pii.op4,
     "op6_language_id": language_id.op6,
+    "op7_bpe": bpe.op7,
     "op8_ngram_jaccard_join": jaccard_join.op8,
     "op10_quality_classifier": quality_classifier.op10,
 }
