@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, decontamination, jaccard_join, language_id, pii, quality_classifier, suffix_dedup
+from tillwork.llm import bpe, decontamination, jaccard_join, language_id, pii, quality_classifier, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix_dedup.op1,
     "op3_benchmark_decontamination": decontamination.op3,
     "op4_pii": pii.op4,
+    "op5_quality_rules": quality_rules.op5,
     "op6_language_id": language_id.op6,
     "op7_bpe": bpe.op7,
     "op8_ngram_jaccard_join": jaccard_join.op8,
@@ -20,4 +21,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontamination.OP3_SQL,
+    "op5_quality_rules": quality_rules.OP5_SQL,
 }
