@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, decontamination, jaccard_join, language_id, pii, quality_classifier, quality_rules, suffix_dedup
+from tillwork.llm import bpe, decontamination, html_extraction, jaccard_join, language_id, pii, quality_classifier, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix_dedup.op1,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": language_id.op6,
     "op7_bpe": bpe.op7,
     "op8_ngram_jaccard_join": jaccard_join.op8,
+    "op9_html_extraction": html_extraction.op9,
     "op10_quality_classifier": quality_classifier.op10,
 }
 
