@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, decontamination, html_extraction, jaccard_join, language_id, pii, quality_classifier, quality_rules, suffix_dedup
+from tillwork.llm import bpe, decontamination, html_extraction, jaccard_join, language_id, pii, quality_classifier, quality_rules, suffix_dedup, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix_dedup.op1,
+    "op2_url_filters": url_filters.op2,
     "op3_benchmark_decontamination": decontamination.op3,
     "op4_pii": pii.op4,
     "op5_quality_rules": quality_rules.op5,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_url_filters": url_filters.OP2_SQL,
     "op3_benchmark_decontamination": decontamination.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
 }
