@@ -5,11 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillwork.llm import decontamination, tables
+from tillwork.llm import bpe, decontamination, jaccard_join, language_id, pii, tables
 from tillwork.session import new_folder
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is undetermined or ambiguous go."""
+    tables.use_small_batches(spark)
+    model = language_id.train(language_id.learning_rows(docs))
+    judged = language_id.predict(docs, model)
+    return judged.where((F.col("lang_pred") != language_id.UNDETERMINED) & ~F.col("ambiguous")).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays; documents without an id all stay."""
+    joined = jaccard_join.join(spark, docs)
+    first = joined.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
+    # Equal rows of one id are copies too.
+    one_each = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return one_each.unionByName(docs.where("doc_id is null"))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark are cut out; documents that mostly consist of them go."""
     tables.use_small_batches(spark)
@@ -17,8 +35,26 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return tables.with_length(decontamination.remove_spans(marked))
 
 
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by a mark of its kind."""
+    tables.use_small_batches(spark)
+    return tables.with_length(pii.mask(docs))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to."""
+    tables.use_small_batches(spark)
+    path = bpe.vocabulary_path()
+    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language id", identify_language),
+    ("n-gram jaccard join", drop_near_copies),
     ("benchmark decontamination", decontaminate),
+    ("personal data", mask_personal_data),
+    ("byte pair encoding", tokenize),
 ]
 
 #: SQL cannot express the trained language models and the pair merges; tests compare with plain versions.

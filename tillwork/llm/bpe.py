@@ -22,6 +22,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -211,10 +212,10 @@ class Coder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self._known: dict[str | int, tuple[str, str, int]] = {}
+        self._known: dict[str | int, tuple[str, str, tuple[int, ...]]] = {}
 
-    def encode(self, texts: list[str | None]) -> list[list[tuple[str, str, int]]]:
-        """Per text and word: the ids and the tokens, each joined by a space, and their number."""
+    def encode(self, texts: list[str | None]) -> list[list[tuple[str, str, tuple[int, ...]]]]:
+        """Per text and word: the ids and the tokens, each joined by a space, and the ids as numbers."""
         found = [self.vocabulary.words(text) if text else [] for text in texts]
         if len(self._known) > CACHE:
             self._known.clear()
@@ -222,10 +223,10 @@ class Coder:
         fresh = [word for word in new if isinstance(word, str)]
         tokens = self.vocabulary.tokens
         for word, ids in zip(fresh, self.vocabulary.encode(fresh)):
-            self._known[word] = " ".join(map(str, ids)), " ".join([tokens[one] for one in ids]), len(ids)
+            self._known[word] = " ".join(map(str, ids)), " ".join([tokens[one] for one in ids]), tuple(ids)
         for special in new:
             if not isinstance(special, str):
-                self._known[special] = str(special), tokens[special], 1
+                self._known[special] = str(special), tokens[special], (special,)
         return [list(map(self._known.__getitem__, words)) for words in found]
 
 
@@ -249,7 +250,7 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
         coder = _coder(path)
         for batch in batches:
             found = coder.encode(batch.column(batch.schema.get_field_index("text")).to_pylist())
-            ids = [[int(one) for word in words for one in word[0].split()] for words in found]
+            ids = [list(chain.from_iterable(word[2] for word in words)) for words in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "ids"])
 
     return documents.mapInArrow(run, schema)
@@ -279,8 +280,8 @@ def digests(documents: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             counts, ids, decoded = [], [], []
             for words in coder.encode(batch.column(batch.schema.get_field_index("text")).to_pylist()):
-                written, tokens, sizes = zip(*words) if words else ((), (), ())
-                counts.append(sum(sizes))
+                written, tokens, numbers = zip(*words) if words else ((), (), ())
+                counts.append(sum(map(len, numbers)))
                 ids.append(hashlib.sha256(" ".join(written).encode()).hexdigest())
                 decoded.append(hashlib.sha256(" ".join(tokens).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, decontamination, html_extraction, jaccard_join, language_id, pii, quality_classifier, quality_rules, suffix_dedup, url_filters
+from tillwork.llm import (
+    bpe,
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    pii,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix_dedup.op1,
