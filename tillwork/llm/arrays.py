@@ -75,7 +75,20 @@ def words_of(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tupl
 
 
 def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte slices, equal wherever the bytes are."""
+    """64-bit hashes of the byte slices, equal wherever the bytes are. ``starts`` may be in any order."""
+    if len(data) <= 2 * CHUNK_BYTES:
+        return _slice_hashes(data, starts, ends)
+    order = np.argsort(starts, kind="stable")
+    out = np.zeros(len(starts), np.uint64)
+    cuts = np.searchsorted(starts[order], np.arange(0, len(data) + CHUNK_BYTES, CHUNK_BYTES))
+    for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        if a < b:
+            chosen, low = order[a:b], k * CHUNK_BYTES
+            out[chosen] = _slice_hashes(data[low : int(ends[chosen].max())], starts[chosen] - low, ends[chosen] - low)
+    return out
+
+
+def _slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     powers, inverse = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
