@@ -14,25 +14,26 @@ from tillwork.session import new_folder
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is undetermined or ambiguous go."""
     tables.use_small_batches(spark)
-    model = language_id.train(language_id.learning_rows(docs))
-    judged = language_id.predict(docs, model)
-    return judged.where((F.col("lang_pred") != language_id.UNDETERMINED) & ~F.col("ambiguous")).select(docs.columns)
+    rows, restore = tables.set_aside(docs, language_id.ADDED)
+    judged = language_id.predict(rows, language_id.train(language_id.learning_rows(docs)))
+    return restore(judged.where((F.col("lang_pred") != language_id.UNDETERMINED) & ~F.col("ambiguous")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays; documents without an id all stay."""
     joined = jaccard_join.join(spark, docs)
-    first = joined.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
+    first = joined.where("doc_id = component_id").select("doc_id")
     # Equal rows of one id are copies too.
-    one_each = docs.where("doc_id is not null").join(first, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return one_each.unionByName(docs.where("doc_id is null"))
+    one_each = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
+    return one_each.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark are cut out; documents that mostly consist of them go."""
     tables.use_small_batches(spark)
-    marked = decontamination.mark(docs, tables.read(spark, sf_dir, "benchmark"))
-    return tables.with_length(decontamination.remove_spans(marked))
+    rows, restore = tables.set_aside(docs, ("decontamination",))
+    marked = decontamination.mark(rows, tables.read(spark, sf_dir, "benchmark"))
+    return tables.with_length(restore(decontamination.remove_spans(marked)))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

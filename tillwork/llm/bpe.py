@@ -11,7 +11,7 @@ The file may name the special tokens' strings in a text; those become their ids.
 ids with one space, as the file names no decoder. Encoded words are kept per Python worker, up to ``CACHE`` of them.
 
 Defined results: null is the empty text and gives no token; repeated rows are encoded one by one; an empty table
-gives no rows; other columns are carried or ignored.
+gives no rows; other columns are carried, but for those that bear the name of an added one.
 """
 
 from __future__ import annotations
@@ -244,6 +244,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 def encode(documents: DataFrame, path: str) -> DataFrame:
     """``documents`` with ``ids``, the ids of each text in order."""
+    documents = tables.without(documents, ("ids",))
     schema = documents.select("*", F.lit(None).cast("array<int>").alias("ids")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,6 +259,7 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the tokens of ``ids`` joined by one space; null ids are none."""
+    encoded = tables.without(encoded, ("decoded",))
     schema = encoded.select("*", F.lit("").alias("decoded")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,6 +275,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 def digests(documents: DataFrame, path: str) -> DataFrame:
     """``documents`` with the number of tokens and the digests of ids and of decoded text."""
     names = ("n_tokens", "ids_sha256", "decoded_sha256")
+    documents = tables.without(documents, names)
     schema = documents.select("*", F.lit(0).cast("bigint").alias(names[0]), *(F.lit("").alias(one) for one in names[1:])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

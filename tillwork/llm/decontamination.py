@@ -9,7 +9,8 @@ what is broadcast never grows. There is no shuffle.
 
 Defined results: a null or empty text has no words and no hits; a null or empty benchmark text gives no
 window; an item without an id marks words but is not listed; repeated rows are judged one by one; an
-empty benchmark leaves every document clean; further columns of either table are carried or ignored.
+empty benchmark leaves every document clean; further columns of the documents are
+carried, but for one named ``decontamination``.
 """
 
 from __future__ import annotations
@@ -98,7 +99,7 @@ def mark(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
 
     ``hits`` holds pairs of 64-bit byte offsets into the UTF-8 text, one per hit word, in order.
     """
-    marked = documents.withColumn("decontamination", F.lit(None).cast(_STATE))
+    marked = tables.without(documents, ("decontamination",)).withColumn("decontamination", F.lit(None).cast(_STATE))
     schema = marked.schema
     for items in _blocks(benchmark):
         marked = marked.mapInArrow(_scanner(WindowSet(items, window)), schema)

@@ -358,7 +358,7 @@ def train(pages: DataFrame, limit: int = PAGES) -> Potentials:
 
 def extract(pages: DataFrame, model: Potentials) -> DataFrame:
     """``pages`` with ``text`` in place of ``html``, and ``n_chars``; one pass, no shuffle."""
-    names = [name for name in pages.columns if name not in ("html", "text", "n_chars")]
+    names = [name for name in pages.columns if name.lower() not in ("html", "text", "n_chars")]
     schema = pages.select(*names, F.lit("").alias("text"), F.lit(0).cast("bigint").alias("n_chars")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,8 @@ id). Prediction reads whole texts. The model's size depends on the languages onl
 
 Defined results: null, empty and letterless texts are ``und`` with score 0; without any training row so is every
 text; texts too short for a trigram are decoded from the language frequencies; repeated rows are judged one by
-one; an empty table gives no rows; other columns are ignored.
+one; an empty table gives no rows; other columns are carried, but for those
+that bear the name of an added one.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ PER_LANGUAGE = 4_000
 BUCKET_BITS = 14
 UNDETERMINED = "und"
 AMBIGUOUS_MARGIN = 0.05
+ADDED = ("lang_pred", "score", "ambiguous")
 _SMOOTHING = 0.5
 _EVIDENCE = 60  # trigrams that count as independent evidence
 _CHUNK = 500_000
@@ -194,6 +196,7 @@ def _has_letter(texts: pa.Array, data: np.ndarray, offsets: np.ndarray, first: i
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` with ``lang_pred``, ``score`` and ``ambiguous``; one pass, no shuffle."""
+    documents = tables.without(documents, ADDED)
     schema = documents.select(
         "*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("ambiguous")
     ).schema

@@ -9,7 +9,8 @@ back to source spans. A find that overlaps a plain one of its kind is dropped, s
 A text without any disguise is not rewritten. All work is per row in one pass, without a shuffle.
 
 Defined results: null is the empty text and has no spans; spans are code points, end exclusive; repeated rows are judged
-one by one; an empty table gives no rows; other columns are carried or ignored.
+one by one; an empty table gives no rows; other columns are carried, but for those that bear the name of
+an added one.
 """
 
 from __future__ import annotations
@@ -243,6 +244,7 @@ def _written(spans: list[Span]) -> str:
 def annotate(documents: DataFrame) -> DataFrame:
     """``documents`` with counts, digest of the plain spans and the list of all spans."""
     names = ("n_email", "n_ip", "n_card", "n_phone")
+    documents = tables.without(documents, (*names, "base_sha256", "spans"))
     added = [F.lit(0).cast("bigint").alias(name) for name in names] + [F.lit("").alias("base_sha256"), F.lit("").alias("spans")]
     schema = documents.select("*", *added).schema
 

@@ -11,7 +11,7 @@ id); their statistics, of fixed length, are what the driver holds. Scoring is on
 
 Defined results: null and empty texts are scored like any other, from statistics that are all zero; without positives or
 without unlabelled rows every score is the prior; labels of unknown rows are ignored, repeated labels count once each;
-repeated rows are scored one by one; an empty table gives no rows; other columns are ignored.
+repeated rows are scored one by one; an empty table gives no rows; other columns are carried, but for ``score``.
 """
 
 from __future__ import annotations
@@ -192,6 +192,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` with ``score``; one pass, no shuffle."""
+    documents = tables.without(documents, ("score",))
     schema = documents.select("*", F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +44,20 @@ def cut(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def without(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``df`` without columns that bear one of ``names``, whatever their case: added columns replace them."""
+    lowered = {name.lower() for name in names}
+    return df.select([f"`{name}`" for name in df.columns if name.lower() not in lowered])
+
+
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns that bear one of ``names`` renamed, and what gives a result the columns of ``df`` again."""
+    lowered = {name.lower() for name in names}
+    renamed = {name: f"set_aside_{k}" if name.lower() in lowered else name for k, name in enumerate(df.columns)}
+
+    def restore(result: DataFrame) -> DataFrame:
+        return result.select([F.col(f"`{renamed[name]}`").alias(name) for name in df.columns])
+
+    return df.select([F.col(f"`{name}`").alias(renamed[name]) for name in df.columns]), restore
