@@ -18,12 +18,13 @@ from pyspark.sql.types import DecimalType
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_queries import NEGATIVE, ORACLES, POSITIVE  # noqa: E402
+from tillwork import schemas  # noqa: E402
 from tillwork.functions.names import clean_names, trim_names  # noqa: E402
 from tillwork.functions.text import lexicon_score  # noqa: E402
 from tillwork.operators import nesting, quality  # noqa: E402
 from tillwork.plans import customers, gold, nightly, orders, reports, silver  # noqa: E402
 from tillwork.plans.driver_tables import DriverTables  # noqa: E402
-from tillwork.session import new_folder, use_scale_settings  # noqa: E402
+from tillwork.session import new_folder, remove_folder, use_scale_settings  # noqa: E402
 from tillwork.sinks import tables  # noqa: E402
 from tillwork.sources import files  # noqa: E402
 
@@ -69,6 +70,8 @@ _DETAIL_COLUMNS = (
     "order_id", "customer_id", "order_date", "total_amount", "status", "payment_method", "product_id",
     "quantity", "unit_price", "product_name", "category", "state", "line_total",
 )
+# The right keys of the three joins, under their suffixed names.
+_JOINED_KEYS = ("order_id_order_items", "product_id_products", "customer_id_customer")
 
 
 def _performance(t: DriverTables) -> DataFrame:
@@ -95,6 +98,17 @@ def _silver_products(t: DriverTables) -> DataFrame:
     return silver.silver_products(t.products, silver.nested_specifications(t.specifications))
 
 
+def _preferences_hot_key(t: DriverTables) -> DataFrame:
+    """All preferences under five customers: every array holds every child."""
+    five = t.preferences.withColumn("customer_id", F.col("customer_id") % 5 + 1)
+    nested = silver.silver_customers(t.customers, silver.nested_preferences(five)).where("customer_id_right IS NOT NULL")
+    return nested.select(
+        "customer_id",
+        F.size("preferences").cast("bigint").alias("n"),
+        F.sha2(_joined("preferences", "TYPE", "VALUE"), 256).alias("preferences_sha256"),
+    )
+
+
 def _silver_orders(t: DriverTables) -> DataFrame:
     return silver.silver_orders(t.orders, t.customers)
 
@@ -142,10 +156,11 @@ def _json_paths(t: DriverTables) -> DataFrame:
 
 
 def _reviews_json(t: DriverTables) -> str:
-    """Reviews as JSON arrays, one array per line."""
+    """Reviews as JSON arrays, one array of up to four reviews per line."""
     path = new_folder(t.spark, "reviews-json")
-    fields = t.reviews.withColumnRenamed("review_date", "date")
-    fields.select(F.to_json(F.array(F.struct(*fields.columns))).alias("value")).write.text(path)
+    fields = t.unrounded_reviews.withColumnRenamed("review_date", "date")
+    arrays = fields.groupBy(F.floor(F.col("review_id") / 4)).agg(F.collect_list(F.struct(*fields.columns)).alias("reviews"))
+    arrays.select(F.to_json("reviews").alias("value")).write.text(path)
     return path
 
 
@@ -167,7 +182,8 @@ def _specifications_xml(t: DriverTables) -> str:
 
 def _reviews_roundtrip(t: DriverTables) -> DataFrame:
     read = files.read_reviews(t.spark, _reviews_json(t), "lines")
-    return read.withColumn("aspects", F.concat_ws("|", F.transform("aspects", lambda one: one["name"])))
+    rated = F.transform("aspects", lambda one: F.concat(one["name"], F.lit("="), one["rating"].cast("string")))
+    return read.withColumn("aspects", F.concat_ws("|", rated))
 
 
 def _preferences_roundtrip(t: DriverTables) -> DataFrame:
@@ -176,7 +192,7 @@ def _preferences_roundtrip(t: DriverTables) -> DataFrame:
 
 
 def _specifications_roundtrip(t: DriverTables) -> DataFrame:
-    read = files.read_specifications(t.spark, _specifications_xml(t))
+    read = files.read_specifications(t.spark, _specifications_xml(t), "document")
     return read.select("product_id", "spec_name", "spec_value")
 
 
@@ -193,38 +209,60 @@ def _new_database(t: DriverTables) -> str:
     return database
 
 
+def _settled(t: DriverTables, database: str, result: DataFrame, *folders: str) -> DataFrame:
+    """A short summary of the tables of ``database``, which then goes with the folders it was loaded from."""
+    rows, schema = result.collect(), result.schema
+    location = t.spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1]
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    for folder in (location, *folders):
+        remove_folder(t.spark, folder)
+    return t.spark.createDataFrame(rows, schema)
+
+
 def _table_write_modes(t: DriverTables) -> DataFrame:
-    """Every write mode on catalog tables, then one SQL text over them."""
+    """Every write mode on catalog tables, then one SQL text over them and the row counts that the writes reported."""
     database = _new_database(t)
     sales, changed, log = (f"{database}.{name}" for name in ("sales", "changed", "log"))
+    counts = {"overwrite": 0, "replace": 0, "append": 0}
     tables.overwrite_table(t.orders.select("order_id", "status"), sales)
-    tables.overwrite_table(t.orders, sales)
+    counts["overwrite"] = tables.overwrite_table(t.orders, sales, ("status",))
     tables.replace_rows(t.orders.select("order_id", "status", "total_amount"), changed)
     # Reads the table it replaces.
-    tables.replace_rows(
+    counts["replace"] = tables.replace_rows(
         t.spark.table(changed).select("order_id", F.lower("status").alias("status"), "total_amount"), changed
     )
-    tables.append_rows(t.orders.select("order_id", "status"), log)
-    tables.append_rows(t.orders.select("order_id", "status"), log)
-    tables.write_many(
+    for _ in range(2):
+        counts["append"] += tables.append_rows(t.orders.select("order_id", "status"), log)
+    many = tables.write_many(
         {
             f"{database}.months": customers.monthly_revenue(t.orders),
             f"{database}.payments": customers.payment_method_counts(t.orders),
         }
     )
-    return t.spark.sql(
+    written = " ".join(f"UNION ALL SELECT 'written', '{mode}', {count}, NULL" for mode, count in counts.items())
+    result = t.spark.sql(
         f"""
         SELECT 'overwrite' AS mode, status AS item, count(*) AS n, sum(total_amount) AS amount FROM {sales} GROUP BY status
         UNION ALL SELECT 'replace', status, count(*), sum(total_amount) FROM {changed} GROUP BY status
         UNION ALL SELECT 'append', status, count(*), NULL FROM {log} GROUP BY status
         UNION ALL SELECT 'many', order_month, 1, monthly_revenue FROM {database}.months
         UNION ALL SELECT 'many', payment_method, sum(count), NULL FROM {database}.payments GROUP BY payment_method
+        {written} UNION ALL SELECT 'written', 'many', {sum(many)}, NULL
         """
     )
+    return _settled(t, database, result)
 
 
-# A whole-number column to sum in each table of the nightly run.
+# What to sum in each table of the nightly run; money in cents.
 _NIGHTLY_FIGURES = {
+    "BRONZE_CUSTOMERS": "length(address)",
+    "BRONZE_PRODUCTS": "100 * price",
+    "BRONZE_ORDERS": "100 * total_amount",
+    "BRONZE_ORDER_ITEMS": "100 * unit_price * quantity",
+    "BRONZE_CUSTOMER_PREFERENCES": "length(preference_value)",
+    "BRONZE_PRODUCT_SPECIFICATIONS": "length(spec_value)",
+    "analytics_monthly_revenue": "100 * monthly_revenue",
+    "analytics_product_price_stats": "100 * (min_price + max_price)",
     "BRONZE_INVENTORY": "quantity",
     "BRONZE_PRODUCT_REVIEWS": "helpful_votes",
     "SILVER_CUSTOMERS": "size(preferences)",
@@ -249,7 +287,7 @@ _NIGHTLY_FIGURES = {
 
 
 def _nightly_tables(t: DriverTables) -> DataFrame:
-    """The whole nightly run into a fresh database; rows and one figure of each table it wrote."""
+    """The whole nightly run into a fresh database: rows, reported rows and one figure of each table, and the audit row."""
     sources = {
         "customers": t.customers, "products": t.products, "orders": t.orders,
         "inventory": t.inventory, "order_items": t.order_items,
@@ -269,11 +307,19 @@ def _nightly_tables(t: DriverTables) -> DataFrame:
     finally:
         t.spark.catalog.setCurrentDatabase(previous)
     counted = [
-        f"SELECT '{name}' AS table_name, count(*) AS n, "
-        f"CAST(sum({_NIGHTLY_FIGURES.get(name, 'NULL')}) AS BIGINT) AS figure FROM {database}.{name}"
-        for name in written
+        f"SELECT '{name}' AS table_name, count(*) AS n, CAST({rows} AS BIGINT) AS n_written, "
+        f"CAST(sum({_NIGHTLY_FIGURES[name]}) AS BIGINT) AS figure FROM {database}.{name}"
+        for name, rows in written.items()
     ]
-    return t.spark.sql(" UNION ALL ".join(counted))
+    audit = f"{database}.{schemas.VALIDATION_RESULTS}"
+    counted.append(
+        f"SELECT concat('audit of ', variant_get(RunId, '$.run_name', 'string'), if(RunStatus, ' passed', ' failed')), "
+        f"count(*), CAST(1 AS BIGINT), CAST(sum(variant_get(RunValidation, '$[0].unexpected_count', 'bigint')) AS BIGINT) "
+        f"FROM {audit} GROUP BY 1"
+    )
+    return _settled(
+        t, database, t.spark.sql(" UNION ALL ".join(counted)), inputs.reviews, inputs.preferences, inputs.specifications
+    )
 
 
 _EXPECTATIONS = (
@@ -285,11 +331,11 @@ _EXPECTATIONS = (
 
 
 def _expectation_results(t: DriverTables) -> DataFrame:
-    return quality.check(t.reviews, _EXPECTATIONS)
+    return quality.check(t.review_facts, _EXPECTATIONS)
 
 
 def _validation_record(t: DriverTables) -> DataFrame:
-    record = quality.validation_record(quality.check(t.reviews, _EXPECTATIONS), "whole-table")
+    record = quality.validation_record(quality.check(t.review_facts, _EXPECTATIONS), "whole-table")
     return record.select(
         F.col("RunStatus").alias("run_status"),
         F.variant_get("RunId", "$.run_name", "string").alias("run_name"),
@@ -300,7 +346,7 @@ def _validation_record(t: DriverTables) -> DataFrame:
 
 def _validation_sample(t: DriverTables) -> DataFrame:
     """The sampled form looks at 2000 rows, or all if there are fewer; which ones is open."""
-    return quality.check(t.reviews, _EXPECTATIONS[:1], sample_rows=2000).select("check_no", "element_count")
+    return quality.check(t.review_facts, _EXPECTATIONS[:1], sample_rows=2000).select("check_no", "element_count")
 
 
 def _state_by_extractor(t: DriverTables) -> DataFrame:
@@ -321,7 +367,7 @@ def _lineage(t: DriverTables) -> DataFrame:
 
 _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "clean_names": _clean_names,
-    "order_details": lambda t: _details(t).select(*_DETAIL_COLUMNS),
+    "order_details": lambda t: _details(t).select(*_DETAIL_COLUMNS, *_JOINED_KEYS),
     "product_performance": _performance,
     "category_performance": _categories,
     "customer_order_history": _order_history,
@@ -336,6 +382,7 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "silver_customers": lambda t: silver.silver_customers(
         t.customers, silver.nested_preferences(t.preferences)
     ).withColumn("preferences", _joined("preferences", "TYPE", "VALUE")),
+    "silver_preferences_hot_key": _preferences_hot_key,
     "silver_products": lambda t: _gold_specifications_text(_silver_products(t)),
     "silver_reviews_sentiment": lambda t: silver.silver_reviews(t.review_texts, _lexicon).select(
         "review_id", "sentiment_score"
@@ -366,7 +413,7 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "state_revenue_treemap": lambda t: reports.state_revenue_treemap(orders.state_category_top(_by_state(t))),
     "top_products_table": lambda t: reports.top_products_table(_top_products(t, orders.BY_REVENUE)),
     "top_reviewed_products": lambda t: _gold_specifications_text(
-        reports.top_reviewed_products(gold.review_analytics(_silver_reviews(t)), _silver_products(t))
+        reports.top_reviewed_products(gold.review_analytics(_silver_reviews(t)), t.products, t.specifications)
     ),
     "spec_pivot": lambda t: reports.spec_pivot(t.products, t.specifications),
     "spec_numbers": lambda t: _spec_ranking(t, "battery_life_hours"),

@@ -80,14 +80,17 @@ _TABLES = {
                CAST(sum(rating) AS DOUBLE) / count(rating) AS avg_rating,
                count(review_id) AS total_reviews,
                CAST(sum(CASE WHEN verified_purchase = 'true' THEN 1 ELSE 0 END) AS BIGINT) AS verified_reviews,
-               avg("Battery Life") AS avg_battery_rating, avg("Quality") AS avg_quality_rating,
-               avg("Value for Money") AS avg_value_rating,
+               CAST(sum(CAST("Battery Life" AS DECIMAL(18,6))) AS DOUBLE) / count("Battery Life") AS avg_battery_rating,
+               CAST(sum(CAST("Quality" AS DECIMAL(18,6))) AS DOUBLE) / count("Quality") AS avg_quality_rating,
+               CAST(sum(CAST("Value for Money" AS DECIMAL(18,6))) AS DOUBLE) / count("Value for Money") AS avg_value_rating,
                count(CASE WHEN sentiment_score = 'Positive' THEN 1 END) AS positive_reviews,
                count(CASE WHEN sentiment_score = 'Negative' THEN 1 END) AS negative_reviews
         FROM pivoted GROUP BY product_id""",
     "detail": """
         SELECT ord.order_id, ord.customer_id, order_date, total_amount, status, payment_method, item.product_id, quantity,
-               unit_price, product_name, category, state, quantity * unit_price AS line_total
+               unit_price, product_name, category, state, quantity * unit_price AS line_total,
+               item.order_id AS order_id_order_items, prod.product_id AS product_id_products,
+               placed.customer_id AS customer_id_customer
         FROM ord LEFT JOIN item ON ord.order_id = item.order_id
                  LEFT JOIN prod ON item.product_id = prod.product_id
                  LEFT JOIN placed ON ord.customer_id = placed.customer_id""",
@@ -214,29 +217,27 @@ def _min_between(number: int, column: str, low: int, high: int) -> str:
     )
 
 
-_DETAIL_OUT = """SELECT order_id, customer_id, order_date, CAST(total_amount AS DOUBLE) AS total_amount, status, payment_method,
+_DETAIL_OUT = """SELECT {keys} order_id, customer_id, order_date, CAST(total_amount AS DOUBLE) AS total_amount, status, payment_method,
     product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, product_name, category, state,
     CAST(line_total AS DOUBLE) AS line_total FROM detail"""
 
 _NIGHTLY_TABLES = {
-    "BRONZE_CUSTOMERS": ("NULL", "cust"),
-    "BRONZE_PRODUCTS": ("NULL", "prod"),
+    "BRONZE_CUSTOMERS": ("length(address)", "cust"),
+    "BRONZE_PRODUCTS": ("100 * price", "prod"),
     "BRONZE_INVENTORY": ("quantity", "inv"),
-    "BRONZE_ORDERS": ("NULL", "ord"),
-    "BRONZE_ORDER_ITEMS": ("NULL", "item"),
+    "BRONZE_ORDERS": ("100 * total_amount", "ord"),
+    "BRONZE_ORDER_ITEMS": ("100 * unit_price * quantity", "item"),
     "BRONZE_PRODUCT_REVIEWS": ("helpful_votes", "rev"),
-    "BRONZE_CUSTOMER_PREFERENCES": ("NULL", "pref"),
-    "BRONZE_PRODUCT_SPECIFICATIONS": ("NULL", "spec"),
+    "BRONZE_CUSTOMER_PREFERENCES": ("length(preference_value)", "pref"),
+    "BRONZE_PRODUCT_SPECIFICATIONS": ("length(spec_value)", "spec"),
     "SILVER_CUSTOMERS": (
         "n", "(SELECT cust.customer_id, nullif(count(preference_type), 0) AS n FROM cust LEFT JOIN pref "
         "ON cust.customer_id = pref.customer_id GROUP BY cust.customer_id)"
     ),
-    "SILVER_CUSTOMERS_MORE": ("NULL", "(SELECT 1 WHERE false)"),
     "SILVER_PRODUCTS": (
         "n", "(SELECT prod.product_id, count(spec_name) AS n FROM prod LEFT JOIN spec "
         "ON prod.product_id = spec.product_id GROUP BY prod.product_id)"
     ),
-    "SILVER_PRODUCTS_MORE": ("NULL", "(SELECT 1 WHERE false)"),
     "SILVER_PRODUCT_REVIEWS": ("CASE WHEN sentiment_score = 'Positive' THEN 1 ELSE 0 END", "rev"),
     "SILVER_ORDERS": (
         "CASE WHEN state IS NULL THEN 0 ELSE 1 END", "ord LEFT JOIN placed ON ord.customer_id = placed.customer_id"
@@ -254,7 +255,9 @@ _NIGHTLY_TABLES = {
     "analytics_top_selling_categories_by_revenue": ("total_quantity_sold", "top_cat WHERE metric = 'revenue'"),
     "analytics_state_category_analysis": ("order_count", "top_state"),
     "analytics_customer_stats": ("order_count", "stats"),
-    "analytics_monthly_revenue": ("NULL", "months"),
+    "analytics_monthly_revenue": (
+        "s", "(SELECT 100 * sum(total_amount) AS s FROM ord GROUP BY strftime(order_date, '%Y-%m'))"
+    ),
     "analytics_order_status_counts": ("count", "status_months"),
     "analytics_payment_method_counts": ("count", "payment_months"),
     "analytics_inventory_per_product": ("total_stock", "stock"),
@@ -264,20 +267,24 @@ _NIGHTLY_TABLES = {
     "analytics_inventory_per_warehouse": (
         "s", "(SELECT warehouse_id, sum(quantity) AS s FROM inv GROUP BY warehouse_id)"
     ),
-    "analytics_product_price_stats": ("NULL", "(SELECT DISTINCT category FROM prod)"),
+    "analytics_product_price_stats": (
+        "s", "(SELECT 100 * (min(price) + max(price)) AS s FROM prod GROUP BY category)"
+    ),
 }
 
 _NIGHTLY = "\nUNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS n, CAST(sum({figure}) AS BIGINT) AS figure FROM {source}"
+    f"SELECT '{name}' AS table_name, count(*) AS n, count(*) AS n_written, CAST(sum({figure}) AS BIGINT) AS figure FROM {source}"
     for name, (figure, source) in _NIGHTLY_TABLES.items()
-)
+) + """
+UNION ALL SELECT 'audit of driver-tables' || CASE WHEN not_false = 0 AND least BETWEEN 12 AND 20 THEN ' passed' ELSE ' failed' END, 1, 1, not_false
+FROM checks"""
 
 _BODIES = {
     "clean_names": 'SELECT c_custkey, c_name, c_mktsegment AS "Market Segment" FROM customer',
-    "order_details": _DETAIL_OUT,
+    "order_details": _DETAIL_OUT.replace("{keys}", "order_id_order_items, product_id_products, customer_id_customer,"),
     "product_performance": "SELECT * EXCLUDE (exact_revenue) FROM perf",
     "category_performance": "SELECT * FROM cat",
-    "customer_order_history": f"{_DETAIL_OUT} WHERE customer_id = 7",
+    "customer_order_history": _DETAIL_OUT.replace("{keys}", "") + " WHERE customer_id = 7",
     "top_products": "SELECT * FROM top_perf",
     "top_products_by_quantity": "SELECT * FROM top_perf WHERE metric = 'quantity_sold'",
     "top_products_by_revenue": "SELECT * FROM top_perf WHERE metric = 'revenue'",
@@ -291,6 +298,12 @@ _BODIES = {
         FROM cust LEFT JOIN (
             SELECT customer_id, string_agg(preference_type || '=' || preference_value, '|' ORDER BY preference_type, preference_value) AS preferences
             FROM pref GROUP BY customer_id) p ON cust.customer_id = p.customer_id""",
+    "silver_preferences_hot_key": """
+        SELECT cust.customer_id, n, preferences_sha256
+        FROM cust JOIN (
+            SELECT customer_id % 5 + 1 AS customer_id, count(*) AS n,
+                   sha256(string_agg(preference_type || '=' || preference_value, '|' ORDER BY preference_type, preference_value)) AS preferences_sha256
+            FROM pref GROUP BY ALL) p ON cust.customer_id = p.customer_id""",
     "silver_products": """
         SELECT prod.product_id, product_name, category, CAST(price AS DOUBLE) AS price,
                spec_text.product_id AS product_id_right, specifications
@@ -331,7 +344,7 @@ _BODIES = {
         SELECT 'total_revenue' AS kpi, CAST(sum(CAST(total_revenue AS DECIMAL(38,2))) AS DOUBLE) AS value
         FROM top_cat WHERE metric = 'revenue'
         UNION ALL SELECT 'total_orders', CAST(sum(total_orders) AS DOUBLE) FROM top_cat WHERE metric = 'revenue'
-        UNION ALL SELECT 'avg_order_value', list_reduce(list_sort(list(avg_order_value)), lambda a, b: a + b) / count(avg_order_value)
+        UNION ALL SELECT 'avg_order_value', CAST(sum(CAST(avg_order_value AS DECIMAL(28,6))) AS DOUBLE) / count(avg_order_value)
                   FROM top_cat WHERE metric = 'revenue'
         UNION ALL SELECT 'total_products', CAST(count(DISTINCT product_id) AS DOUBLE) FROM gold_perf""",
     "category_chart": """
@@ -377,9 +390,11 @@ _BODIES = {
         SELECT CAST(review_id AS VARCHAR) AS review_id, CAST(product_id AS VARCHAR) AS product_id,
                CAST(customer_id AS VARCHAR) AS customer_id, CAST(rating AS DOUBLE) AS rating, title, content, review_date,
                verified_purchase, helpful_votes,
-               CASE title WHEN 'click' THEN 'Quality' WHEN 'purchase' THEN 'Quality|Battery Life'
-                          WHEN 'signup' THEN 'Value for Money|Quality|Quality' WHEN 'error' THEN 'Packaging' ELSE '' END AS aspects
-        FROM rev""",
+               CASE title WHEN 'click' THEN 'Quality=' || whole WHEN 'purchase' THEN 'Quality=' || whole || '|Battery Life=' || half
+                          WHEN 'signup' THEN 'Value for Money=' || whole || '|Quality=' || half || '|Quality=' || whole
+                          WHEN 'error' THEN 'Packaging=' || whole ELSE '' END AS aspects
+        FROM (SELECT *, CAST(CAST(helpful_votes AS DOUBLE) AS VARCHAR) AS whole,
+                     CAST(helpful_votes / 2.0::DOUBLE AS VARCHAR) AS half FROM rev)""",
     "preferences_xml_roundtrip": """
         SELECT CAST(customer_id AS VARCHAR) AS customer_id, preference_type, preference_value FROM pref""",
     "specs_xml_roundtrip": "SELECT CAST(product_id AS VARCHAR) AS product_id, spec_name, spec_value FROM spec",
@@ -389,7 +404,11 @@ _BODIES = {
         UNION ALL SELECT 'replace', lower(status), count(*), CAST(sum(total_amount) AS DOUBLE) FROM ord GROUP BY status
         UNION ALL SELECT 'append', status, 2 * count(*), NULL FROM ord GROUP BY status
         UNION ALL SELECT 'many', order_month, 1, monthly_revenue FROM months
-        UNION ALL SELECT 'many', payment_method, CAST(sum(count) AS BIGINT), NULL FROM payment_months GROUP BY payment_method""",
+        UNION ALL SELECT 'many', payment_method, CAST(sum(count) AS BIGINT), NULL FROM payment_months GROUP BY payment_method
+        UNION ALL SELECT 'written', 'overwrite', count(*), NULL FROM ord
+        UNION ALL SELECT 'written', 'replace', count(*), NULL FROM ord
+        UNION ALL SELECT 'written', 'append', 2 * count(*), NULL FROM ord
+        UNION ALL SELECT 'written', 'many', (SELECT count(*) FROM months) + (SELECT count(*) FROM payment_months), NULL""",
     "expectation_results": "\nUNION ALL ".join(
         [
             _in_set(0, "verified_purchase", "not_false"),

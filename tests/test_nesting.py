@@ -1,8 +1,7 @@
 from collections import Counter
 
-import pytest
-
-from tillwork.operators.nesting import first_part, further_parts, nest_children
+from tillwork.operators.nesting import nest_children
+from tillwork.plans import silver
 
 FIELDS = {"kind": "TYPE", "val": "VALUE"}
 
@@ -11,23 +10,35 @@ def _children(spark, data):
     return spark.createDataFrame(data, "id string, kind string, val string")
 
 
-def test_small_keys_have_one_sorted_array(spark):
+def test_every_key_has_one_sorted_array(spark):
     data = [("a", "y", "2"), ("a", "x", "1"), ("a", "x", "1"), ("b", "z", None), (None, "n", "n")]
     nested = nest_children(_children(spark, data), "id", FIELDS, "out")
-    found = {row["id"]: [tuple(one) for one in row["out"]] for row in first_part(nested).collect()}
+    found = {row["id"]: [tuple(one) for one in row["out"]] for row in nested.collect()}
     assert found == {"a": [("x", "1"), ("x", "1"), ("y", "2")], "b": [("z", None)]}
-    assert further_parts(nested).count() == 0
 
 
-@pytest.mark.parametrize("broadcast_keys", [100, 0])
-def test_hot_key_is_spread_and_whole(spark, broadcast_keys):
-    hot = [("hot", f"k{n}", str(n)) for n in range(700)] + [("hot", "same", "copy")] * 450
+def test_a_hot_key_is_whole(spark):
+    hot = [("hot", f"k{n}", str(n)) for n in range(7000)] + [("hot", "same", "copy")] * 4500
     data = hot + [("cold", "c", str(n)) for n in range(20)] + [(None, "n", "n")] * 30
-    nested = nest_children(_children(spark, data), "id", FIELDS, "out", part_elements=100, broadcast_keys=broadcast_keys)
-    parts = nested.collect()
-    assert max(len(row["out"]) for row in parts) < 400
-    assert sum(row["id"] == "hot" for row in parts) > 5
-    assert len({(row["id"], row["part_no"]) for row in parts}) == len(parts)
-    found = Counter((row["id"], one["TYPE"], one["VALUE"]) for row in parts for one in row["out"])
+    rows = nest_children(_children(spark, data).repartition(6), "id", FIELDS, "out").collect()
+    assert sorted(row["id"] for row in rows) == ["cold", "hot"]
+    found = Counter((row["id"], one["TYPE"], one["VALUE"]) for row in rows for one in row["out"])
     assert found == Counter(row for row in data if row[0] is not None)
-    assert [row["part_no"] for row in parts if row["id"] == "cold"] == [0]
+
+
+def test_no_parent_with_children_has_a_null_array(spark):
+    """400 children of 20 customers: every child is in its parent's row."""
+    children = spark.createDataFrame(
+        [(n % 20, f"t{n}", "v") for n in range(400)], "customer_id int, preference_type string, preference_value string"
+    )
+    customers = spark.createDataFrame([(n,) for n in range(25)], "customer_id int")
+    rows = silver.silver_customers(customers, silver.nested_preferences(children)).collect()
+    assert len(rows) == 25
+    assert {row["customer_id"]: len(row["preferences"] or ()) for row in rows} == {n: 20 if n < 20 else 0 for n in range(25)}
+    assert all((row["preferences"] is None) == (row["customer_id"] >= 20) for row in rows)
+
+
+def test_equal_children_travel_counted(spark):
+    plan = nest_children(_children(spark, [("a", "x", "1")]), "id", FIELDS, "out")._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.rindex("Exchange hashpartitioning")
+    assert "partial_count" in plan[first_exchange:]

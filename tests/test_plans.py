@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tillwork.operators.joins import left_join_many
+from tillwork.plans import customers
 
 FOLDER = os.environ.get("TILLWORK_TEST_DATA", "/root/testdata/sf0.001")
 
@@ -23,7 +24,7 @@ def _plan(spark, name):
     return registry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(registry._QUERIES) - WRITING))
 def test_no_cross_join_and_no_python(spark, name):
     plan = _plan(spark, name)
     assert not re.search(r"CartesianProduct|NestedLoop|PythonUDF|EvalPython|InPandas|InArrow", plan)
@@ -57,9 +58,40 @@ def test_facts_are_aggregated_before_they_are_shuffled(spark):
         assert "partial_" in path[last_shuffle:] or "HashAggregate" in path[last_shuffle:]
 
 
-def test_history_cuts_lines_in_the_scan(spark):
+def test_history_cuts_lines_in_one_scan(spark):
     plan = _plan(spark, "customer_order_history")
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", plan)) == 1
+
+
+def test_customer_stats_place_customers_once(spark):
+    """One scan and one placement of the customers, one join after the grouping."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stats = customers.customer_stats(
+            spark.createDataFrame([("C", "a", "b")], "customer_id string, first_name string, last_name string"),
+            spark.createDataFrame([("C", "O", 1)], "customer_id string, order_id string, total_amount int"),
+        )
+        plan = stats._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Join") == 1
+    assert len(re.findall(r"FileScan parquet \[c_custkey", _plan(spark, "customer_stats"))) == 1
+
+
+@pytest.mark.parametrize("name", ["expectation_results", "validation_record", "validation_sample"])
+def test_checks_do_not_read_texts(spark, name):
+    assert "documents.parquet" not in _plan(spark, name)
+
+
+def test_reviewed_products_cut_specifications_before_nesting(spark):
+    plan = _plan(spark, "top_reviewed_products")
+    nested = plan[plan.index("collect_list"):]
+    assert "LeftSemi" in nested
+
+
+def test_headline_sums_collect_no_values(spark):
+    assert "collect_list" not in _plan(spark, "kpi_summary")
 
 
 def test_the_product_count_skips_the_outer_joins(spark):

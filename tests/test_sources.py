@@ -12,9 +12,10 @@ from tillwork import schemas
 from tillwork.plans import bronze
 from tillwork.sources import files
 from tillwork.sources.databases import (
-    DIALECTS, UNSPLIT_ROWS, DatabaseSource, HashSplit, RangeSplit, hash_predicates, read_table, refuse_unsplit,
+    DIALECTS, DatabaseSource, KeySplit, RangeSplit, key_predicates, read_table,
 )
-from tillwork.sources.dbapi import key_ranges, read_dbapi
+from tillwork.sources.dbapi import read_dbapi
+from tillwork.sources.ranges import key_ranges, literal
 
 REVIEWS = [
     {
@@ -90,10 +91,31 @@ def test_truncated_xml_fails(spark, tmp_path, layout):
         files.read_preferences(spark, str(path), layout).collect()
 
 
-def test_unsplit_scan_of_a_large_table_is_refused():
-    with pytest.raises(ValueError):
-        refuse_unsplit("t", UNSPLIT_ROWS + 1)
-    refuse_unsplit("t", UNSPLIT_ROWS)
+@pytest.mark.parametrize("layout", ["document", "lines"])
+@pytest.mark.parametrize(
+    ("aspects", "expected"),
+    [
+        ([{"name": "Quality", "rating": 4.5}, {"name": "Price"}], [("Quality", 4.5), ("Price", None)]),
+        ({"name": "Quality", "rating": 4}, [("Quality", 4.0)]),
+        ("Quality", [("Quality", None)]),
+        (7, [("7", None)]),
+        (True, [("true", None)]),
+        ([], []),
+        (None, None),
+        ([{"name": "Quality", "rating": "high"}], "fails"),
+        ({"name": "Quality", "rating": "high"}, "fails"),
+        (["Quality"], "fails"),
+    ],
+)
+def test_bad_aspects_fail_and_odd_ones_stay(spark, tmp_path, layout, aspects, expected):
+    path = tmp_path / "reviews.json"
+    path.write_text(json.dumps([{"review_id": "R1", "aspects": aspects}, {"review_id": "R2"}]))
+    read = files.read_reviews(spark, str(path), layout).select("review_id", "aspects")
+    if expected == "fails":
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            read.collect()
+    else:
+        assert _plain_rows(read) == [("R1", expected), ("R2", None)]
 
 
 def test_json_layout_must_be_known(spark):
@@ -107,6 +129,7 @@ PREFERENCES_XML = """<?xml version="1.0"?>
     <preference><type>Category</type><value>Audio &amp; TV</value></preference>
     <preference><type>Channel</type><value>12</value></preference></customer>
   <customer/>
+  <customer kind="empty"/>
   <customer id="x"><customer_id>2</customer_id><preference><type>Café</type></preference></customer>
   <customer><customer_id>C3</customer_id></customer>
 </customers>
@@ -136,6 +159,16 @@ def test_specifications_xml(spark, tmp_path, layout):
     assert _plain_rows(df) == [("P1", "storage", "64 GB")]
 
 
+def test_both_xml_layouts_give_the_same_records(spark, tmp_path):
+    path = tmp_path / "preferences.xml"
+    path.write_text(PREFERENCES_XML)
+    both = [
+        _plain_rows(files.read_xml_records(spark, str(path), "customer", schemas.PREFERENCES_XML, layout).select("customer_id"))
+        for layout in ("document", "records")
+    ]
+    assert both[0] == both[1] and len(both[0]) == 5
+
+
 def test_large_xml_file_is_cut_without_loss(spark, tmp_path):
     count = 5000
     body = "\n".join(
@@ -177,10 +210,20 @@ def test_dialects_build_urls():
     assert "databaseName=shop" in DatabaseSource("azuresql", "h", "shop").jdbc_options()["url"]
 
 
-def test_hash_predicates_cover_null_keys():
-    clauses = hash_predicates(DIALECTS["mysql"], HashSplit("order_id", 3))
-    assert len(clauses) == 3
-    assert clauses[0] == "(MOD(CRC32(order_id), 3) = 0 OR order_id IS NULL)"
+def test_key_predicates_cover_every_key():
+    clauses = key_predicates(KeySplit("k", 3), ["it's", "x"], DIALECTS["mysql"])
+    assert clauses == ["(k < 'it''s' OR k IS NULL)", "k >= 'it''s' AND k < 'x'", "k >= 'x'"]
+    assert key_predicates(KeySplit("k", 3), [], DIALECTS["oracle"]) == ["1 = 1"]
+
+
+def test_literals_of_each_product():
+    moment = dt.datetime(2024, 5, 1, 10, 30)
+    assert literal("a\\b", escaped_backslash=True) == "'a\\\\b'" and literal("a\\b") == "'a\\b'"
+    assert literal(moment, DIALECTS["oracle"].moment) == "TIMESTAMP '2024-05-01 10:30:00'"
+    assert literal(dt.date(2024, 5, 1), DIALECTS["oracle"].moment) == "TIMESTAMP '2024-05-01 00:00:00'"
+    assert literal(dt.date(2024, 5, 1)) == "'2024-05-01'" and literal(Decimal("1.50")) == "1.50"
+    with pytest.raises(TypeError):
+        literal(b"x")
 
 
 def test_jdbc_scan_over_an_embedded_database(spark, tmp_path, rows, monkeypatch):
@@ -191,7 +234,7 @@ def test_jdbc_scan_over_an_embedded_database(spark, tmp_path, rows, monkeypatch)
     driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
     df = spark.range(1, 101).select(F.col("id").alias("ORDER_ID"), (F.col("id") * 2).alias("AMOUNT"))
     df.coalesce(1).write.jdbc(url, "orders", mode="overwrite", properties={"driver": driver})
-    embedded = databases.Dialect(url=url, driver=driver, port=0, bucket="MOD({column}, {buckets})")
+    embedded = databases.Dialect(url=url, driver=driver, port=0)
     monkeypatch.setitem(databases.DIALECTS, "embedded", embedded)
     source = DatabaseSource("embedded", url=url)
     expected = rows(df)
@@ -199,12 +242,23 @@ def test_jdbc_scan_over_an_embedded_database(spark, tmp_path, rows, monkeypatch)
     ranged = read_table(spark, source, "orders", RangeSplit("ORDER_ID", 10, 60, 4))
     assert ranged.rdd.getNumPartitions() == 4
     assert rows(ranged) == expected
-    hashed = read_table(spark, source, "orders", HashSplit("ORDER_ID", 3))
-    assert hashed.rdd.getNumPartitions() == 3
-    assert rows(hashed) == expected
+    cut = read_table(spark, source, "orders", KeySplit("ORDER_ID", 3))
+    assert cut.rdd.getNumPartitions() == 3
+    assert rows(cut) == expected
     target = "bronze_from_derby"
-    assert bronze.load_table(spark, source, "orders", target, HashSplit("ORDER_ID", 3)) == 100
+    assert bronze.load_table(spark, source, "orders", target, KeySplit("ORDER_ID", 3)) == 100
     assert spark.table(target).columns == ["order_id", "amount"]
+    keys = spark.range(60).select(
+        F.concat(F.lit("k'"), F.col("id") % 25).alias("TXT"),
+        F.when(F.col("id") % 10 > 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 40).cast("int"))).alias("DAY"),
+        F.col("id").alias("N"),
+    )
+    properties = {"driver": driver, "createTableColumnTypes": "TXT VARCHAR(20)"}
+    keys.coalesce(1).write.jdbc(url, "keyed", mode="overwrite", properties=properties)
+    for column in ("TXT", "DAY"):
+        cut = read_table(spark, source, "keyed", KeySplit(column, 4))
+        assert cut.rdd.getNumPartitions() == 4
+        assert rows(cut, "TXT", "DAY", "N") == rows(keys)
 
 
 def test_dbapi_scan_in_key_ranges(spark, tmp_path, rows):
@@ -225,6 +279,12 @@ def test_dbapi_scan_in_key_ranges(spark, tmp_path, rows):
     expected = sorted(data, key=lambda row: [(value is not None, str(value)) for value in row])
     assert rows(ranged) == expected
     assert rows(read_dbapi(spark, connect, "items", schema)) == expected
+    by_text = read_dbapi(spark, connect, "items", schema, key="name", parts=4)
+    assert by_text.rdd.getNumPartitions() == 4
+    assert rows(by_text) == expected
+    by_number = read_dbapi(spark, connect, "items", schema, key="price", parts=3)
+    assert by_number.rdd.getNumPartitions() == 3
+    assert rows(by_number) == expected
 
 
 def test_key_ranges_are_open_ended():

@@ -6,8 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def mean_of(name: str) -> Column:
-    """Mean from the exact sum, as a double; NULL for no values."""
+# Ratings are averaged with this many decimals, averages of money with those of AVERAGE_TYPE.
+RATING_TYPE = "decimal(18,6)"
+AVERAGE_TYPE = "decimal(28,6)"
+
+
+def mean_of(name: str | Column) -> Column:
+    """Mean from the exact sum, as a double; NULL for no values. Doubles are cast to a decimal first."""
     return F.try_divide(F.sum(name).cast("double"), F.count(name))
 
 

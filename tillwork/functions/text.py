@@ -31,23 +31,21 @@ def place_of(answer: Column) -> Column:
 
 
 def with_state(df: DataFrame, address: str = "address", extractor: Scorer | None = None) -> DataFrame:
-    """Add ``street_temp`` (the extracted text) and ``state``.
+    """Add ``state``, the place that the extracted text names.
 
     Without an extractor the address itself is the extracted text and everything stays in one
     projection. A model-backed extractor runs once per distinct address and is joined back, so
     its cost follows the number of addresses and not the number of rows.
     """
     if extractor is None:
-        answered = df.withColumn("street_temp", F.col(address))
-    else:
-        answers = (
-            df.select(F.col(address).alias("_address"))
-            .where(F.col("_address").isNotNull())
-            .distinct()
-            .select("_address", extractor(F.col("_address")).cast("string").alias("street_temp"))
-        )
-        answered = df.join(answers, F.col(address) == F.col("_address"), "left").drop("_address")
-    return answered.withColumn("state", place_of(F.col("street_temp")))
+        return df.withColumn("state", place_of(F.col(address)))
+    answers = (
+        df.select(F.col(address).alias("_address"))
+        .where(F.col("_address").isNotNull())
+        .distinct()
+        .select("_address", place_of(extractor(F.col("_address")).cast("string")).alias("state"))
+    )
+    return df.join(answers, F.col(address) == F.col("_address"), "left").drop("_address")
 
 
 def lexicon_score(

@@ -7,77 +7,18 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Elements one array cell is meant to hold. Keys with more get further parts.
-PART_ELEMENTS = 100_000
 
-# Keys that may be broadcast; beyond that the large keys are joined like any other table.
-BROADCAST_KEYS = 500_000
+def nest_children(children: DataFrame, key: str, fields: Mapping[str, str], out: str) -> DataFrame:
+    """``key, out``: one sorted array of structs per key that holds every child row.
 
-
-def nest_children(
-    children: DataFrame,
-    key: str,
-    fields: Mapping[str, str],
-    out: str,
-    part_elements: int = PART_ELEMENTS,
-    broadcast_keys: int = BROADCAST_KEYS,
-) -> DataFrame:
-    """``key, part_no, out``: sorted arrays of structs that together hold every child row.
-
-    ``fields`` maps child columns to struct fields. A key with at most ``part_elements`` children
-    has the single part 0, its whole array. A larger key is spread over several parts, so that no
-    task builds an array of unbounded size. Large keys are counted first, which runs a job: where
-    there are none, as usual, the plan is a single grouping.
+    ``fields`` maps child columns to struct fields. Equal children are counted before they travel, so copies
+    arrive as one row and are written out only when the cell is built. A cell is one row by definition: a
+    key whose array is beyond what Spark can hold in a row fails the job, and nothing is left out. Work on single
+    elements at scale reads the child table instead.
     """
-    keyed = children.where(F.col(key).isNotNull()).select(key, *fields)
+    keyed = children.where(F.col(key).isNotNull())
+    tallies = keyed.groupBy(key, *fields).agg(F.count(F.lit(1)).alias("_copies"))
     element = F.struct(*[F.col(column).alias(field) for column, field in fields.items()])
-    large = (
-        keyed.groupBy(F.col(key).alias("_large_key"))
-        .agg(F.count(F.lit(1)).alias("_total"))
-        .where(F.col("_total") > part_elements)
-        .select("_large_key", F.ceil(F.col("_total") * 2 / part_elements).alias("_parts"))
-    )
-    found = large.count()
-    if found == 0:
-        return _whole_arrays(keyed, key, element, out)
-    if found <= broadcast_keys:
-        large = F.broadcast(large)
-    is_large = F.col(key) == F.col("_large_key")
-    small = _whole_arrays(keyed.join(large, is_large, "left_anti"), key, element, out)
-
-    # Equal children are counted before the shuffle, so a group of copies travels as one row per
-    # task; the count is then cut into slices that fit a part.
-    tallies = (
-        keyed.join(large, is_large)
-        .groupBy(key, "_parts", *fields)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    last_slice = F.floor((F.col("_copies") - 1) / part_elements)
-    slices = tallies.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), last_slice)))
-    placed = slices.select(
-        key,
-        F.pmod(F.xxhash64(*fields, "_slice"), F.col("_parts")).cast("int").alias("part_no"),
-        F.struct(
-            element.alias("element"),
-            F.least(F.lit(part_elements), F.col("_copies") - F.col("_slice") * part_elements).cast("int").alias("take"),
-        ).alias("_one"),
-    )
-    repeated = F.transform(
-        F.array_sort(F.collect_list("_one")), lambda one: F.array_repeat(one["element"], one["take"])
-    )
-    return small.unionByName(placed.groupBy(key, "part_no").agg(F.flatten(repeated).alias(out)))
-
-
-def _whole_arrays(keyed: DataFrame, key: str, element, out: str) -> DataFrame:
-    arrays = keyed.groupBy(key).agg(F.array_sort(F.collect_list(element)).alias(out))
-    return arrays.select(key, F.lit(0).alias("part_no"), out)
-
-
-def first_part(nested: DataFrame) -> DataFrame:
-    """The arrays that belong in the parent row, one per key."""
-    return nested.where(F.col("part_no") == 0).drop("part_no")
-
-
-def further_parts(nested: DataFrame) -> DataFrame:
-    """The rest of the elements of large keys; empty when every key fits one array."""
-    return nested.where(F.col("part_no") > 0)
+    one = F.struct(element.alias("element"), F.col("_copies").cast("int").alias("copies"))
+    repeated = F.transform(F.array_sort(F.collect_list(one)), lambda each: F.array_repeat(each["element"], each["copies"]))
+    return tallies.groupBy(key).agg(F.flatten(repeated).alias(out))

@@ -22,6 +22,7 @@ class ValuesInSet:
     column: str
     values: tuple
 
+    # Fixed value: the check's name in the audit records.
     name = "expect_column_values_to_be_in_set"
 
     def measures(self) -> dict[str, Column]:
@@ -51,6 +52,7 @@ class MinBetween:
     low: float
     high: float
 
+    # Fixed value: the check's name in the audit records.
     name = "expect_column_min_to_be_between"
 
     def measures(self) -> dict[str, Column]:

@@ -8,11 +8,11 @@ from tillwork import schemas
 from tillwork.functions.names import clean_names
 from tillwork.sinks.tables import overwrite_table
 from tillwork.sources import files
-from tillwork.sources.databases import DatabaseSource, HashSplit, RangeSplit, read_table
+from tillwork.sources.databases import DatabaseSource, KeySplit, RangeSplit, read_table
 
 
 def database_table(
-    spark: SparkSession, source: DatabaseSource, table: str, split: RangeSplit | HashSplit | None = None
+    spark: SparkSession, source: DatabaseSource, table: str, split: RangeSplit | KeySplit | None = None
 ) -> DataFrame:
     """A source table with cleaned names."""
     return clean_names(read_table(spark, source, table, split))
@@ -23,24 +23,24 @@ def load_table(
     source: DatabaseSource,
     table: str,
     target: str,
-    split: RangeSplit | HashSplit | None = None,
+    split: RangeSplit | KeySplit | None = None,
 ) -> int:
     return overwrite_table(database_table(spark, source, table, split), target)
 
 
 def load_reviews(
-    spark: SparkSession, path: str, layout: str = "document", target: str = schemas.BRONZE_PRODUCT_REVIEWS
+    spark: SparkSession, path: str, layout: str, target: str = schemas.BRONZE_PRODUCT_REVIEWS
 ) -> int:
     return overwrite_table(files.read_reviews(spark, path, layout), target)
 
 
 def load_preferences(
-    spark: SparkSession, path: str, target: str = schemas.BRONZE_CUSTOMER_PREFERENCES, layout: str = "document"
+    spark: SparkSession, path: str, layout: str, target: str = schemas.BRONZE_CUSTOMER_PREFERENCES
 ) -> int:
     return overwrite_table(files.read_preferences(spark, path, layout), target)
 
 
 def load_specifications(
-    spark: SparkSession, path: str, target: str = schemas.BRONZE_PRODUCT_SPECIFICATIONS, layout: str = "document"
+    spark: SparkSession, path: str, layout: str, target: str = schemas.BRONZE_PRODUCT_SPECIFICATIONS
 ) -> int:
     return overwrite_table(files.read_specifications(spark, path, layout), target)

@@ -5,7 +5,7 @@ These drop rows whose grouping key is NULL, and a sum over nothing but NULLs is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.measures import mean_of, month_text, sum_or_zero, with_copies
@@ -15,18 +15,19 @@ def customer_stats(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Spend, order count and mean order value of each known, named customer with orders.
 
     Orders are reduced to one row per customer before names are joined. Customer rows that repeat
-    an id multiply its figures as a row-by-row join would.
+    an id multiply its figures as a row-by-row join would: all rows of the id multiply the order count, equal rows
+    the spend. Customers are placed by id once; the grouping, the total per id and the join use that placement.
     """
     spend = orders.dropna(subset=["customer_id"]).groupBy("customer_id").agg(
         sum_or_zero("total_amount").alias("_spend"),
         F.count("order_id").alias("_orders"),
         mean_of("total_amount").alias("avg_order_value"),
     )
-    names = with_copies(customers, "customer_id", "first_name", "last_name")
-    matches = names.groupBy("customer_id").agg(F.sum("copies").alias("_matches"))
+    placed = customers.dropna(subset=["customer_id"]).select("customer_id", "first_name", "last_name").repartition("customer_id")
+    names = with_copies(placed, "customer_id", "first_name", "last_name")
+    names = names.withColumn("_matches", F.sum("copies").over(Window.partitionBy("customer_id")))
     return (
-        spend.join(matches, "customer_id")
-        .join(names.dropna(subset=["first_name", "last_name"]), "customer_id")
+        spend.join(names.dropna(subset=["first_name", "last_name"]), "customer_id")
         .select(
             "customer_id",
             "first_name",

@@ -97,7 +97,27 @@ class DriverTables:
 
     @property
     def reviews(self) -> DataFrame:
-        """Events as reviews. Views carry no aspects; the text is that of the document of the same id."""
+        """Events as reviews; the text is that of the document of the same id."""
+        return self._with_texts(self.review_facts)
+
+    @property
+    def unrounded_reviews(self) -> DataFrame:
+        """Reviews as a source would send them, their ratings with decimals."""
+        return self._with_texts(self._review_facts(F.col("value").cast("decimal(12,2)")))
+
+    @property
+    def review_facts(self) -> DataFrame:
+        """All of a review but its text."""
+        return self._review_facts(F.round(F.col("value").cast("decimal(12,2)"), 0).cast("decimal(38,0)"))
+
+    def _with_texts(self, facts: DataFrame) -> DataFrame:
+        texts = self.raw("documents").select(F.col("doc_id").alias("_doc_id"), F.col("text").alias("content"))
+        joined = facts.join(texts, facts["review_id"] == texts["_doc_id"], "left")
+        names = facts.columns
+        return joined.select(*names[: names.index("title") + 1], "content", *names[names.index("title") + 1 :])
+
+    def _review_facts(self, rating) -> DataFrame:
+        """Views carry no aspects."""
         votes = F.col("_votes")
         half = votes / F.lit(2.0)
 
@@ -115,16 +135,14 @@ class DriverTables:
             .when(kind == "error", F.array(aspect("Packaging", votes)))
             .otherwise(F.expr("cast(array() as array<struct<name:string,rating:double>>)"))
         )
-        texts = self.raw("documents").select("doc_id", "text")
         # A column of its own, so that the JSON is parsed once per event.
         events = self.raw("events").withColumn("_votes", F.get_json_object("props", "$.k").cast("int"))
-        return events.join(texts, F.col("event_id") == F.col("doc_id"), "left").select(
+        return events.select(
             F.col("event_id").alias("review_id"),
             F.col("user_id").alias("product_id"),
             F.col("user_id").alias("customer_id"),
-            F.round(F.col("value").cast("decimal(12,2)"), 0).cast("decimal(38,0)").alias("rating"),
+            rating.alias("rating"),
             kind.alias("title"),
-            F.col("text").alias("content"),
             F.col("ts").cast("date").alias("review_date"),
             F.when(kind == "purchase", "true").otherwise("false").alias("verified_purchase"),
             votes.cast("long").alias("helpful_votes"),

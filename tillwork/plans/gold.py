@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.functions.measures import mean_of, month_start, with_copies
+from tillwork.functions.measures import RATING_TYPE, mean_of, month_start, with_copies
 from tillwork.operators.joins import join_suffix
 
 # Rated aspects and the columns they become.
@@ -21,6 +21,7 @@ ASPECTS = {
     "Value for Money": "avg_value_rating",
 }
 
+# The columns that tell reviews apart.
 _REVIEW_COLUMNS = (
     "product_id", "review_id", "customer_id", "rating", "title", "content", "review_date",
     "verified_purchase", "sentiment_score",
@@ -92,7 +93,7 @@ def review_analytics(reviews: DataFrame, outer: bool = False) -> DataFrame:
             mean_of("rating").alias("avg_rating"),
             F.count("review_id").alias("total_reviews"),
             F.count_if(F.col("verified_purchase") == "true").alias("verified_reviews"),
-            *[F.avg(aspect).alias(out) for aspect, out in ASPECTS.items()],
+            *[mean_of(F.col(aspect).cast(RATING_TYPE)).alias(out) for aspect, out in ASPECTS.items()],
             F.count_if(F.col("sentiment_score") == "Positive").alias("positive_reviews"),
             F.count_if(F.col("sentiment_score") == "Negative").alias("negative_reviews"),
         )

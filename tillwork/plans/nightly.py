@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwork import schemas
 from tillwork.functions.names import clean_names
 from tillwork.functions.text import Scorer, lexicon_score
-from tillwork.operators import nesting, quality
+from tillwork.operators import quality
 from tillwork.plans import bronze, customers, gold, orders, silver
 from tillwork.sinks.tables import append_rows, overwrite_table, replace_rows, write_many
 
@@ -35,15 +35,16 @@ class Inputs:
     """Where the data comes from.
 
     ``table`` gives the DataFrame of a source table by name, for example
-    ``lambda name: bronze.database_table(spark, source, name, splits[name])``.
+    ``lambda name: bronze.database_table(spark, source, name, splits[name])``; each is read once a night. The
+    layouts are those of ``sources.files``: large files should be ``lines`` and ``records``, which many tasks read.
     """
 
     table: Callable[[str], DataFrame]
     reviews: str
     preferences: str
     specifications: str
-    reviews_layout: str = "document"
-    xml_layout: str = "document"
+    reviews_layout: str
+    xml_layout: str
 
 
 @dataclass(frozen=True)
@@ -70,43 +71,26 @@ def load_bronze(spark: SparkSession, inputs: Inputs) -> dict[str, int]:
     }
     xml = inputs.xml_layout
     jobs[schemas.BRONZE_PRODUCT_REVIEWS] = partial(bronze.load_reviews, spark, inputs.reviews, inputs.reviews_layout)
-    jobs[schemas.BRONZE_CUSTOMER_PREFERENCES] = partial(
-        bronze.load_preferences, spark, inputs.preferences, layout=xml
-    )
-    jobs[schemas.BRONZE_PRODUCT_SPECIFICATIONS] = partial(
-        bronze.load_specifications, spark, inputs.specifications, layout=xml
-    )
+    jobs[schemas.BRONZE_CUSTOMER_PREFERENCES] = partial(bronze.load_preferences, spark, inputs.preferences, xml)
+    jobs[schemas.BRONZE_PRODUCT_SPECIFICATIONS] = partial(bronze.load_specifications, spark, inputs.specifications, xml)
     return _together(spark, jobs)
 
 
-def bronze_to_silver(
-    spark: SparkSession, models: Models = Models(), part_elements: int = nesting.PART_ELEMENTS
-) -> dict[str, int]:
+def bronze_to_silver(spark: SparkSession, models: Models = Models()) -> dict[str, int]:
     people = clean_names(spark.table(schemas.BRONZE_CUSTOMERS))
     goods = clean_names(spark.table(schemas.BRONZE_PRODUCTS))
     sales = clean_names(spark.table(schemas.BRONZE_ORDERS))
-    # Both parts of each nesting are written, so it is computed once.
-    preferences = silver.nested_preferences(
-        spark.table(schemas.BRONZE_CUSTOMER_PREFERENCES), part_elements
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    specifications = silver.nested_specifications(
-        spark.table(schemas.BRONZE_PRODUCT_SPECIFICATIONS), part_elements
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    preferences = silver.nested_preferences(spark.table(schemas.BRONZE_CUSTOMER_PREFERENCES))
+    specifications = silver.nested_specifications(spark.table(schemas.BRONZE_PRODUCT_SPECIFICATIONS))
     tables = {
         schemas.SILVER_CUSTOMERS: silver.silver_customers(people, preferences),
-        schemas.SILVER_CUSTOMERS_MORE: nesting.further_parts(preferences),
         schemas.SILVER_PRODUCTS: silver.silver_products(goods, specifications),
-        schemas.SILVER_PRODUCTS_MORE: nesting.further_parts(specifications),
         schemas.SILVER_PRODUCT_REVIEWS: silver.silver_reviews(
             spark.table(schemas.BRONZE_PRODUCT_REVIEWS), models.sentiment
         ),
         schemas.SILVER_ORDERS: silver.silver_orders(sales, people, models.place),
     }
-    try:
-        return _together(spark, {name: partial(overwrite_table, df, name) for name, df in tables.items()})
-    finally:
-        preferences.unpersist()
-        specifications.unpersist()
+    return _together(spark, {name: partial(overwrite_table, df, name) for name, df in tables.items()})
 
 
 def validate_reviews(
@@ -135,7 +119,9 @@ def silver_to_gold(spark: SparkSession) -> dict[str, int]:
             schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS: partial(
                 replace_rows, reviews, schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS
             ),
-            schemas.GOLD_PRODUCT_PERFORMANCE: partial(overwrite_table, performance, schemas.GOLD_PRODUCT_PERFORMANCE),
+            schemas.GOLD_PRODUCT_PERFORMANCE: partial(
+                overwrite_table, performance, schemas.GOLD_PRODUCT_PERFORMANCE, ("order_month",)
+            ),
         },
     )
 
@@ -192,5 +178,5 @@ def run_nightly(spark: SparkSession, inputs: Inputs, run_name: str, models: Mode
     validate_reviews(spark, run_name)
     written |= silver_to_gold(spark)
     written |= order_analytics(spark, models)
-    written |= customer_analytics(inputs.table)
+    written |= customer_analytics(lambda name: spark.table(DATABASE_TARGETS[name]))
     return written

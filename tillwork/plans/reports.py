@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork import schemas
+from tillwork.functions.measures import AVERAGE_TYPE, mean_of
 from tillwork.functions.text import first_number, preference_key, same_text
 from tillwork.operators.ranking import top_n
+from tillwork.plans.silver import nested_specifications
 from tillwork.sinks.csv_export import export_csv
 
 # Specification names the technical charts look for, in any case.
@@ -20,14 +22,10 @@ def kpi_summary(top_categories_by_revenue: DataFrame, gold_performance: DataFram
 
     The first three describe the listed top categories, not all sales.
     """
-    # The list is a top-n table. Adding its few averages in sorted order makes the sum repeatable.
-    averages = F.array_sort(F.collect_list("avg_order_value"))
     listed = top_categories_by_revenue.agg(
         F.sum("total_revenue").cast("double").alias("total_revenue"),
         F.sum("total_orders").cast("double").alias("total_orders"),
-        F.try_divide(
-            F.aggregate(averages, F.lit(0.0), lambda total, one: total + one), F.count("avg_order_value")
-        ).alias("avg_order_value"),
+        mean_of(F.col("avg_order_value").cast(AVERAGE_TYPE)).alias("avg_order_value"),
     ).unpivot([], ["total_revenue", "total_orders", "avg_order_value"], "kpi", "value")
     # Distinct first, count second: Catalyst can then leave out the outer join behind the table.
     products = (
@@ -70,18 +68,24 @@ def top_products_table(top_products_by_revenue: DataFrame, n: int = 10) -> DataF
     )
 
 
-def top_reviewed_products(review_analytics: DataFrame, silver_products: DataFrame, n: int = 10) -> DataFrame:
+def top_reviewed_products(
+    review_analytics: DataFrame, products: DataFrame, specifications: DataFrame, n: int = 10
+) -> DataFrame:
     """The most reviewed products with name and specifications.
 
     A left join keeps every left row, so the ``n`` rows needed come from the ``n`` best on the
-    left; products are reduced to those ids before the join.
+    left; products and specifications are reduced to those ids before anything is nested.
     """
     best = top_n(review_analytics, "total_reviews", n, "product_id")
-    described = silver_products.select(
-        F.col("product_id").cast("string").alias("product_id"), "product_name", "specifications"
-    )
     # At most n rows, hence safe to broadcast.
-    wanted = described.join(F.broadcast(best.select("product_id")), "product_id", "left_semi")
+    listed = F.broadcast(best.select("product_id"))
+
+    def of_listed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("product_id", F.col("product_id").cast("string")).join(listed, "product_id", "left_semi")
+
+    names = of_listed(products.select("product_id", "product_name"))
+    nested = nested_specifications(of_listed(specifications.select("product_id", "spec_name", "spec_value")))
+    wanted = names.join(nested, "product_id", "left")
     return top_n(best.join(wanted, "product_id", "left"), "total_reviews", n, "product_id").select(
         "product_id", "product_name", "specifications", "avg_rating", "total_reviews",
         "positive_reviews", "negative_reviews",
@@ -89,10 +93,7 @@ def top_reviewed_products(review_analytics: DataFrame, silver_products: DataFram
 
 
 def specification_rows(products: DataFrame) -> DataFrame:
-    """``product_id, name, value`` from the specification array, or from its JSON text.
-
-    Also takes the table of further array parts, for products with very many specifications.
-    """
+    """``product_id, name, value`` from the specification array, or from its JSON text."""
     specifications = F.col("specifications")
     if products.schema["specifications"].dataType.typeName() == "string":
         specifications = F.from_json(specifications, schemas.SPECIFICATIONS_TYPE)
@@ -134,15 +135,17 @@ def top_preferences(preferences: DataFrame, n: int = 10) -> DataFrame:
 
 
 def export_top_preferences(preferences: DataFrame, path: str, n: int = 10) -> None:
-    export_csv(top_preferences(preferences, n), path, n)
+    """One file: the report has ``n`` rows at most."""
+    export_csv(top_preferences(preferences, n).coalesce(1), path)
 
 
 def dashboard(spark: SparkSession) -> dict[str, DataFrame]:
     """Every result set of the dashboard, lazily, from the tables of the nightly run."""
     by_revenue = spark.table("analytics_top_selling_categories_by_revenue")
     goods = spark.table(schemas.SILVER_PRODUCTS)
-    specs = with_spec_numbers(spec_pivot(goods, spark.table(schemas.BRONZE_PRODUCT_SPECIFICATIONS)))
-    reviewed = top_reviewed_products(spark.table(schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS), goods)
+    specifications = spark.table(schemas.BRONZE_PRODUCT_SPECIFICATIONS)
+    specs = with_spec_numbers(spec_pivot(goods, specifications))
+    reviewed = top_reviewed_products(spark.table(schemas.GOLD_PRODUCT_REVIEWS_ANALYTICS), goods, specifications)
     return {
         "kpis": kpi_summary(by_revenue, spark.table(schemas.GOLD_PRODUCT_PERFORMANCE)),
         "categories": category_chart(by_revenue),

@@ -6,27 +6,27 @@ from pyspark.sql import DataFrame
 
 from tillwork.functions.text import Scorer, lexicon_score, with_sentiment, with_state
 from tillwork.operators.joins import join_suffix
-from tillwork.operators.nesting import PART_ELEMENTS, first_part, nest_children
+from tillwork.operators.nesting import nest_children
 
 
-def nested_preferences(preferences: DataFrame, part_elements: int = PART_ELEMENTS) -> DataFrame:
+def nested_preferences(preferences: DataFrame) -> DataFrame:
     fields = {"preference_type": "TYPE", "preference_value": "VALUE"}
-    return nest_children(preferences, "customer_id", fields, "preferences", part_elements)
+    return nest_children(preferences, "customer_id", fields, "preferences")
 
 
-def nested_specifications(specifications: DataFrame, part_elements: int = PART_ELEMENTS) -> DataFrame:
+def nested_specifications(specifications: DataFrame) -> DataFrame:
     fields = {"spec_name": "NAME", "spec_value": "VALUE"}
-    return nest_children(specifications, "product_id", fields, "specifications", part_elements)
+    return nest_children(specifications, "product_id", fields, "specifications")
 
 
 def silver_customers(customers: DataFrame, nested: DataFrame) -> DataFrame:
     """Customers with their preference array; the key of the array side is ``customer_id_right``."""
-    return join_suffix(customers, first_part(nested), "customer_id")
+    return join_suffix(customers, nested, "customer_id")
 
 
 def silver_products(products: DataFrame, nested: DataFrame) -> DataFrame:
     """Products with their specification array; the key of the array side is ``product_id_right``."""
-    return join_suffix(products, first_part(nested), "product_id")
+    return join_suffix(products, nested, "product_id")
 
 
 def silver_reviews(reviews: DataFrame, scorer: Scorer = lexicon_score) -> DataFrame:

@@ -20,6 +20,7 @@ def _texts(*names: str) -> dict[str, T.DataType]:
     return dict.fromkeys(names, T.StringType())
 
 
+# The columns of the source tables.
 _LOADED = {"created_date": MOMENT, "last_updated": MOMENT}
 
 CUSTOMERS = _table(**_texts("customer_id", "first_name", "last_name", "email", "phone", "address"), **_LOADED)
@@ -87,7 +88,3 @@ GOLD_CUSTOMER_INSIGHTS = "GOLD_CUSTOMER_INSIGHTS"
 GOLD_PRODUCT_REVIEWS_ANALYTICS = "GOLD_PRODUCT_REVIEWS_ANALYTICS"
 GOLD_PRODUCT_PERFORMANCE = "GOLD_PRODUCT_PERFORMANCE"
 VALIDATION_RESULTS = "GreatExpeactionValidationsResults"
-
-# Our own: array elements of keys that have more children than one array cell should hold.
-SILVER_CUSTOMERS_MORE = "SILVER_CUSTOMERS_MORE"
-SILVER_PRODUCTS_MORE = "SILVER_PRODUCTS_MORE"

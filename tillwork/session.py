@@ -45,7 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
     A local session may leave it unset and gets a temporary folder. On a cluster that would be
-    one machine's disk, so there the setting is required.
+    one machine's disk, so there the setting is required; whether a ``file:`` path it names is a mounted share is up to
+    whoever sets it.
     """
     global _local_folder
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -59,6 +60,12 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``new_folder``, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier call has used."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

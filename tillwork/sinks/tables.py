@@ -1,66 +1,112 @@
-"""Catalog tables. A replaced table keeps its old rows until the new ones are complete."""
+"""Catalog tables in versions. A name is a view of its current version, so that a replacement is one metadata step."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.functions.names import quoted, trim_names
 
+_VERSION = "__version_"
+
 
 def _sql_name(name: str) -> str:
     return ".".join(quoted(part) for part in name.split("."))
 
 
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    spark.sql(f"ALTER TABLE {_sql_name(old)} RENAME TO {_sql_name(new)}")
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """The tables behind ``name``, whether they are current or not."""
+    database, _, table = name.rpartition(".")
+    where = f" IN {_sql_name(database)}" if database else ""
+    found = spark.sql(f"SHOW TABLES{where} LIKE '{table}{_VERSION}*'").collect()
+    return [f"{database}.{row.tableName}" if database else row.tableName for row in found]
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
 
 
-def _drop(spark: SparkSession, name: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {_sql_name(name)}")
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The table that ``name`` shows, if ``overwrite_table`` has made it."""
+    if not _is_view(spark, name):
+        return None
+    properties = dict(tuple(row) for row in spark.sql(f"SHOW TBLPROPERTIES {_sql_name(name)}").collect())
+    return properties.get("version")
 
 
-def overwrite_table(df: DataFrame, name: str) -> int:
-    """Replace rows and schema of ``name`` and return its row count.
+def overwrite_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
+    """Replace rows and schema of ``name`` and return the number of rows that were written.
 
-    The rows go to ``name__new`` first and the tables are swapped after the job has succeeded, so
-    ``df`` may read ``name`` and a failed job changes nothing. A run that died between the two
-    renames is repaired by the next one.
+    The rows go to a table of their own, and when they are complete the view ``name`` is pointed at it.
+    So ``df`` may read ``name``, a failed job changes nothing, and readers see the old rows or the new ones. The version
+    shown until now stays for readers that are at it and goes with the next replacement; unfinished ones go as well.
+    ``partition_by`` lays the rows out by these columns; large groups are split over several files.
     """
     spark = df.sparkSession
-    fresh, retired = f"{name}__new", f"{name}__old"
-    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(retired):
-        _rename(spark, retired, name)
-    _drop(spark, fresh)
-    _drop(spark, retired)
-    df.write.mode("overwrite").saveAsTable(fresh)
-    if spark.catalog.tableExists(name):
-        _rename(spark, name, retired)
-    _rename(spark, fresh, name)
-    _drop(spark, retired)
-    # Answered from the file footers.
-    return spark.table(name).count()
-
-
-def replace_rows(df: DataFrame, name: str) -> int:
+    shown, present = current_version(spark, name), _versions(spark, name)
+    if shown is None and spark.catalog.tableExists(name):
+        # A plain table of that name becomes a version.
+        shown = f"{name}{_VERSION}{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {_sql_name(name)} RENAME TO {_sql_name(shown)}")
+    fresh = f"{name}{_VERSION}{uuid.uuid4().hex}"
+    written = Observation()
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    try:
+        writer.saveAsTable(fresh)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {_sql_name(fresh)}")
+        if shown is not None and not spark.catalog.tableExists(name):
+            _show(spark, name, shown)
+        raise
+    _show(spark, name, fresh)
+    for old in present:
+        if old.lower() != str(shown).lower():
+            spark.sql(f"DROP TABLE IF EXISTS {_sql_name(old)}")
+    return written.get["rows"]
+
+
+def _show(spark: SparkSession, name: str, version: str) -> None:
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_sql_name(name)} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {_sql_name(version)}"
+    )
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove a view made by ``overwrite_table`` with all its versions."""
+    present = _versions(spark, name)
+    if _is_view(spark, name):
+        spark.sql(f"DROP VIEW {_sql_name(name)}")
+    for table in present:
+        spark.sql(f"DROP TABLE IF EXISTS {_sql_name(table)}")
+
+
+def replace_rows(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> int:
     """Replace the rows of ``name`` but keep its schema; create it on the first run."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        return overwrite_table(df, name)
+        return overwrite_table(df, name, partition_by)
     kept = spark.table(name).schema
     missing = {field.name.lower() for field in kept} ^ {column.lower() for column in df.columns}
     if missing:
         raise ValueError(f"columns of the new rows do not fit {name}: {sorted(missing)}")
     fitted = df.select(*[F.col(quoted(field.name)).cast(field.dataType).alias(field.name) for field in kept])
-    return overwrite_table(fitted, name)
+    return overwrite_table(fitted, name, partition_by)
 
 
-def append_rows(df: DataFrame, name: str) -> None:
-    df.write.mode("append").saveAsTable(name)
+def append_rows(df: DataFrame, name: str) -> int:
+    """Add rows to ``name``, or to the version it shows; returns their number."""
+    written = Observation()
+    target = current_version(df.sparkSession, name) or name
+    df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("append").saveAsTable(target)
+    return written.get["rows"]
 
 
 def write_many(tables: Mapping[str, DataFrame], degree: int = 10) -> list[int]:

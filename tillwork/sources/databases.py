@@ -1,46 +1,48 @@
-"""Relational tables over JDBC, split into ranges or hash buckets that executors read in parallel."""
+"""Relational tables over JDBC, split into ranges of a key that executors read in parallel."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-FETCH_ROWS = 10_000
+from tillwork.sources.ranges import NTH_LIMIT, NTH_OFFSET, KeyRange, cuts_of, ranges_between
 
-# A scan without a split is a single task, so it is refused for tables with more rows.
-UNSPLIT_ROWS = 1_000_000
+FETCH_ROWS = 10_000
 
 
 @dataclass(frozen=True)
 class Dialect:
-    """How one database product is addressed. ``bucket`` is its row-hash modulo expression."""
+    """How one database product is addressed, finds the n-th key and writes a point in time."""
 
     url: str
     driver: str
     port: int
-    bucket: str
+    nth: str = NTH_OFFSET
+    moment: str = "'{value}'"
+    escaped_backslash: bool = False
 
 
-# Source names, default ports and the products' own hash functions.
+# Source names, default ports and what the products' SQL asks for.
 DIALECTS = {
     "mysql": Dialect(
         url="jdbc:mysql://{host}:{port}/{database}",
         driver="com.mysql.cj.jdbc.Driver",
         port=3306,
-        bucket="MOD(CRC32({column}), {buckets})",
+        nth=NTH_LIMIT,
+        escaped_backslash=True,
     ),
     "oracle": Dialect(
         url="jdbc:oracle:thin:@//{host}:{port}/{database}",
         driver="oracle.jdbc.OracleDriver",
         port=1521,
-        bucket="ORA_HASH({column}, {buckets} - 1)",
+        moment="TIMESTAMP '{value}'",
     ),
     "azuresql": Dialect(
         url="jdbc:sqlserver://{host}:{port};databaseName={database}",
         driver="com.microsoft.sqlserver.jdbc.SQLServerDriver",
         port=1433,
-        bucket="ABS(CAST(CHECKSUM({column}) AS BIGINT)) % {buckets}",
     ),
 }
 
@@ -62,10 +64,11 @@ class RangeSplit:
 
 
 @dataclass(frozen=True)
-class HashSplit:
-    """Hash buckets of a column, for text keys that have no even ranges. NULL keys go to bucket 0.
+class KeySplit:
+    """About ``parts`` ranges of a key of any type, cut where the database's own order has its even positions.
 
-    Equal values share a bucket, so choose a column that is unique or nearly so.
+    Each range is one index scan of its rows. Rows without a key are in the first range. Equal values share a range, so
+    choose a column that is unique or nearly so.
     """
 
     column: str
@@ -91,31 +94,36 @@ class DatabaseSource:
         return {"url": url, "driver": dialect.driver, "fetchsize": str(FETCH_ROWS), **self.options}
 
 
-def hash_predicates(dialect: Dialect, split: HashSplit) -> list[str]:
+def key_predicates(split: KeySplit, cuts: Sequence[object], dialect: Dialect) -> list[str]:
     """WHERE clauses that together select every row once."""
-    bucket = dialect.bucket.format(column=split.column, buckets=split.parts)
-    clauses = [f"{bucket} = {number}" for number in range(split.parts)]
-    clauses[0] = f"({clauses[0]} OR {split.column} IS NULL)"
-    return clauses
+    ranges = ranges_between(cuts)
+    return [one.where(split.column, dialect.moment, dialect.escaped_backslash) for one in ranges]
 
 
-def refuse_unsplit(table: str, rows: int) -> None:
-    if rows > UNSPLIT_ROWS:
-        raise ValueError(f"{table} has {rows} rows; give a split so that it is read by many tasks")
+def find_cuts(split: KeySplit, ask: Callable[[str], list[tuple]], table: str, dialect: Dialect) -> list[object]:
+    return cuts_of(ask, table, split.column, split.parts, dialect.nth)
 
 
 def read_table(
     spark: SparkSession,
     source: DatabaseSource,
     table: str,
-    split: RangeSplit | HashSplit | None = None,
+    split: RangeSplit | KeySplit | None = None,
 ) -> DataFrame:
-    """Scan ``table``. Without a split the table is one task; larger ones are refused after a count."""
+    """Scan ``table``. Without a split it is read by one task, whatever its size: name a split for all but small tables.
+
+    A ``KeySplit`` asks the database for its cut values first, one short query each.
+    """
     options = source.jdbc_options()
-    if isinstance(split, HashSplit):
-        url = options.pop("url")
-        predicates = hash_predicates(dialect_of(source.kind), split)
-        return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+    if isinstance(split, KeySplit):
+        dialect = dialect_of(source.kind)
+
+        def ask(query: str) -> list[tuple]:
+            return [tuple(row) for row in spark.read.format("jdbc").options(query=query, **options).load().collect()]
+
+        predicates = key_predicates(split, find_cuts(split, ask, table, dialect), dialect)
+        properties = {name: value for name, value in options.items() if name != "url"}
+        return spark.read.jdbc(options["url"], table, predicates=predicates, properties=properties)
     if isinstance(split, RangeSplit):
         options.update(
             partitionColumn=split.column,
@@ -123,7 +131,4 @@ def read_table(
             upperBound=str(split.upper),
             numPartitions=str(split.parts),
         )
-    if split is None:
-        counted = spark.read.format("jdbc").options(query=f"SELECT COUNT(*) AS n FROM {table}", **options).load()
-        refuse_unsplit(table, counted.first()[0])
     return spark.read.format("jdbc").options(dbtable=table, **options).load()

@@ -7,64 +7,39 @@ module have to be importable, and the database reachable, on every executor.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tillwork.sources.databases import refuse_unsplit
+from tillwork.sources.ranges import NTH_LIMIT, KeyRange, cuts_of, key_ranges, ranges_between
 
 BATCH_ROWS = 10_000
 
 
-@dataclass
-class KeyRange(InputPartition):
-    """``low <= key < high``; a missing bound is open, and the first range also takes NULL keys."""
-
-    low: object | None
-    high: object | None
-
-    def where(self, key: str) -> str:
-        parts = []
-        if self.low is not None:
-            parts.append(f"{key} >= {self.low}")
-        if self.high is not None:
-            parts.append(f"{key} < {self.high}")
-        if not parts:
-            return "1 = 1"
-        bounded = " AND ".join(parts)
-        return bounded if self.low is not None else f"({bounded} OR {key} IS NULL)"
-
-
-def key_ranges(low: int | None, high: int | None, parts: int) -> list[KeyRange]:
-    """Even ranges from the smallest to the largest key, open at both ends."""
-    if low is None or high is None or parts < 2 or high <= low:
-        return [KeyRange(None, None)]
-    parts = min(parts, high - low + 1)
-    cuts = [low + (high - low + 1) * number // parts for number in range(1, parts)]
-    return [KeyRange(a, b) for a, b in zip([None, *cuts], [*cuts, None])]
-
-
-def _source_class(connect: Callable, table: str, schema: StructType, key: str | None, parts: int) -> type:
+def _source_class(connect: Callable, table: str, schema: StructType, key: str | None, parts: int, nth: str) -> type:
     columns = ", ".join(schema.fieldNames())
 
     class Reader(DataSourceReader):
         def partitions(self):
-            bounds = f", MIN({key}), MAX({key})" if key is not None else ", NULL, NULL"
+            if key is None or parts < 2:
+                return [KeyRange(None, None)]
             connection = connect()
-            try:
+
+            def ask(query: str) -> list[tuple]:
                 cursor = connection.cursor()
-                cursor.execute(f"SELECT COUNT(*){bounds} FROM {table}")
-                rows, low, high = cursor.fetchone()
+                cursor.execute(query)
+                return cursor.fetchall()
+
+            try:
+                low, high = ask(f"SELECT MIN({key}), MAX({key}) FROM {table}")[0]
+                if isinstance(low, int) and isinstance(high, int):
+                    return key_ranges(low, high, parts)
+                return ranges_between(cuts_of(ask, table, key, parts, nth))
             finally:
                 connection.close()
-            ranges = key_ranges(low, high, parts)
-            if len(ranges) == 1:
-                refuse_unsplit(table, rows)
-            return ranges
 
         def read(self, partition: KeyRange) -> Iterator[pa.RecordBatch]:
             arrow = to_arrow_schema(schema)
@@ -103,7 +78,11 @@ def read_dbapi(
     schema: StructType,
     key: str | None = None,
     parts: int = 1,
+    nth: str = NTH_LIMIT,
 ) -> DataFrame:
-    """Scan ``table`` with ``connect()`` connections, in ``parts`` ranges of the integer ``key``."""
-    spark.dataSource.register(_source_class(connect, table, schema, key, parts))
+    """Scan ``table`` with ``connect()`` connections, in ``parts`` ranges of ``key``, which may be of any type.
+
+    Without a key one task reads the table. ``nth`` is how the database selects the n-th key.
+    """
+    spark.dataSource.register(_source_class(connect, table, schema, key, parts, nth))
     return spark.read.format("dbapi_table").load()

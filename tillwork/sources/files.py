@@ -10,7 +10,7 @@ from tillwork import schemas
 from tillwork.functions.names import clean_names
 
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType, layout: str = "document") -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, schema: StructType, layout: str) -> DataFrame:
     """One row per element of top-level arrays.
 
     ``document``: an array may be spread over lines in any way; each file is read by one task, so
@@ -39,10 +39,16 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType, layout:
 
 
 def aspect_array(aspects: Column) -> Column:
-    """Aspects as an array; a single object counts as an array of one."""
-    single = F.try_variant_get(aspects, "$", schemas.ASPECT_TYPE)
-    return F.when(F.schema_of_variant(aspects).startswith("OBJECT"), F.array(single)).otherwise(
-        F.try_variant_get(aspects, "$", schemas.ASPECTS_TYPE)
+    """Aspects as an array. A single object counts as an array of one, and so does a bare text, number or flag: a name without a rating.
+
+    Anything else that does not fit, such as a rating that is no number, fails the job as other malformed input does.
+    """
+    kind = F.schema_of_variant(aspects)
+    named = F.struct(F.variant_get(aspects, "$", "string").alias("name"), F.lit(None).cast("double").alias("rating"))
+    return (
+        F.when(kind.startswith("ARRAY") | (kind == "VOID"), F.variant_get(aspects, "$", schemas.ASPECTS_TYPE))
+        .when(kind.startswith("OBJECT"), F.array(F.variant_get(aspects, "$", schemas.ASPECT_TYPE)))
+        .when(kind.isNotNull(), F.array(named))
     )
 
 
@@ -63,7 +69,7 @@ def project_reviews(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_reviews(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+def read_reviews(spark: SparkSession, path: str, layout: str) -> DataFrame:
     return project_reviews(read_json_array(spark, path, schemas.REVIEWS_JSON, layout))
 
 
@@ -72,13 +78,13 @@ def with_lineage(df: DataFrame, source_file: str) -> DataFrame:
     return df.withColumns({"source_file": F.lit(source_file), "last_updated": F.current_timestamp()})
 
 
-def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: StructType, layout: str = "document") -> DataFrame:
+def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: StructType, layout: str) -> DataFrame:
     """One row per ``row_tag`` element.
 
     ``document``: Spark's XML reader; each file is read by one task, so large inputs should be many
     files. ``records``: the text is cut at the closing tags, so one large file is read by many
-    tasks. That needs UTF-8 and closing tags that appear only as such (not in comments or CDATA),
-    and it skips empty elements of the form ``<tag/>``. Malformed input fails the job in both.
+    tasks. That needs UTF-8 and tags that appear only as such (not in comments or CDATA). Malformed input fails
+    the job in both, and an empty element, ``<tag/>`` too, is a row in both.
     """
     if layout == "document":
         return spark.read.schema(schema).options(rowTag=row_tag, mode="FAILFAST").xml(path)
@@ -86,12 +92,17 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: Struc
         raise ValueError(f"unknown layout {layout!r}; use 'document' or 'records'")
     closing = f"</{row_tag}>"
     opening = rf"(?s)<{row_tag}(?:\s[^>]*[^/>])?>.*"
+    empty = rf"<{row_tag}(?:\s[^>]*)?/>"
+    whole = F.regexp_extract("value", opening, 0)
+    pieces = F.concat(
+        F.regexp_extract_all("value", F.lit(empty), F.lit(0)),
+        F.when(whole != "", F.array(F.concat(whole, F.lit(closing)))).otherwise(F.array().cast("array<string>")),
+    )
     return (
         spark.read.option("lineSep", closing)
         .text(path)
-        .select(F.regexp_extract("value", opening, 0).alias("record"))
-        .where(F.col("record") != "")
-        .select(F.from_xml(F.concat("record", F.lit(closing)), schema, {"mode": "FAILFAST"}).alias("row"))
+        .select(F.explode(pieces).alias("record"))
+        .select(F.from_xml("record", schema, {"mode": "FAILFAST"}).alias("row"))
         .select("row.*")
     )
 
@@ -107,14 +118,14 @@ def _children_of(records: DataFrame, path: str, key: str, child: str, outs: dict
     )
 
 
-def read_preferences(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+def read_preferences(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """``customer`` records with ``preference`` children."""
     records = read_xml_records(spark, path, "customer", schemas.PREFERENCES_XML, layout)
     outs = {"type": "preference_type", "value": "preference_value"}
     return _children_of(records, path, "customer_id", "preference", outs)
 
 
-def read_specifications(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+def read_specifications(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """``product`` records with ``specification`` children."""
     records = read_xml_records(spark, path, "product", schemas.SPECIFICATIONS_XML, layout)
     outs = {"name": "spec_name", "value": "spec_value"}
