@@ -45,8 +45,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to."""
     tables.use_small_batches(spark)
-    path = bpe.vocabulary_path()
-    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    encoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), bpe.vocabulary_path())
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
 
 

@@ -22,7 +22,6 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,8 @@ from pyspark.sql import functions as F
 from tillwork.llm import tables
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 300_000
+CACHE = 100_000
+_TEXTS = 400  # at a time
 _NONE = np.int64(1) << 40
 
 
@@ -212,10 +212,10 @@ class Coder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self._known: dict[str | int, tuple[str, str, tuple[int, ...]]] = {}
+        self._known: dict[str | int, tuple[str, str, bytes]] = {}
 
-    def encode(self, texts: list[str | None]) -> list[list[tuple[str, str, tuple[int, ...]]]]:
-        """Per text and word: the ids and the tokens, each joined by a space, and the ids as numbers."""
+    def encode(self, texts: list[str | None]) -> list[list[tuple[str, str, bytes]]]:
+        """Per text and word: the ids and the tokens, each joined by a space, and the ids as 32-bit numbers."""
         found = [self.vocabulary.words(text) if text else [] for text in texts]
         if len(self._known) > CACHE:
             self._known.clear()
@@ -223,10 +223,10 @@ class Coder:
         fresh = [word for word in new if isinstance(word, str)]
         tokens = self.vocabulary.tokens
         for word, ids in zip(fresh, self.vocabulary.encode(fresh)):
-            self._known[word] = " ".join(map(str, ids)), " ".join([tokens[one] for one in ids]), tuple(ids)
+            self._known[word] = " ".join(map(str, ids)), " ".join([tokens[one] for one in ids]), np.array(ids, np.int32).tobytes()
         for special in new:
             if not isinstance(special, str):
-                self._known[special] = str(special), tokens[special], (special,)
+                self._known[special] = str(special), tokens[special], np.array([special], np.int32).tobytes()
         return [list(map(self._known.__getitem__, words)) for words in found]
 
 
@@ -249,10 +249,36 @@ def encode(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
-        for batch in batches:
-            found = coder.encode(batch.column(batch.schema.get_field_index("text")).to_pylist())
-            ids = [list(chain.from_iterable(word[2] for word in words)) for words in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], [*batch.schema.names, "ids"])
+        for batch, found in _encoded(coder, batches):
+            yield pa.RecordBatch.from_arrays([*batch.columns, _id_lists(found)], [*batch.schema.names, "ids"])
+
+    return documents.mapInArrow(run, schema)
+
+
+def _encoded(coder: Coder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[tuple[str, str, bytes]]]]]:
+    """A few texts at a time, with their words."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, _TEXTS):
+            part = batch.slice(first, _TEXTS)
+            yield part, coder.encode(part.column(part.schema.get_field_index("text")).to_pylist())
+
+
+def _id_lists(found: list[list[tuple[str, str, bytes]]]) -> pa.Array:
+    joined = [b"".join([word[2] for word in words]) for words in found]
+    offsets = np.cumsum([0, *(len(one) // 4 for one in joined)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(joined), np.int32)))
+
+
+def round_trip(documents: DataFrame, path: str) -> DataFrame:
+    """``documents`` with ``ids`` and ``decoded``, as ``encode`` and ``decode`` give them, in one pass."""
+    documents = tables.without(documents, ("ids", "decoded"))
+    schema = documents.select("*", F.lit(None).cast("array<int>").alias("ids"), F.lit("").alias("decoded")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path)
+        for batch, found in _encoded(coder, batches):
+            decoded = pa.array([" ".join([word[1] for word in words]) for words in found], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, _id_lists(found), decoded], [*batch.schema.names, "ids", "decoded"])
 
     return documents.mapInArrow(run, schema)
 
@@ -280,11 +306,11 @@ def digests(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path)
-        for batch in batches:
+        for batch, found in _encoded(coder, batches):
             counts, ids, decoded = [], [], []
-            for words in coder.encode(batch.column(batch.schema.get_field_index("text")).to_pylist()):
+            for words in found:
                 written, tokens, numbers = zip(*words) if words else ((), (), ())
-                counts.append(sum(map(len, numbers)))
+                counts.append(sum(map(len, numbers)) // 4)
                 ids.append(hashlib.sha256(" ".join(written).encode()).hexdigest())
                 decoded.append(hashlib.sha256(" ".join(tokens).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(

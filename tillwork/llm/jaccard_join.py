@@ -41,7 +41,7 @@ TREE = 10_000
 KEYS = 500_000
 FREQUENT = 65_536
 _LEAF = 16
-_BLOCK_HASHES = 4_000_000
+_BLOCK_HASHES = 1_500_000
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
