@@ -6,8 +6,7 @@ A text's bit values are mean weights over all of its trigrams. Decoding adds, pe
 each bit weighted by how reliable that bit was on the training rows, and takes the smallest total. The score is the
 decoded probability; texts whose two best codewords are close are flagged as ambiguous.
 
-Training reads at most ``PER_LANGUAGE`` labelled texts of each language (the first in order of a hash of the
-id). Prediction reads whole texts. The model's size depends on the languages only and travels in the tasks.
+Training reads about ``PER_LANGUAGE`` labelled texts of each language, chosen by a hash of the id. Prediction reads whole texts. The model's size depends on the languages only and travels in the tasks.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0; without any training row so is every
 text; texts too short for a trigram are decoded from the language frequencies; repeated rows are judged one by
@@ -22,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import arrays, tables
@@ -103,15 +102,13 @@ def decode(model: Model, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _training_rows(labelled: DataFrame, per_language: int) -> DataFrame:
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        labelled.where("lang is not null and text is not null")
-        .select("doc_id", "lang", F.row_number().over(order).alias("place"))
-        .where(F.col("place") <= per_language)
-        .select("doc_id")
-        .distinct()
-    )
-    return labelled.where("lang is not null and text is not null").join(F.broadcast(chosen), "doc_id", "left_semi")
+    """All rows of small languages; of a large one those whose id hashes into the share that leaves ``per_language``."""
+    usable = labelled.where("lang is not null and text is not null")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("rows"))
+    # One row per language.
+    shares = F.broadcast(counts.select("lang", F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("rows")).alias("share")))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    return usable.join(shares, "lang").where(place < F.col("share")).select("lang", "text")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +132,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on ``labelled(doc_id, text, lang)``. The driver gets one count per language and bucket."""
-    rows = _training_rows(labelled, per_language).select("lang", "text")
+    rows = _training_rows(labelled, per_language)
     found = (
         rows.mapInArrow(_counts, "lang string, bucket bigint, count bigint")
         .groupBy("lang", "bucket")
