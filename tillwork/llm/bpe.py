@@ -72,6 +72,8 @@ class Vocabulary:
         last = np.append(keys[order][1:] != keys[order][:-1], True)
         self._keys, self._ranks = keys[order][last], order[last].astype(np.int64)
         self._made = np.array([made for *_, made in pairs], np.int64)
+        self._id_names = [f"{k}{end}" for end in " \n" for k in range(self._size)]
+        self._token_names = [f"{self.tokens.get(k, '')}{end}" for end in " \n" for k in range(self._size)]
         self._left = np.array([a for a, *_ in pairs], np.int64)
         self._right = np.array([b for _, b, _ in pairs], np.int64)
 
@@ -107,10 +109,10 @@ class Vocabulary:
         places = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
         return np.where(self._keys[places] == keys, self._ranks[places], _NONE)
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in turn, and where each word's begin and the last one's end."""
         if not words:
-            return []
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         raw = [word.encode() for word in words]
         sizes = np.array([len(one) for one in raw])
         ends = np.cumsum(sizes)
@@ -171,15 +173,27 @@ class Vocabulary:
                     irregular.append(found[early])
                 enter(found)
         alive = symbol >= 0
-        left = symbol[alive].tolist()
-        bounds = np.concatenate(([0], np.cumsum(alive)))[np.concatenate(([0], ends))].tolist()
-        out = [left[a:b] for a, b in zip(bounds, bounds[1:])]
+        ids = symbol[alive]
+        bounds = np.concatenate(([0], np.cumsum(alive)))[np.concatenate(([0], ends))]
         if irregular:
+            pieces = np.split(ids, bounds[1:-1])
             for k in np.unique(np.searchsorted(ends, np.concatenate(irregular), "right")).tolist():
-                out[k] = self._encode_one(raw[k])
-        return out
-
-    def _encode_one(self, raw: bytes) -> list[int]:
+                pieces[k] = self._encode_one(raw[k])
+            ids, bounds = np.concatenate(pieces), np.cumsum([0, *map(len, pieces)])
+        return ids, bounds
+
+    def written(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[list[str], list[str], list[bytes]]:
+        """Per word: ids and tokens, each joined by a space, and the ids as 32-bit numbers."""
+        numbers = ids.astype(np.int32).tobytes()
+        cuts = (4 * bounds).tolist()
+        last = np.zeros(len(ids), np.int64)
+        last[bounds[1:] - 1] = self._size
+        places = (ids + last).tolist()
+        # No id or token holds a space or a line end, so one string for all can be split again.
+        both = ("".join(map(names.__getitem__, places)).split("\n")[:-1] for names in (self._id_names, self._token_names))
+        return *both, [numbers[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _encode_one(self, raw: bytes) -> np.ndarray:
         """Merge the pair of lowest rank, the leftmost of equals, until none is left."""
         data = np.frombuffer(raw, np.uint8)
         symbols = np.append(self._inner[data[:-1]], self._last[data[-1]])
@@ -189,7 +203,7 @@ class Vocabulary:
             if ranks[at] == _NONE:
                 break
             symbols = np.concatenate([symbols[:at], [self._made[ranks[at]]], symbols[at + 2 :]])
-        return symbols.tolist()
+        return symbols
 
 
 def _alternate(places: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -221,12 +235,10 @@ class Coder:
             self._known.clear()
         new = list({word for words in found for word in words}.difference(self._known))
         fresh = [word for word in new if isinstance(word, str)]
-        tokens = self.vocabulary.tokens
-        for word, ids in zip(fresh, self.vocabulary.encode(fresh)):
-            self._known[word] = " ".join(map(str, ids)), " ".join([tokens[one] for one in ids]), np.array(ids, np.int32).tobytes()
+        self._known.update(zip(fresh, zip(*self.vocabulary.written(*self.vocabulary.encode(fresh)))))
         for special in new:
             if not isinstance(special, str):
-                self._known[special] = str(special), tokens[special], np.array([special], np.int32).tobytes()
+                self._known[special] = str(special), self.vocabulary.tokens[special], np.array([special], np.int32).tobytes()
         return [list(map(self._known.__getitem__, words)) for words in found]
 
 

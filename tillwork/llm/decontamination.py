@@ -4,8 +4,8 @@ Texts are lower-cased (A-Z only) and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\
 item gives its runs of ``WINDOW`` consecutive words, a shorter one its whole sequence. Document windows are
 looked up by hash; each hit is verified on the words themselves, so a hash collision changes nothing.
 
-Benchmark sets beyond ``BLOCK_BYTES`` are scanned in several blocks, each broadcast on its own, so
-what is broadcast never grows. There is no shuffle.
+Benchmark sets beyond ``BLOCK_BYTES`` are scanned in several blocks, each broadcast on its own with a written pass over
+the documents, so what is broadcast never grows. There is no shuffle.
 
 Defined results: a null or empty text has no words and no hits; a null or empty benchmark text gives no
 window; an item without an id marks words but is not listed; repeated rows are judged one by one; an
@@ -101,7 +101,9 @@ def mark(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     """
     marked = tables.without(documents, ("decontamination",)).withColumn("decontamination", F.lit(None).cast(_STATE))
     schema = marked.schema
-    for items in _blocks(benchmark):
+    for number, items in enumerate(_blocks(benchmark)):
+        if number:  # one pass at a time, so that a task never holds two blocks
+            marked = tables.cut(marked.sparkSession, marked, "decontamination")
         marked = marked.mapInArrow(_scanner(WindowSet(items, window)), schema)
     return marked
 
