@@ -18,7 +18,7 @@ def test_measures_as_by_brute_force(spark, corpus, prose):
 
 
 def test_policies_and_ablations_read_the_ledger_only(spark, corpus):
-    rows = quality_rules.ledger(spark.createDataFrame(corpus, "doc_id long, text string")).select("doc_id", "failures")
+    rows = quality_rules.store(spark, spark.createDataFrame(corpus, "doc_id long, text string"))
     policy = quality_rules.VERSIONS["3"]
     failures = {row["doc_id"]: row["failures"] for row in rows.collect()}
     kept = {row["doc_id"] for row in rows.where(quality_rules.passes(policy)).collect()}

@@ -2,7 +2,8 @@
 
 Every rule is evaluated once per document. The ledger keeps the measurements and one long whose bit r is set where rule
 r fails. Policies are versioned masks over these bits: applying one, or asking what would be kept without one of its
-rules, is a bitwise operation on the ledger and never reads a text again.
+rules, is a bitwise operation on the ledger and never reads a text again. The ledger is a table to be written (``store``):
+a filter on one that is not would be pushed down into the measurements and evaluate them many times over.
 
 Repeated eight-word windows are found within the row, by a 64-bit hash of each window. Only texts that hold a hash twice
 are sorted. There is no shuffle.
@@ -134,6 +135,11 @@ def ledger(documents: DataFrame) -> DataFrame:
     return measure(tables.without(documents, _ADDED)).withColumn("failures", failures)
 
 
+def store(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """The ledger without the texts, written below the shared folder and read again."""
+    return tables.cut(spark, ledger(documents).drop("text"), "ledger")
+
+
 def passes(policy: Policy) -> Column:
     """Whether a ledger row has no failure that the policy counts."""
     return F.col("failures").bitwiseAND(F.lit(policy.mask).cast("bigint")) == 0
