@@ -31,7 +31,8 @@ def model():
     [
         (None, ""),
         ("", ""),
-        ("<", ""),
+        ("<p", ""),
+        (f"<article><p>{BODY}</p><p class=", BODY),
         ("<script>x", ""),
         (f"<article><p>{BODY}", BODY),
         (f"<article><p>a<br>b <b>bo<i>ld</b></i>c</p><div class=ad>Buy</div><p>x &lt;tag&gt; &#233; &nbsp; y</p>", "a b boldc x <tag> é y"),

@@ -73,7 +73,7 @@ _FRAME = frozenset(("html", "body"))
 _TELLING = _NOT_CONTENT_TAGS | _CONTENT_TAGS | _DROPPED | {"header"}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^>]*\Z|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
 _NAMES = re.compile(r"(?i)(?:^|[\s\"'])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")

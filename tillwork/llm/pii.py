@@ -267,10 +267,16 @@ def annotate(documents: DataFrame) -> DataFrame:
 
 
 def masked(text: str | None) -> str | None:
-    """The text with a mark in place of each span; spans that overlap share the first one's mark."""
-    spans = sorted(find(text)[1], key=lambda one: (one[1], -one[2]))
-    if not spans:
-        return text
+    """The text with a mark in place of each span; spans that overlap share the first one's mark.
+
+    Marks part what was too long to be one number, so the search is repeated until nothing is found.
+    """
+    while text and (spans := sorted(find(text)[1], key=lambda one: (one[1], -one[2]))):
+        text = _marked(text, spans)
+    return text
+
+
+def _marked(text: str, spans: list[Span]) -> str:
     parts, done = [], 0
     kind, start, end = spans[0]
     for other, first, last in [*spans[1:], ("", len(text) + 1, 0)]:
