@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.sources.ranges import NTH_LIMIT, NTH_OFFSET, KeyRange, cuts_of, ranges_between
+from tillwork.sources.ranges import NTH_LIMIT, NTH_OFFSET, cuts_of, ranges_between
 
 FETCH_ROWS = 10_000
 
