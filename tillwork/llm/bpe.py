@@ -8,7 +8,7 @@ updated. A merge that gives rise to a pair of lower rank would have to yield to
 that happens are encoded again one by one.
 
 The file may name the special tokens' strings in a text; those become their ids. Decoding joins the tokens of the
-ids with one space, as the file names no decoder. Encoded words are kept per Python worker, up to ``CACHE`` of them.
+ids with one space, as the file names no decoder. Encoded words are kept within a task, about ``CACHE`` of them.
 
 Defined results: null is the empty text and gives no token; repeated rows are encoded one by one; an empty table
 gives no rows; other columns are carried, but for those that bear the name of an added one.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tillwork.llm import tables
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 100_000
+CACHE = 40_000
 _TEXTS = 400  # at a time
 _NONE = np.int64(1) << 40
 
@@ -242,6 +242,12 @@ class Coder:
         return [list(map(self._known.__getitem__, words)) for words in found]
 
 
+    def forget(self) -> None:
+        """At the end of a task, so that idle Python workers hold the vocabulary only."""
+        self._known = {}
+        pa.default_memory_pool().release_unused()
+
+
 @lru_cache(maxsize=1)
 def _coder(path: str) -> Coder:
     """One coder per Python worker."""
@@ -273,6 +279,7 @@ def _encoded(coder: Coder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[
         for first in range(0, batch.num_rows, _TEXTS):
             part = batch.slice(first, _TEXTS)
             yield part, coder.encode(part.column(part.schema.get_field_index("text")).to_pylist())
+    coder.forget()
 
 
 def _id_lists(found: list[list[tuple[str, str, bytes]]]) -> pa.Array:

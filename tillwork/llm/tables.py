@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillwork.session import new_folder
 
 #: Rows per Arrow batch: with texts of a few thousand characters a batch is a few megabytes.
-ARROW_ROWS = 2_000
+ARROW_ROWS = 1_000
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
