@@ -47,6 +47,31 @@ def test_main_text(model, source, text):
     assert html_extraction.main_text(source, model) == text
 
 
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<html><head><title>t</title><body>",
+        "<head><meta charset=x><title>t</title><style>p{}</style>",
+        "<html><head><head><title>t</title><noframes>n</noframes><template><p>x</p></template></head><body>",
+        "<html><head><script>a</script><img src=a><a href=b></a>",
+        "<html><head><title>t</title></body>",
+    ],
+)
+def test_a_head_left_open_ends_where_the_body_starts(model, start):
+    assert html_extraction.main_text(f"{start}<article><p>{BODY}</p></article>", model) == BODY
+
+
+def test_text_ends_a_head(model):
+    assert html_extraction.Page("<head> <title>t</title> Words<p>more").text[-3:] == ["Words", "", "more"]
+    assert html_extraction.Page("<head> <title>t</title> <![CDATA[c]]></head> ").text == [""] * 3
+
+
+@pytest.mark.parametrize("name", ["math", "object", "map", "canvas", "audio", "video"])
+def test_elements_that_hold_text_are_read(model, name):
+    source = f"<article><p>{BODY} Then <{name} a=b><i>x</i>=1</{name}> holds.</p></article>"
+    assert html_extraction.main_text(source, model) == f"{BODY} Then x=1 holds."
+
+
 def test_whole_article_of_generated_pages(model):
     for k in range(200, 260):
         expected = [f"Title {k}"] + [f"Paragraph {j} of page {k}: {BODY}" for j in range(2 + k % 4)]

@@ -3,8 +3,8 @@
 A page becomes a tree of its block elements with the text blocks as leaves. Every node has a hidden label, content or
 not. A node's evidence (its tag, what its class and id names say, and for text blocks length, link share and
 punctuation) and its parent's label are tied to the label by potentials; sum-product messages go up the tree and down
-again, and a text block is kept where its content marginal is one half or more. Scripts, styles, forms and page
-heads are no text at all.
+again, and a text block is kept where its content marginal is one half or more. Scripts, styles, forms, drawings, frames and
+page heads are no text at all; formulas and what stands inside objects, maps and players are.
 
 Potentials are counted on labelled pages: those with an ``article`` or ``main`` element label themselves, with
 navigation, asides, footers, forms, adverts and comments inside it labelled as not content. Each such page is counted twice,
@@ -12,7 +12,7 @@ the second time with these two tags read as plain divisions, so that pages witho
 evidence. Training reads at most ``PAGES`` pages, the first in order of a hash of the id; counts are added by Spark.
 
 Defined results: null and empty pages and pages without content give an empty text; unclosed, stray and truncated tags
-end where a browser would end them or at the page's end; repeated rows are extracted one by one; an empty table gives no
+end where a browser would end them or at the page's end, a head at the first tag or text that cannot stand in it; repeated rows are extracted one by one; an empty table gives no
 rows; other columns are carried.
 """
 
@@ -43,8 +43,9 @@ _BOUND = 1.0
 
 # Element names of HTML.
 _DROPPED = frozenset(
-    "script style noscript template head title form select option textarea button svg math canvas iframe object audio video map datalist".split()
+    "script style noscript template head title form select option textarea button svg iframe datalist".split()
 )
+_IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())  # all else ends a head
 _RAW = frozenset("script style textarea title noscript iframe".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset(
@@ -114,13 +115,18 @@ class Page:
                 self._close(name)
                 continue
             self._open(name, match.group(3) or "")
-            if name in _RAW:
+            if name in _RAW or name == "noframes" and self._in_head():
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, done)
                 done = end.end() if end else size
                 self._close(name)
         self._flush()
 
+    def _in_head(self) -> bool:
+        return self.tag[self._stack[-1]] == "head"
+
     def _words(self, raw: str, escaped: bool = True) -> None:
+        if escaped and self._in_head() and raw.strip(" \t\n\f\r"):
+            self._close("head")
         if self._skipping or not raw:
             return
         text = html.unescape(raw) if escaped and "&" in raw else raw
@@ -145,6 +151,10 @@ class Page:
         self.link_share.append(0.0)
 
     def _open(self, name: str, attributes: str) -> None:
+        if self._in_head() and name not in _IN_HEAD:
+            if name == "head":
+                return
+            self._close("head")
         if name == "a":
             self._links = 1
         if name in ("br", "hr"):
