@@ -40,6 +40,46 @@ def test_disguises_map_back_to_the_source(text, kind, shown):
     assert pii.masked(text) == text.replace(shown, pii.MASKS[kind])
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "shown"),
+    [
+        ("write to john at example.com, please", "email", "john at example.com"),
+        ("write to john at example.co.uk. Then", "email", "john at example.co.uk"),
+        ("write to john at mail.example dot com", "email", "john at mail.example dot com"),
+        ("escribe a juan arroba ejemplo punto com hoy", "email", "juan arroba ejemplo punto com"),
+        ("juan [arroba] ejemplo.es hoy", "email", "juan [arroba] ejemplo.es"),
+        ("jean arobase exemple point fr !", "email", "jean arobase exemple point fr"),
+        ("hans at beispiel punkt de", "email", "hans at beispiel punkt de"),
+        ("host one nine two dot one six eight dot one dot one x", "ip", "one nine two dot one six eight dot one dot one"),
+        ("host 192 punto uno seis ocho punto 1 (dot) uno x", "ip", "192 punto uno seis ocho punto 1 (dot) uno"),
+        ("call five five five two six one nine four now", "phone", "five five five two six one nine four"),
+        ("call zéro six un deux neuf neuf quatre deux sept.", "phone", "zéro six un deux neuf neuf quatre deux sept"),
+        ("+\u09e7 \u09eb\u09eb\u09eb \u09e7\u09e8\u09e9 \u09ea\u09eb\u09ec\u09ed", "phone", "+\u09e7 \u09eb\u09eb\u09eb \u09e7\u09e8\u09e9 \u09ea\u09eb\u09ec\u09ed"),
+        ("\U0001d7ec\U0001d7ed.2.3.4", "ip", "\U0001d7ec\U0001d7ed.2.3.4"),
+        ("x \U0001d423\U0001d428\U0001d421\U0001d427@example.com", "email", "\U0001d423\U0001d428\U0001d421\U0001d427@example.com"),
+        ("é o\ufb03@example.com", "email", "o\ufb03@example.com"),
+        ("\u24d9o@example\ufe52com", "email", "\u24d9o@example\ufe52com"),
+    ],
+)
+def test_disguises_behind_the_gates(text, kind, shown):
+    test_disguises_map_back_to_the_source(text, kind, shown)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "look at example.com or visit us at example.com", "priced at 3.5 million", "see it at main.py", "he came at noon.In the end", "meet at www.example.com",
+        "one two three four five six seven eight", "un point de vue", "una arroba de trigo", "punkt zwei dot drei", "12 m\u00b2 \u00bd",
+    ],
+)
+def test_prose_near_the_gates_stays(text):
+    test_plain_prose_stays(text)
+
+
+def test_long_runs_of_blanks_take_no_longer():
+    assert pii.find("a" + " " * 20_000 + "b dot c" + " " * 20_000 + "at x") == ([], [])
+
+
 @pytest.mark.parametrize("text", ["the dot in the text at noon", "look at this", "1, 2, 3, 4, 5, 6, 7, 8", "un chat et un chien", "", None, "Привет, мир"])
 def test_plain_prose_stays(text):
     assert pii.find(text) == ([], []) and pii.masked(text) == text

@@ -2,10 +2,13 @@
 
 The plain text is searched first, per kind from left to right without overlaps (``BASE``). Then a transducer rewrites
 disguises and keeps, for every character it writes, the source characters it stands for: characters that look like
-ASCII (full width, Cyrillic and Greek look-alikes, digits of other scripts, dashes and spaces), invisible ones, spelled
-digits in runs, and at/dot in brackets or as words. The same search runs over the rewritten text, and its finds are mapped
+ASCII (Cyrillic and Greek look-alikes, what NFKC or the digit property of Unicode gives, dashes and spaces), invisible ones,
+spelled digits in runs or beside a disguised dot, and at/dot in brackets or as words of the four languages. The same search runs over the rewritten text, and its finds are mapped
 back to source spans. A find that overlaps a plain one of its kind is dropped, so the method only adds spans.
 
+A bare English "at" is a sign only before a domain that is disguised or ends in a name of ``_TOP``; in the second case not after
+words such as "us" or "look", nor before "www.". Eight or nine spelled digits that only count up or down are no phone number.
+
 A text without any disguise is not rewritten. All work is per row in one pass, without a shuffle.
 
 Defined results: null is the empty text and has no spans; spans are code points, end exclusive; repeated rows are judged
@@ -94,18 +97,45 @@ _DIGIT_NAMES = {
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
-_CHARACTERS = {one: plain for plain, found in _LOOK_ALIKES.items() for one in found}
+
+
+def _characters() -> dict[str, str]:
+    """ASCII for each character that stands for some: by the list above, as a digit of any script, or by NFKC."""
+    found = {}
+    for one in map(chr, range(0x80, 0x20000)):  # none beyond
+        number = unicodedata.digit(one, None)
+        plain = str(number) if number is not None else unicodedata.normalize("NFKC", one)
+        if plain.isascii() and (len(plain) == 1 or plain.isalnum()):
+            found[one] = plain
+    return found | {one: plain for plain, listed in _LOOK_ALIKES.items() for one in listed}
+
+
+_CHARACTERS = _characters()
 _NAME = "|".join(sorted(_DIGIT_NAMES, key=len, reverse=True))
 _NAMES = re.compile(rf"(?i)\b(?:plus[\s,.-]+)?(?:(?:{_NAME}|[0-9])[\s,.-]+){{6,}}(?:{_NAME}|[0-9])\b")
 _ONE_NAME = re.compile(rf"(?i)\b(?:plus|{_NAME}|[0-9])\b")
-_AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+at\s+)"
-_DOT = r"(?:\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+)"
+# The names of the two signs, but for "at", which prose holds too.
+_AT_NAMES = "arroba|arobase|arrobase|arobas|klammeraffe|ät"
+_DOT_NAMES = "dot|punto|point|punkt"
+_AT = rf"(?:\s*[\[({{<]\s*(?:at|{_AT_NAMES}|@)\s*[\])}}>]\s*|\s+(?:at|{_AT_NAMES})\s+)"
+_DOT = rf"(?:\s*[\[({{<]\s*(?:{_DOT_NAMES}|\.)\s*[\])}}>]\s*|\s+(?:{_DOT_NAMES})\s+)"
 _DISGUISED = re.compile(rf"(?i)(?<=[A-Z0-9])(?:{_DOT}|{_AT})(?=[A-Z0-9])")
 _AT_ONLY = re.compile(rf"(?i){_AT}")
-# A bare " at " counts only where the domain after it is disguised as well, or follows brackets.
-_BARE_AT = re.compile(rf"(?i)\s+at\s+(?=[A-Z0-9-]+(?:{_DOT}[A-Z0-9-]+)+)")
-_HINT = re.compile(r"(?i)[\[({<]\s*(?:at|dot|[@.])\s*[\])}>]|\sdot\s")
-_FOREIGN = re.compile(f"[{re.escape(''.join(_CHARACTERS))}\uff01-\uff5e\u0660-\u0669\u06f0-\u06f9\u0966-\u096f]")
+# Ends of domains; words before "at" that are no mailbox.
+_TOP = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|eu|de|at|ch|li|fr|be|lu|es|mx|ar|cl|pe|uk|ie|us|ca|au|nz|za|in|it|nl|pt|br|pl|cz|se|no|dk|fi|ru|jp|cn"
+_NO_MAILBOX = frozenset(
+    "us me him her them it you we they is are was were be been am look looks looking looked stay live lives work works worked working hosted"
+    " found available online here there now out only sold bought published posted read see shop order register sign page site website".split()
+)
+_LABELS = r"[A-Z0-9-]+(?:\.[A-Z0-9-]+)*"
+# A bare " at " counts where the domain after it is disguised anywhere, or (the second group) is plain but has a known end.
+_BARE_AT = re.compile(
+    rf"(?i)(?<=[A-Z0-9])\s+at\s+(?=(?:({_LABELS}{_DOT}[A-Z0-9])|(?!www\.)((?:[A-Z0-9-]+\.)+(?-i:{_TOP}|{_TOP.upper()}|Com|Org|Net)(?![\w-]|\.\w))))"
+)
+_LAST_WORD = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_HINT = re.compile(rf"(?i)[\[({{<]\s*(?:at|{_AT_NAMES}|{_DOT_NAMES}|[@.])\s*[\])}}>]|\s(?:{_AT_NAMES}|{_DOT_NAMES})\s")
+_DOT_SIGN = re.compile(rf"(?i)(?<=[A-Z0-9]){_DOT}")
+_SHORT_RUN = re.compile(rf"(?i)\b(?:{_NAME}|[0-9])(?:[\s,-]+(?:{_NAME}|[0-9]))*\b")
 _DIGIT_WORDS = frozenset(_DIGIT_NAMES) | frozenset("0123456789")
 
 
@@ -153,34 +183,44 @@ class Rewritten:
 
 
 def _foreign_edits(text: str) -> list[tuple[int, int, str]]:
+    if _CHARACTERS.keys().isdisjoint(text):
+        return []
+    return [(k, k + 1, _CHARACTERS[one]) for k, one in enumerate(text) if one in _CHARACTERS]
+
+
+def _spelled_edits(text: str, signs: bool) -> list[tuple[int, int, str]]:
+    """Digits in runs of seven or more, with ``signs`` also of any length beside a disguised dot, at least half of them
+    names; the separators between them go."""
+    runs = [match.span() for match in _NAMES.finditer(text)] if _has_digit_words(text) else []
+    if signs:
+        starts, ends = [start for start, _ in runs], [end for _, end in runs]
+        dots = [match.span() for match in _DOT_SIGN.finditer(text)]
+        before, after = {end for _, end in dots}, {start for start, _ in dots}
+        for match in _SHORT_RUN.finditer(text) if dots else ():
+            start, end = match.span()
+            if (start in before or end in after) and bisect_right(starts, end - 1) == bisect_right(ends, start):
+                runs.append((start, end))
+        runs.sort()
     edits = []
-    for match in _FOREIGN.finditer(text):
-        one = match.group()
-        plain = _CHARACTERS.get(one)
-        if plain is None:
-            number = unicodedata.digit(one, None)
-            plain = str(number) if number is not None else chr(ord(one) - 0xFEE0)
-        edits.append((match.start(), match.end(), plain))
-    return edits
-
-
-def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
-    """Digits in runs of seven or more, at least half of them names; the separators between them go."""
-    edits = []
-    for run in _NAMES.finditer(text):
-        names = [one.lower() in _DIGIT_NAMES for one in _ONE_NAME.findall(run.group())]
+    for start, end in runs:
+        names = [one.lower() in _DIGIT_NAMES for one in _ONE_NAME.findall(text[start:end])]
         if 2 * sum(names) < len(names):
             continue
-        end = run.start()
-        for one in _ONE_NAME.finditer(text, run.start(), run.end()):
+        done = start
+        for one in _ONE_NAME.finditer(text, start, end):
             name = one.group().lower()
-            edits.append((end, one.end(), "+" if name == "plus" else _DIGIT_NAMES.get(name, name)))
-            end = one.end()
+            edits.append((done, one.end(), "+" if name == "plus" else _DIGIT_NAMES.get(name, name)))
+            done = one.end()
     return edits
 
 
+def _is_mailbox(text: str, end: int) -> bool:
+    word = _LAST_WORD.search(text, max(0, end - 64), end)
+    return word is not None and word.group().lower() not in _NO_MAILBOX
+
+
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
-    bare = {match.span() for match in _BARE_AT.finditer(text)}
+    bare = {match.span() for match in _BARE_AT.finditer(text) if match.group(1) or _is_mailbox(text, match.start())}
     edits = []
     for match in _DISGUISED.finditer(text):
         if _AT_ONLY.fullmatch(match.group()):
@@ -198,10 +238,11 @@ def added_spans(text: str, plain: list[Span]) -> list[Span]:
     if not text.isascii() and (edits := _foreign_edits(text)):
         layers.append(Rewritten(current, edits))
         current = layers[-1].text
-    if _has_digit_words(current) and (edits := _spelled_edits(current)):
+    signs = _HINT.search(current) is not None or _BARE_AT.search(current) is not None
+    if edits := _spelled_edits(current, signs):
         layers.append(Rewritten(current, edits))
         current = layers[-1].text
-    if _HINT.search(current) and (edits := _sign_edits(current)):
+    if signs and (edits := _sign_edits(current)):
         layers.append(Rewritten(current, edits))
         current = layers[-1].text
     found: list[Span] = []
@@ -215,10 +256,16 @@ def added_spans(text: str, plain: list[Span]) -> list[Span]:
     return found
 
 
+def _counts(digits: str) -> bool:
+    return digits in "0123456789" or digits in "9876543210"
+
+
 def _spelled_numbers(layers: list[Rewritten], current: str, known: list[Span]) -> list[Span]:
-    """Runs of ten to fifteen spelled digits without a plus are phone numbers too."""
+    """Runs of eight to fifteen spelled digits without a plus are phone numbers too."""
     found = []
-    for match in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", current):
+    for match in re.finditer(r"(?<![0-9+])[0-9]{8,15}(?![0-9])", current):
+        if len(match.group()) < 10 and _counts(match.group()):
+            continue
         start, end = match.span()
         for layer in reversed(layers):
             start, end = layer.span(start, end)
