@@ -20,7 +20,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays; documents without an id all stay."""
+    """Of each group of linked documents the one with the smallest id stays; documents without an id all stay.
+
+    Differing texts of one id are documents of their own: all but one get an id above all others for this stage.
+    """
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    texts = docs.where("doc_id is not null").select("doc_id", digest.alias("_text_digest")).distinct()
+    several = texts.groupBy("doc_id").agg(F.min("_text_digest").alias("first"), F.count("*").alias("n")).where("n > 1")
+    further = texts.join(several, "doc_id").where("_text_digest <> first").select("doc_id", "_text_digest")
+    further = tables.cut(spark, further.withColumn("_number", F.monotonically_increasing_id()), "further-texts")
+    if further.isEmpty():
+        return _first_of_each(spark, docs)
+    above = docs.agg(F.max("doc_id")).first()[0] + 1
+    named = docs.withColumn("_text_digest", digest).join(further, ["doc_id", "_text_digest"], "left")
+    named = named.withColumn("_given_id", F.col("doc_id")).withColumn("doc_id", F.coalesce(F.col("_number") + F.lit(above), F.col("doc_id")))
+    kept = _first_of_each(spark, tables.cut(spark, named, "named-texts"))
+    return kept.withColumn("doc_id", F.col("_given_id")).select(*docs.columns)
+
+
+def _first_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     joined = jaccard_join.join(spark, docs)
     first = joined.where("doc_id = component_id").select("doc_id")
     # Equal rows of one id are copies too.

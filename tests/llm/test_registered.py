@@ -64,6 +64,18 @@ def test_empty_tables_give_no_rows(spark, none, name):
     assert queries.QUERIES[name](spark, none).collect() == []
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark, prose):
+    """Id 3 has a copy of 1, a text of its own and a text that 7 copies; equal rows are one."""
+    rows = [(1, prose(1, 40), "a"), (3, prose(1, 40), "b"), (3, prose(3, 40), "c"), (3, prose(3, 40), "c"), (3, prose(4, 40), "d"), (7, prose(4, 40), "e"), (3, None, "f")]
+    documents = spark.createDataFrame([*rows, (None, "x", "g")], "doc_id long, text string, source string")
+    found = corpus_pipeline.drop_near_copies(spark, documents, "")
+    assert found.columns == documents.columns
+    kept = sorted((tuple(row) for row in found.collect()), key=str)
+    texts = [text for _, text, _ in kept]
+    assert len(kept) == 5 and set(texts) == {row[1] for row in rows} | {"x"}
+    assert (1, prose(1, 40), "a") in kept and (3, prose(3, 40), "c") in kept and (3, None, "f") in kept
+
+
 def test_pipeline_on_empty_tables(spark, none):
     assert corpus_pipeline.run(spark, none).count() == 0
 
