@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -113,3 +114,45 @@ def rule_measures(text):
         places.setdefault(tuple(words[k : k + 8]), []).append(k)
     hit = {k + j for found in places.values() if len(found) > 1 for k in found for j in range(8)}
     return len(words), sum(map(len, words)), sum(text.count(x) for x in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit)
+
+
+def filter_failures(documents):
+    """(part, failure bits of A to E) of (id, text, language) rows."""
+    known = {}
+    for doc_id, text, _ in documents:
+        if doc_id is not None:
+            known[text or ""] = min(doc_id, known.get(text or "", doc_id))
+    out = []
+    for doc_id, text, lang in documents:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = (
+            len(words) < 100,
+            100 * len(set(words)) < 80 * len(words),
+            100 * len(re.findall("[A-Z]", text)) > 10 * len(text),
+            any(one in "#$%&*|" for one in text),
+            doc_id is not None and known[text] < doc_id,
+        )
+        out.append((lang or "", sum(1 << k for k, one in enumerate(failed) if one)))
+    return out
+
+
+def filter_audit(documents, labels):
+    """(part, order, step) -> the seven figures, by applying the filters document by document."""
+    good = {doc_id for doc_id, quality, _ in labels if quality == 1 and doc_id is not None}
+    toxic = {doc_id for doc_id, _, toxic in labels if toxic == 1 and doc_id is not None}
+    judged = [(part, failed, row[0] in good, row[0] in toxic) for row, (part, failed) in zip(documents, filter_failures(documents))]
+    out, shares = {}, {}
+    for part in {row[0] for row in judged}:
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = [row for row in judged if row[0] == part]
+            failing = {name: sum(row[1] >> k & 1 for row in left) for k, name in enumerate("ABCDE")}
+            only = {name: sum(row[1] == 1 << k for row in left) for k, name in enumerate("ABCDE")}
+            for step, name in enumerate(order, 1):
+                gone = [row for row in left if row[1] >> "ABCDE".index(name) & 1]
+                left = [row for row in left if not row[1] >> "ABCDE".index(name) & 1]
+                shares[part, name] = shares.get((part, name), 0) + len(gone)
+                out[part, order, step] = (
+                    len(left), len(gone), failing[name] - len(gone), only[name], sum(row[2] for row in gone), sum(row[3] for row in gone),
+                )
+    return {key: (*row, shares[key[0], key[1][key[2] - 1]]) for key, row in out.items()}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwork.llm import (
     bpe,
     decontamination,
+    filter_audit,
     html_extraction,
     jaccard_join,
     language_id,
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard_join": jaccard_join.op8,
     "op9_html_extraction": html_extraction.op9,
     "op10_quality_classifier": quality_classifier.op10,
+    "op11_filter_audit": filter_audit.op11,
 }
 
 ORACLES: dict[str, str] = {
     "op2_url_filters": url_filters.OP2_SQL,
     "op3_benchmark_decontamination": decontamination.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
 }
