@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import re
+from collections import Counter
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -156,3 +158,28 @@ def filter_audit(documents, labels):
                     len(left), len(gone), failing[name] - len(gone), only[name], sum(row[2] for row in gone), sum(row[3] for row in gone),
                 )
     return {key: (*row, shares[key[0], key[1][key[2] - 1]]) for key, row in out.items()}
+
+
+def best_documents(documents, items, top=20):
+    """Rows (item id, rank, id, score) by scoring every document for every item."""
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+    docs = [(doc_id, terms(text)) for doc_id, text in documents]
+    docs = [(doc_id, Counter(words), len(words)) for doc_id, words in docs if words]
+    n, size = len(docs), sum(one[2] for one in docs)
+    holding = Counter(term for _, counts, _ in docs for term in counts)
+    out = []
+    for item_id, text in set(items):
+        needs, found = Counter(terms(text)), []
+        for doc_id, counts, length in docs:
+            m = 100 - 25 + (25 * length * n) // size
+            score = 0
+            for term, times in needs.items():
+                if counts[term]:
+                    weight = math.floor(1000 * math.log((2 * n + 2) / (2 * holding[term] + 1)))
+                    score += times * weight * ((1000000000 * counts[term]) // (1000 * counts[term] + 12 * m))
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0))
+        out += [(item_id, rank, None if none else doc_id, -score) for rank, (score, none, doc_id) in enumerate(sorted(found)[:top], 1)]
+    return out

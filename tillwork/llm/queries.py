@@ -13,6 +13,8 @@ from tillwork.llm import (
     html_extraction,
     jaccard_join,
     language_id,
+    lexical_search,
+    packing,
     pii,
     quality_classifier,
     quality_rules,
@@ -32,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extraction": html_extraction.op9,
     "op10_quality_classifier": quality_classifier.op10,
     "op11_filter_audit": filter_audit.op11,
+    "op12_lexical_search": lexical_search.op12,
+    "op13_best_fit_packing": packing.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -39,4 +43,5 @@ ORACLES: dict[str, str] = {
     "op3_benchmark_decontamination": decontamination.OP3_SQL,
     "op5_quality_rules": quality_rules.OP5_SQL,
     "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
 }
