@@ -1,21 +1,30 @@
 from __future__ import annotations
 
+import functools
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillwork.llm import packing
 
 
-def ids_of(text):
-    """The whole text at once by the library."""
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
-    coder = Tokenizer.from_file(packing.vocabulary_path())
+    return Tokenizer.from_file(packing.vocabulary_path())
+
+
+@functools.cache
+def ids_of(text):
+    """The whole text at once by the library."""
+    coder = library()
     return [*coder.encode(text or "", add_special_tokens=False).ids, 0]
 
 
@@ -53,7 +62,7 @@ def check(rows, documents, capacity):
 @pytest.mark.parametrize(("capacity", "shard"), [(2_048, 8_000), (2_048, 40), (64, 8_000), (1, 8_000)])
 def test_pieces_and_places(spark, documents, monkeypatch, capacity, shard):
     monkeypatch.setattr(packing, "SHARD", shard)
-    monkeypatch.setattr(packing, "STRETCH", 3_000)
+    monkeypatch.setattr(packing, "HELD", 3_000)
     chosen = documents if capacity > 1 else documents[:12]
     docs = spark.createDataFrame(chosen, "doc_id long, text string").withColumn("offset", F.lit("clash")).repartition(3)
     packed = packing.pack(docs, packing.vocabulary_path(), capacity).drop("clash").cache()
@@ -88,13 +97,31 @@ def test_each_piece_goes_where_the_sum_of_squares_is_smallest():
         assert [len(one) for one in sequences.open] == sequences.count.tolist()
 
 
-def test_stretches_keep_the_ids(prose):
-    text = prose(1, 4_000) + "  \n two  spaces , and 's 12 3 " + prose(2, 300)
-    parts = packing.stretches(text, 100)
-    assert "".join(parts) == text and len(parts) > 100
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", "B", "'s", "'", " ", "  ", "\n", "\t", "1", "é", "中", "\u00a0", "\u2003", "<|endoftext|>", "<|end", "-", "...", "🙂", "\0", "ab" * 40]), max_size=30))
+def test_ids_are_those_of_the_library(parts):
+    text = "".join(parts)
     (found,) = packing.encode([text], packing.vocabulary_path())
     assert found.tolist() == ids_of(text)
-    assert packing.stretches("x" * 1_000, 10) == ["x" * 1_000]
+
+
+def test_ids_of_every_character():
+    every = [chr(one) for one in range(0x110000) if not 0xD800 <= one < 0xE000]
+    texts = ["".join(f"a{one}b {one}{one} 1{one}'s  {one}\n" for one in every[low : low + 50]) for low in range(0, len(every), 50)]
+    expected = library().encode_batch_fast(texts, add_special_tokens=False)
+    for one, found in zip(expected, packing.encode(texts, packing.vocabulary_path())):
+        assert found.tolist()[:-1] == one.ids
+
+
+def test_very_long_texts():
+    for text in ("z" * 1_000_000, " " * 1_000_000, "a" + "\n" * 500_000 + "b", "#-" * 500_000):
+        (found,) = packing.encode([text], packing.vocabulary_path())
+        assert found.tolist() == ids_of(text)
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        packing.coding(packing.vocabulary_path("word_bpe_49k.json"))
 
 
 def test_empty_table(spark):

@@ -6,7 +6,7 @@ sequence and the open ones with room, a piece goes where the sum, over all gaps,
 that gap becomes smallest. That keeps many different gaps open, so a later piece finds one that it fills exactly.
 Between equal sums the smallest gap wins, and an open sequence before a new one.
 
-Texts are read once and tokenized in the tasks, long ones in stretches that end where the tokenizer's pattern always parts words. Pieces are
+Texts are read once and tokenized in the tasks, one by one and whole. Pieces are
 written before they are placed, so a lost executor tokenizes nothing twice. Pieces are dealt round robin to shards of about ``SHARD``
 pieces: no key decides where a piece goes, so no shard is larger than others, and each is placed by one task in bounded memory (a
 count per gap and the numbers of the open sequences). What stays open at the end of a shard is a few sequences.
@@ -19,17 +19,20 @@ negative ones.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType
+from tokenizers import Tokenizer
 
 from tillwork.llm import tables
 
@@ -38,11 +41,14 @@ CAPACITY = 2_048
 CLOSING = 0
 #: Pieces that one task places.
 SHARD = 8_000
-#: Characters that are tokenized at once.
-STRETCH = 200_000
+#: Ids of about so many are held before their pieces are handed on.
+HELD = 500_000
 _ADDED = ("piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset")
-#: A space between ASCII letters begins a word of its own in every byte-level vocabulary of this kind.
-_BETWEEN = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Longer runs of white space exhaust the stack of the faster library's patterns.
+BLANKS = 20_000
+_BLANKS = re.compile(rf"\s{{{BLANKS}}}")
+# Fixed value: what byte-level tokenizers take for a word.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -51,59 +57,59 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-_tokenizers: dict[str, object] = {}
+_codings: dict[str, tiktoken.Encoding] = {}
 
 
-def tokenizer(path: str):
-    """The tokenizer of a file, read once per process, without truncation and padding."""
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
+def coding(path: str) -> tiktoken.Encoding:
+    """The byte-level vocabulary of a tokenizer file, read once per process.
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _tokenizers[path].no_truncation()
-        _tokenizers[path].no_padding()
-    return _tokenizers[path]
+    Merges are applied in the order of the ids they make, which is what the file's own order has to be. Then the ids
+    are those of the tokenizers library, from a fifth of its time; the strings of added tokens are these tokens.
+    """
+    if path not in _codings:
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        model, before = parts["model"], parts["pre_tokenizer"]
+        merges = [one if isinstance(one, list) else one.split(" ") for one in model["merges"]]
+        ids = [model["vocab"]["".join(one)] for one in merges]
+        if before["type"] != "ByteLevel" or before["add_prefix_space"] or not before["use_regex"] or parts["normalizer"] or ids != sorted(ids):
+            raise ValueError(f"{path} is no byte-level vocabulary whose ids follow its merges")
+        added = {one["content"]: one["id"] for one in parts["added_tokens"]}
+        byte = {shown: number for number, shown in enumerate(shown_bytes())}
+        ranks = {bytes(map(byte.__getitem__, token)): number for token, number in model["vocab"].items() if token not in added}
+        _codings[path] = tiktoken.Encoding(path, pat_str=_WORDS, mergeable_ranks=ranks, special_tokens=added)
+    return _codings[path]
 
 
-def stretches(text: str, size: int = STRETCH) -> list[str]:
-    """The text in parts whose ids, joined, are those of the whole."""
-    parts, first = [], 0
-    while len(text) - first > size:
-        cut = _BETWEEN.search(text, first + size)
-        if cut is None:
-            break
-        parts.append(text[first : cut.start()])
-        first = cut.start()
-    return [*parts, text[first:]]
+def shown_bytes() -> list[str]:
+    """The character that stands for each byte: itself where it can be seen, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(number if number in seen else next(others)) for number in range(256)]
+
+
+_libraries: dict[str, Tokenizer] = {}
+
+
+def library(path: str) -> Tokenizer:
+    """The tokenizers library on the same file, without truncation and padding; read once per process."""
+    if path not in _libraries:
+        _libraries[path] = Tokenizer.from_file(path)
+        _libraries[path].no_truncation()
+        _libraries[path].no_padding()
+    return _libraries[path]
 
 
 def encode(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
-    """The ids of each text with the closing one; about ``STRETCH`` characters are tokenized at once."""
-    waiting, owners, done, held = [], [], {}, 0
-    coder = tokenizer(path)
-
-    def flush() -> None:
-        nonlocal held
-        for owner, found in zip(owners, coder.encode_batch_fast(waiting, add_special_tokens=False)):
-            done.setdefault(owner, []).append(np.array(found.ids, np.uint32))
-        waiting.clear()
-        owners.clear()
-        held = 0
-
-    ready = 0
-    for row, text in enumerate(texts):
-        for part in stretches(text or ""):
-            waiting.append(part)
-            owners.append(row)
-            held += len(part)
-            if held >= STRETCH:
-                flush()
-        while ready < row and ready not in owners:
-            yield np.append(np.concatenate(done.pop(ready)), np.uint32(CLOSING))
-            ready += 1
-    flush()
-    for row in range(ready, len(texts)):
-        yield np.append(np.concatenate(done.pop(row)), np.uint32(CLOSING))
+    """The ids of each text with the closing one."""
+    coder = coding(path)
+    for text in texts:
+        text = text or ""
+        if len(text) > BLANKS and _BLANKS.search(text):
+            found = np.array(library(path).encode(text, add_special_tokens=False).ids, np.uint32)
+        else:
+            found = coder.encode_to_numpy(text, allowed_special="all")
+        yield np.append(found, np.uint32(CLOSING))
 
 
 def cuts(n_ids: int, capacity: int) -> list[int]:
@@ -129,7 +135,7 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
             for row, ids in enumerate(encode(texts, path)):
                 found.append(ids)
                 size += len(ids)
-                if size >= STRETCH or row + 1 == len(texts):
+                if size >= HELD or row + 1 == len(texts):
                     yield _piece_rows(others.slice(first, len(found)), found, capacity, types, with_ids)
                     found, size, first = [], 0, row + 1
 
