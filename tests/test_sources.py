@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 import sqlite3
 from decimal import Decimal
 
@@ -10,12 +11,14 @@ from pyspark.sql import functions as F
 
 from tillwork import schemas
 from tillwork.plans import bronze
+from tillwork.sinks.tables import overwrite_table
 from tillwork.sources import files
 from tillwork.sources.databases import (
-    DIALECTS, DatabaseSource, KeySplit, RangeSplit, key_predicates, read_table,
+    DIALECTS, DatabaseSource, KeySplit, RangeSplit, key_predicates, read_table, snapshot_of,
 )
-from tillwork.sources.dbapi import read_dbapi
-from tillwork.sources.ranges import key_ranges, literal
+from tillwork.sources.dbapi import ask_over, read_dbapi
+from tillwork.sources.ranges import cuts_of, key_ranges, literal
+from tillwork.sources.snapshots import SNAPSHOTS, NoSnapshot, SnapshotSql, SourceChanged, take_snapshot
 
 REVIEWS = [
     {
@@ -298,3 +301,145 @@ def test_key_ranges_are_open_ended():
 
 def test_schemas_name_the_source_tables():
     assert list(schemas.DATABASE_TABLES) == ["customers", "products", "orders", "inventory", "order_items"]
+
+
+@pytest.mark.parametrize(("copies", "parts"), [(1, 1_000), (1, 7), (3, 100), (40, 100)])
+def test_cut_values_walk_the_index_once(copies, parts):
+    """A table that counts the index entries each question reads: no key is passed twice."""
+    keys = [f"k{n // copies:06d}" for n in range(4_000)]
+    passed = []
+
+    def ask(query):
+        if "COUNT" in query:
+            return [(len(keys),)]
+        behind = re.search(r"> '(k[0-9]+)'", query)
+        first = 0 if behind is None else next((n for n, key in enumerate(keys) if key > behind[1]), len(keys))
+        place = first + int(re.search(r"OFFSET ([0-9]+)", query)[1])
+        passed.extend(range(first, min(place + 1, len(keys))))
+        return [(keys[place],)] if place < len(keys) else []
+
+    cuts = cuts_of(ask, "t", "k", parts)
+    assert len(passed) == len(set(passed)) <= len(keys)
+    assert cuts == sorted(set(cuts)) and len(cuts) < parts
+    sizes = [sum(a <= key < b for key in keys) for a, b in zip(["", *cuts], [*cuts, "z"])]
+    assert sum(sizes) == len(keys) and max(sizes) <= len(keys) // parts + 1 + copies
+    if copies == 1:
+        assert len(cuts) == parts - 1
+
+
+#: A table that keeps its past in two columns, as a source with a past to ask for.
+KEPT_PAST = SnapshotSql(
+    state="SELECT MAX(since) AS state FROM items",
+    as_of="(SELECT * FROM {table} WHERE since <= {state} AND (until IS NULL OR until > {state})) past",
+)
+
+
+@pytest.mark.parametrize("key", ["id", "name"])
+def test_a_write_between_two_ranges_is_not_seen(spark, tmp_path, rows, key):
+    path = str(tmp_path / "shop.db")
+    before = [(n, f"n{n:03d}") for n in range(1, 201)]
+    with sqlite3.connect(path) as connection:
+        connection.execute("CREATE TABLE items (id INTEGER, name TEXT, since INTEGER, until INTEGER)")
+        connection.executemany("INSERT INTO items VALUES (?, ?, 0, NULL)", before)
+
+    def connect():
+        """Every range is read after one more write."""
+        opened = sqlite3.connect(path, timeout=60, isolation_level=None)
+        opened.execute("BEGIN IMMEDIATE")
+        number = opened.execute("SELECT MAX(since) FROM items").fetchone()[0] + 1
+        # A row ends, another begins, and a new one comes.
+        opened.execute(f"UPDATE items SET until = {number} WHERE id = {number} AND until IS NULL")
+        opened.execute(f"INSERT INTO items VALUES ({number}, 'changed', {number}, NULL)")
+        opened.execute(f"INSERT INTO items VALUES ({number + 1000}, 'new', {number}, NULL)")
+        opened.execute("COMMIT")
+        return opened
+
+    schema = spark.createDataFrame([], "id bigint, name string").schema
+    watching = sqlite3.connect(path)
+    snapshot = take_snapshot("past", ask_over(watching), {"past": KEPT_PAST})
+    ranged = read_dbapi(spark, connect, "items", schema, key=key, parts=5, snapshot=snapshot)
+    assert ranged.rdd.getNumPartitions() == 5
+    for _ in range(2):
+        assert rows(ranged) == sorted(before, key=lambda row: [(True, str(value)) for value in row])
+        snapshot.verify()
+    assert watching.execute("SELECT MAX(since) FROM items").fetchone()[0] >= 10
+    assert rows(read_dbapi(spark, connect, "items", schema, key=key, parts=5)) != rows(ranged)
+    watching.close()
+
+
+def test_a_watched_source_that_changes_is_refused(spark, tmp_path, rows):
+    path = str(tmp_path / "shop.db")
+    with sqlite3.connect(path) as connection:
+        connection.execute("CREATE TABLE items (id INTEGER, name TEXT)")
+        connection.executemany("INSERT INTO items VALUES (?, ?)", [(n, "old") for n in range(50)])
+    watching = sqlite3.connect(path)
+    known = {"watched": SnapshotSql(state="PRAGMA data_version")}
+    schema = spark.createDataFrame([], "id bigint, name string").schema
+
+    def load(connect):
+        snapshot = take_snapshot("watched", ask_over(watching), known)
+        read = read_dbapi(spark, connect, "items", schema, key="id", parts=4, snapshot=snapshot)
+        return overwrite_table(read, "watched_items", verify=snapshot.verify)
+
+    assert load(lambda: sqlite3.connect(path)) == 50
+
+    def connect():
+        opened = sqlite3.connect(path, timeout=60, isolation_level=None)
+        opened.execute("UPDATE items SET name = 'new' WHERE id = (SELECT MIN(id) FROM items WHERE name = 'old')")
+        return opened
+
+    with pytest.raises(SourceChanged):
+        load(connect)
+    assert rows(spark.table("watched_items").select("name").distinct()) == [("old",)]
+    assert load(lambda: sqlite3.connect(path)) == 50
+    assert rows(spark.table("watched_items").select("name").distinct()) == [("new",), ("old",)]
+    watching.close()
+
+
+def test_products_without_a_state_are_refused():
+    with pytest.raises(NoSnapshot):
+        take_snapshot("unheard", lambda query: [("1",)])
+    with pytest.raises(NoSnapshot):
+        take_snapshot("mysql", lambda query: [(None,)])
+
+
+def test_snapshots_of_each_product():
+    assert set(SNAPSHOTS) == set(DIALECTS)
+    oracle = take_snapshot("oracle", lambda query: [("4711",)])
+    assert oracle.table("orders") == "orders AS OF SCN 4711"
+    azure = take_snapshot("azuresql", lambda query: [("2025-01-02 03:04:05.1234567",)])
+    assert azure.table("orders") == "orders FOR SYSTEM_TIME AS OF '2025-01-02 03:04:05.1234567'"
+    states = iter(["a:1-5", "a:1-5", "a:1-6"])
+    mysql = take_snapshot("mysql", lambda query: [(next(states),)])
+    assert mysql.table("orders") == "orders"
+    mysql.verify()
+    with pytest.raises(SourceChanged):
+        mysql.verify()
+
+
+def test_one_state_for_cuts_ranges_and_tables_over_jdbc(spark, tmp_path, rows, monkeypatch):
+    from tillwork.sources import databases
+
+    url = f"jdbc:derby:{tmp_path}/past;create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    columns = "id int, name string, since int, until int"
+    before = [(n, f"n{n:03d}", 0, None) for n in range(1, 101)]
+    properties = {"driver": driver, "createTableColumnTypes": "name VARCHAR(20)"}
+
+    def write(data, mode):
+        df = spark.createDataFrame(data, columns).coalesce(1)
+        df.select(*[F.col(name).alias(name.upper()) for name in df.columns]).write.jdbc(url, "items", mode=mode, properties=properties)
+
+    write(before, "overwrite")
+    monkeypatch.setitem(databases.DIALECTS, "embedded", databases.Dialect(url=url, driver=driver, port=0))
+    source = DatabaseSource("embedded", url=url)
+    with pytest.raises(NoSnapshot):
+        snapshot_of(spark, source)
+    known = {"embedded": SnapshotSql(state="SELECT MAX(since) AS state FROM items", as_of=KEPT_PAST.as_of.replace(") past", ") AS past"))}
+    snapshot = snapshot_of(spark, source, known)
+    for split in (None, KeySplit("NAME", 4), RangeSplit("ID", 1, 100, 4)):
+        read = read_table(spark, source, "items", split, snapshot)
+        write([(n, f"x{n}", 1 + n % 3, None) for n in range(40)], "append")
+        assert rows(read, "ID", "NAME") == sorted(((n, name) for n, name, *_ in before), key=lambda row: [(True, str(one)) for one in row])
+    assert bronze.load_table(spark, source, "items", "bronze_of_a_moment", KeySplit("ID", 3), snapshot) == 100
+    assert read_table(spark, source, "items").count() == 220

@@ -9,13 +9,18 @@ from tillwork.functions.names import clean_names
 from tillwork.sinks.tables import overwrite_table
 from tillwork.sources import files
 from tillwork.sources.databases import DatabaseSource, KeySplit, RangeSplit, read_table
+from tillwork.sources.snapshots import Snapshot
 
 
 def database_table(
-    spark: SparkSession, source: DatabaseSource, table: str, split: RangeSplit | KeySplit | None = None
+    spark: SparkSession,
+    source: DatabaseSource,
+    table: str,
+    split: RangeSplit | KeySplit | None = None,
+    snapshot: Snapshot | None = None,
 ) -> DataFrame:
     """A source table with cleaned names."""
-    return clean_names(read_table(spark, source, table, split))
+    return clean_names(read_table(spark, source, table, split, snapshot))
 
 
 def load_table(
@@ -24,8 +29,11 @@ def load_table(
     table: str,
     target: str,
     split: RangeSplit | KeySplit | None = None,
+    snapshot: Snapshot | None = None,
 ) -> int:
-    return overwrite_table(database_table(spark, source, table, split), target)
+    """A source table as ``target``. Rows of a watched source that has changed meanwhile are not shown."""
+    verify = snapshot.verify if snapshot is not None else None
+    return overwrite_table(database_table(spark, source, table, split, snapshot), target, verify=verify)
 
 
 def load_reviews(

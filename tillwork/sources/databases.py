@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwork.sources.ranges import NTH_LIMIT, NTH_OFFSET, cuts_of, ranges_between
+from tillwork.sources.snapshots import Ask, Snapshot, SnapshotSql, take_snapshot
 
 FETCH_ROWS = 10_000
 
@@ -101,7 +102,22 @@ def key_predicates(split: KeySplit, cuts: Sequence[object], dialect: Dialect) ->
 
 
 def find_cuts(split: KeySplit, ask: Callable[[str], list[tuple]], table: str, dialect: Dialect) -> list[object]:
-    return cuts_of(ask, table, split.column, split.parts, dialect.nth)
+    return cuts_of(ask, table, split.column, split.parts, dialect.nth, dialect.moment, dialect.escaped_backslash)
+
+
+def ask_over_jdbc(spark: SparkSession, source: DatabaseSource) -> Ask:
+    """Runs a query that gives few rows."""
+    options = source.jdbc_options()
+
+    def ask(query: str) -> list[tuple]:
+        return [tuple(row) for row in spark.read.format("jdbc").options(query=query, **options).load().collect()]
+
+    return ask
+
+
+def snapshot_of(spark: SparkSession, source: DatabaseSource, known: dict[str, SnapshotSql] | None = None) -> Snapshot:
+    """The present state of ``source`` for all tables of a load; raises where the product has none to read or watch."""
+    return take_snapshot(source.kind, ask_over_jdbc(spark, source), known)
 
 
 def read_table(
@@ -109,19 +125,19 @@ def read_table(
     source: DatabaseSource,
     table: str,
     split: RangeSplit | KeySplit | None = None,
+    snapshot: Snapshot | None = None,
 ) -> DataFrame:
     """Scan ``table``. Without a split it is read by one task, whatever its size: name a split for all but small tables.
 
-    A ``KeySplit`` asks the database for its cut values first, one short query each.
+    A ``KeySplit`` asks the database for its cut values first, one short query each. Ranges are read over connections of their
+    own: with ``snapshot`` the cuts and all ranges see one state; without, rows that change meanwhile may be missed or read twice.
     """
     options = source.jdbc_options()
+    if snapshot is not None:
+        table = snapshot.table(table)
     if isinstance(split, KeySplit):
         dialect = dialect_of(source.kind)
-
-        def ask(query: str) -> list[tuple]:
-            return [tuple(row) for row in spark.read.format("jdbc").options(query=query, **options).load().collect()]
-
-        predicates = key_predicates(split, find_cuts(split, ask, table, dialect), dialect)
+        predicates = key_predicates(split, find_cuts(split, ask_over_jdbc(spark, source), table, dialect), dialect)
         properties = {name: value for name, value in options.items() if name != "url"}
         return spark.read.jdbc(options["url"], table, predicates=predicates, properties=properties)
     if isinstance(split, RangeSplit):

@@ -15,10 +15,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tillwork.sources.ranges import NTH_LIMIT, KeyRange, cuts_of, key_ranges, ranges_between
+from tillwork.sources.snapshots import Ask, Snapshot
 
 BATCH_ROWS = 10_000
 
 
+def ask_over(connection) -> Ask:
+    """Runs a query on one connection; hold it open as long as its snapshot is watched."""
+
+    def ask(query: str) -> list[tuple]:
+        cursor = connection.cursor()
+        cursor.execute(query)
+        return cursor.fetchall()
+
+    return ask
+
+
 def _source_class(connect: Callable, table: str, schema: StructType, key: str | None, parts: int, nth: str) -> type:
     columns = ", ".join(schema.fieldNames())
 
@@ -27,12 +39,7 @@ def _source_class(connect: Callable, table: str, schema: StructType, key: str |
             if key is None or parts < 2:
                 return [KeyRange(None, None)]
             connection = connect()
-
-            def ask(query: str) -> list[tuple]:
-                cursor = connection.cursor()
-                cursor.execute(query)
-                return cursor.fetchall()
-
+            ask = ask_over(connection)
             try:
                 low, high = ask(f"SELECT MIN({key}), MAX({key}) FROM {table}")[0]
                 if isinstance(low, int) and isinstance(high, int):
@@ -79,10 +86,14 @@ def read_dbapi(
     key: str | None = None,
     parts: int = 1,
     nth: str = NTH_LIMIT,
+    snapshot: Snapshot | None = None,
 ) -> DataFrame:
     """Scan ``table`` with ``connect()`` connections, in ``parts`` ranges of ``key``, which may be of any type.
 
-    Without a key one task reads the table. ``nth`` is how the database selects the n-th key.
+    Without a key one task reads the table. ``nth`` is how the database selects the n-th key. With ``snapshot`` the cuts
+    and all ranges see one state.
     """
+    if snapshot is not None:
+        table = snapshot.table(table)
     spark.dataSource.register(_source_class(connect, table, schema, key, parts, nth))
     return spark.read.format("dbapi_table").load()

@@ -9,9 +9,9 @@ from decimal import Decimal
 
 from pyspark.sql.datasource import InputPartition
 
-#: The n-th key in order, from 0, in two spellings of SQL.
-NTH_LIMIT = "SELECT {key} FROM {table} WHERE {key} IS NOT NULL ORDER BY {key} LIMIT 1 OFFSET {n}"
-NTH_OFFSET = "SELECT {key} FROM {table} WHERE {key} IS NOT NULL ORDER BY {key} OFFSET {n} ROWS FETCH NEXT 1 ROWS ONLY"
+#: The n-th key in order, from 0, of the rows that ``where`` leaves, in two spellings of SQL.
+NTH_LIMIT = "SELECT {key} FROM {table} WHERE {where} ORDER BY {key} LIMIT 1 OFFSET {n}"
+NTH_OFFSET = "SELECT {key} FROM {table} WHERE {where} ORDER BY {key} OFFSET {n} ROWS FETCH NEXT 1 ROWS ONLY"
 
 
 def literal(value: object, moment: str = "'{value}'", escaped_backslash: bool = False) -> str:
@@ -62,17 +62,31 @@ def key_ranges(low: int | None, high: int | None, parts: int) -> list[KeyRange]:
     return ranges_between([low + (high - low + 1) * number // parts for number in range(1, parts)])
 
 
-def cuts_of(ask: Callable[[str], list[tuple]], table: str, key: str, parts: int, nth: str = NTH_LIMIT) -> list[object]:
-    """Distinct keys at even positions in the database's own order, so that the same order decides in every range.
-
-    Works for text, numbers, dates and times. ``ask`` runs a query and returns its rows.
+def cuts_of(
+    ask: Callable[[str], list[tuple]],
+    table: str,
+    key: str,
+    parts: int,
+    nth: str = NTH_LIMIT,
+    moment: str = "'{value}'",
+    escaped_backslash: bool = False,
+) -> list[object]:
+    """Distinct keys at about even positions in the database's own order, so that the same order decides in every range.
+
+    Works for text, numbers, dates and times. ``ask`` runs a query and returns its rows. Every question starts behind the cut before
+    it, so all of them together walk the index of the key once, however many parts there are. Rows that repeat
+    a cut stay with its range, which then holds more than its share; the cuts behind it move on by as much.
     """
-    count = ask(f"SELECT COUNT({key}) AS n FROM {table}")[0][0]
+    count = int(ask(f"SELECT COUNT({key}) AS n FROM {table}")[0][0])
+    places = sorted({count * number // parts for number in range(1, parts)} - {0, count})
     cuts: list[object] = []
-    for number in range(1, parts):
-        place = int(count) * number // parts
-        if 0 < place < count:
-            value = ask(nth.format(key=key, table=table, n=place))[0][0]
-            if not cuts or cuts[-1] != value:
-                cuts.append(value)
+    passed = 0
+    for place in places:
+        behind = f"{key} > {literal(cuts[-1], moment, escaped_backslash)}" if cuts else f"{key} IS NOT NULL"
+        found = ask(nth.format(key=key, table=table, where=behind, n=place - passed))
+        if not found:  # rows that repeat a cut have used up the places
+            break
+        if not cuts or found[0][0] != cuts[-1]:
+            cuts.append(found[0][0])
+            passed = place + 1
     return cuts
