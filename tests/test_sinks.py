@@ -1,10 +1,15 @@
+import itertools
+import threading
+import time
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillwork.plans import reports
 from tillwork.sinks.csv_export import export_csv
-from tillwork.sinks.tables import append_rows, drop_table, overwrite_table, replace_rows, write_many
+from tillwork.sinks import tables
+from tillwork.sinks.tables import Conflict, Replacement, append_rows, current_version, drop_table, overwrite_table, replace_rows, write_many
 from tillwork.sources.files import read_preference_counts
 
 
@@ -126,3 +131,143 @@ def test_csv_export_writes_every_row(spark, tmp_path):
     export_csv(spark.range(20_000).repartition(3), str(tmp_path / "big"))
     assert len(list((tmp_path / "big").glob("*.csv"))) == 3
     assert spark.read.option("header", True).csv(str(tmp_path / "big")).count() == 20_000
+
+
+def _orders_of_two():
+    """Every way to mix begin, write and commit of two writers."""
+    for places in itertools.combinations(range(6), 3):
+        yield [0 if k in places else 1 for k in range(6)]
+
+
+def test_two_writers_in_every_order_of_their_steps(spark, rows):
+    for number, order in enumerate(_orders_of_two()):
+        name = f"raced_{number}"
+        overwrite_table(_numbers(spark, 0, 1), name)
+        writers, last = {}, None
+        steps = {writer: iter(("begin", "write", "commit")) for writer in (0, 1)}
+        for writer in order:
+            step = next(steps[writer])
+            if step == "begin":
+                writers[writer] = Replacement(spark, name)
+            elif step == "write":
+                writers[writer].write(_numbers(spark, 10 * writer, 10 * writer + 2))
+            else:
+                writers[writer].commit()
+                last = writer
+            # Whatever has happened so far, the name can be read.
+            assert spark.table(name).count() in (1, 2)
+        assert rows(spark.table(name)) == [(10 * last, str(10 * last)), (10 * last + 1, str(10 * last + 1))]
+        assert len(_versions(spark, name)) == 2 and current_version(spark, name).lower() in _versions(spark, name)
+        assert not spark.catalog.tableExists(f"{name}__commit")
+
+
+def test_only_one_writer_commits_at_a_time(spark, rows, monkeypatch):
+    """The second is stopped at every step of the first one's commit."""
+    overwrite_table(_numbers(spark, 0, 1), "locked")
+    first, second = Replacement(spark, "locked"), Replacement(spark, "locked")
+    first.write(_numbers(spark, 1, 2))
+    second.write(_numbers(spark, 2, 3))
+    show, refused = tables._show, []
+
+    def interrupted(*arguments):
+        for _ in range(2):
+            with pytest.raises(Conflict):
+                second.commit(wait_seconds=0)
+            refused.append(True)
+            if len(refused) == 1:
+                show(*arguments)
+
+    monkeypatch.setattr(tables, "_show", interrupted)
+    first.commit()
+    monkeypatch.setattr(tables, "_show", show)
+    assert len(refused) == 2 and rows(spark.table("locked")) == [(1, "1")]
+    second.commit()
+    assert rows(spark.table("locked")) == [(2, "2")]
+
+
+def test_many_writers_at_once(spark, rows):
+    overwrite_table(_numbers(spark, 0, 1), "crowded")
+    failed = []
+
+    def write(k):
+        try:
+            overwrite_table(_numbers(spark, k, k + 1), "crowded")
+        except BaseException as failure:
+            failed.append(failure)
+
+    threads = [threading.Thread(target=write, args=(k,)) for k in range(6)]
+    for one in threads:
+        one.start()
+    for one in threads:
+        one.join()
+    assert failed == [] and spark.table("crowded").count() == 1 and len(_versions(spark, "crowded")) == 2
+
+
+def test_a_writer_can_ask_that_nobody_was_faster(spark, rows):
+    overwrite_table(_numbers(spark, 0, 1), "compared")
+    seen = current_version(spark, "compared")
+    assert overwrite_table(_numbers(spark, 1, 2), "compared", replacing=seen) == 1
+    with pytest.raises(Conflict):
+        overwrite_table(_numbers(spark, 2, 3), "compared", replacing=seen)
+    assert rows(spark.table("compared")) == [(1, "1")] and len(_versions(spark, "compared")) == 2
+
+
+def test_a_writer_that_died_in_its_commit_is_replaced(spark, rows, monkeypatch):
+    overwrite_table(_numbers(spark, 0, 1), "stale")
+    late = Replacement(spark, "stale")
+    late.write(_numbers(spark, 5, 6))
+    dead = tables._Lock(spark, "stale")
+    monkeypatch.setattr(tables, "COMMIT_SECONDS", -1)
+    assert dead.try_acquire()
+    monkeypatch.setattr(tables, "COMMIT_SECONDS", 600)
+    overwrite_table(_numbers(spark, 1, 2), "stale")
+    with pytest.raises(Conflict):
+        dead.check()
+    dead.release()
+    assert rows(spark.table("stale")) == [(1, "1")]
+
+
+def test_unfinished_versions_stay_until_their_lease_is_over(spark, monkeypatch):
+    overwrite_table(_numbers(spark, 0, 1), "leased")
+    slow = Replacement(spark, "leased")
+    slow.write(_numbers(spark, 7, 8))
+    for k in range(3):
+        overwrite_table(_numbers(spark, k, k + 1), "leased")
+    assert slow.version.lower() in _versions(spark, "leased") and len(_versions(spark, "leased")) == 3
+    monkeypatch.setattr(tables, "_leased", lambda version: version != slow.version.lower() and version != slow.version)
+    with pytest.raises(Conflict):
+        slow.commit()
+    overwrite_table(_numbers(spark, 3, 4), "leased")
+    assert slow.version.lower() not in _versions(spark, "leased") and len(_versions(spark, "leased")) == 2
+
+
+def test_appends_and_replacements_do_not_lose_each_other(spark):
+    append_rows(spark.range(1), "appended")
+    overwrite_table(spark.range(1), "appended")
+    failed = []
+
+    def replace():
+        try:
+            overwrite_table(spark.range(100, 101), "appended")
+        except BaseException as failure:
+            failed.append(failure)
+
+    with tables._commit(spark, "appended"):
+        other = threading.Thread(target=replace)
+        other.start()
+        time.sleep(1)
+        assert spark.table("appended").count() == 1
+    other.join()
+    assert failed == [] and append_rows(spark.range(2), "appended") == 2
+    assert sorted(row.id for row in spark.table("appended").collect()) == [0, 1, 100]
+
+
+def test_a_refused_load_is_not_shown(spark, rows):
+    overwrite_table(_numbers(spark, 0, 1), "verified")
+
+    def refuse():
+        raise RuntimeError("changed")
+
+    with pytest.raises(RuntimeError):
+        overwrite_table(_numbers(spark, 1, 2), "verified", verify=refuse)
+    assert rows(spark.table("verified")) == [(0, "0")] and len(_versions(spark, "verified")) == 1
