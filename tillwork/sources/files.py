@@ -8,20 +8,25 @@ from pyspark.sql.types import StructType
 
 from tillwork import schemas
 from tillwork.functions.names import clean_names
+from tillwork.sources import splitting
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType, layout: str) -> DataFrame:
     """One row per element of top-level arrays.
 
     ``document``: an array may be spread over lines in any way; each file is read by one task, so
-    large inputs should be many files. ``lines``: no element spans two lines (an array with an
-    element per line, an array per line, or plain JSON lines); such files are split. Malformed
-    input fails the job in both.
+    large inputs should be many files. ``split``: any formatting, and many tasks read one file, which is scanned
+    three times for that (``sources.splitting``). ``lines``: no element spans two lines (an array with an
+    element per line, an array per line, or plain JSON lines); such files are split and scanned once. Malformed
+    input fails the job in all.
     """
+    if layout == "split":
+        records = splitting.read_records(spark, path, splitting.JsonText())
+        return records.select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("row")).select("row.*")
     if layout == "document":
         return spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
     if layout != "lines":
-        raise ValueError(f"unknown layout {layout!r}; use 'document' or 'lines'")
+        raise ValueError(f"unknown layout {layout!r}; use 'document', 'split' or 'lines'")
     line = F.col("value")
     elements = F.regexp_extract(line, r"(?s)^\s*\[?\s*(\{.*\})\s*,?\s*\]?\s*,?\s*$", 1)
     # Lines of brackets, commas and blanks hold no element.
@@ -82,14 +87,18 @@ def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: Struc
     """One row per ``row_tag`` element.
 
     ``document``: Spark's XML reader; each file is read by one task, so large inputs should be many
-    files. ``records``: the text is cut at the closing tags, so one large file is read by many
-    tasks. That needs UTF-8 and tags that appear only as such (not in comments or CDATA). Malformed input fails
-    the job in both, and an empty element, ``<tag/>`` too, is a row in both.
+    files. ``split``: many tasks read one file in UTF-8, with comments, CDATA and quoted attributes that hold the tag; it is
+    scanned three times for that (``sources.splitting``). ``records``: the text is cut at the closing tags and scanned once, which
+    suits generated files whose tags appear only as such. Malformed input fails
+    the job in all, and an empty element, ``<tag/>`` too, is a row in all.
     """
+    if layout == "split":
+        records = splitting.read_records(spark, path, splitting.XmlText(row_tag))
+        return records.select(F.from_xml("text", schema, {"mode": "FAILFAST"}).alias("row")).select("row.*")
     if layout == "document":
         return spark.read.schema(schema).options(rowTag=row_tag, mode="FAILFAST").xml(path)
     if layout != "records":
-        raise ValueError(f"unknown layout {layout!r}; use 'document' or 'records'")
+        raise ValueError(f"unknown layout {layout!r}; use 'document', 'split' or 'records'")
     closing = f"</{row_tag}>"
     opening = rf"(?s)<{row_tag}(?:\s[^>]*[^/>])?>.*"
     empty = rf"<{row_tag}(?:\s[^>]*)?/>"
