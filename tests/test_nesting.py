@@ -1,6 +1,8 @@
 from collections import Counter
 
-from tillwork.operators.nesting import nest_children
+from pyspark.sql import functions as F
+
+from tillwork.operators.nesting import child_digests, nest_children
 from tillwork.plans import silver
 
 FIELDS = {"kind": "TYPE", "val": "VALUE"}
@@ -42,3 +44,18 @@ def test_equal_children_travel_counted(spark):
     plan = nest_children(_children(spark, [("a", "x", "1")]), "id", FIELDS, "out")._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.rindex("Exchange hashpartitioning")
     assert "partial_count" in plan[first_exchange:]
+
+
+def test_digests_tell_the_children_of_a_hot_key(spark):
+    data = [("hot", f"k{n % 900}", str(n % 7)) for n in range(6000)] + [("cold", "c", None), ("other", "c", ""), (None, "n", "n")]
+    fields = ("kind", "val")
+
+    def digests(rows, parts):
+        df = _children(spark, rows).repartition(parts, F.rand(parts))
+        return {row["id"]: (row["n"], row["out"]) for row in child_digests(df, "id", fields, "out").collect()}
+
+    found = digests(data, 3)
+    assert found == digests(data[::-1], 7) and {key: n for key, (n, _) in found.items()} == {"hot": 6000, "cold": 1, "other": 1}
+    assert digests(data[1:], 3)["hot"] != found["hot"] and digests([*data[1:], ("hot", "k0", "1")], 3)["hot"] != found["hot"]
+    plan = child_digests(_children(spark, data), "id", fields, "out")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_sum" in plan

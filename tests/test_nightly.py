@@ -1,10 +1,13 @@
+import dataclasses
 import json
 
+import pytest
 import shop as data
 from pyspark.sql import functions as F
 
 from tillwork import schemas
 from tillwork.plans import nightly, reports
+from tillwork.sinks import tables
 from tillwork.sources.files import read_preference_counts
 
 REVIEWS = [
@@ -97,3 +100,75 @@ def test_the_partitioned_gold_table_prunes_by_month(spark, tmp_path):
     months = spark.table(schemas.GOLD_PRODUCT_PERFORMANCE).where("order_month = timestamp_ntz'2024-05-01 00:00:00'")
     plan = months._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan and months.count() > 0
+
+
+def _tables(spark, rows, written):
+    return {name: rows(spark.table(name).select(*[F.col(c).cast("string") for c in spark.table(name).columns if c != "last_updated"])) for name in written}
+
+
+class Broken(RuntimeError):
+    pass
+
+
+def test_a_run_that_fails_anywhere_goes_on_where_it_stopped(spark, tmp_path, rows, monkeypatch):
+    """Every table in turn cannot be written; the same run started again writes what is missing, and only that."""
+    _write_inputs(tmp_path)
+    shop, asked = data.Shop(spark), []
+
+    def table(name):
+        asked.append(name)
+        return shop.table(name)
+
+    inputs = _inputs(tmp_path, table)
+    whole = nightly.run_nightly(spark, inputs, "undisturbed")
+    expected, audits = _tables(spark, rows, whole), spark.table(schemas.VALIDATION_RESULTS).count()
+    write, append = tables.Replacement.write, nightly.append_rows
+    order = list(whole)
+    # One table of each group that is written together, and some that are written one after the other.
+    stages = [order[0], order[8], "audit", order[12], order[15], order[17], order[19], order[20]]
+    broken, wrote = [], []
+
+    def failing_write(self, df):
+        if broken and self.name == broken[0]:
+            raise Broken(self.name)
+        wrote.append(self.name)
+        write(self, df)
+
+    def failing_append(df, name):
+        if broken and broken[0] == "audit":
+            raise Broken(name)
+        return append(df, name)
+
+    monkeypatch.setattr(tables.Replacement, "write", failing_write)
+    monkeypatch.setattr(nightly, "append_rows", failing_append)
+    asked.clear()
+    for name in stages:
+        broken[:] = [name]
+        with pytest.raises(Broken):
+            nightly.run_nightly(spark, inputs, "disturbed")
+    broken.clear()
+    assert nightly.run_nightly(spark, inputs, "disturbed") == whole
+    assert sorted(wrote) == sorted(whole), "every table was written once"
+    assert sorted(asked) == sorted([*nightly.DATABASE_TARGETS, "customers"]), "read once, and again where the write failed"
+    assert _tables(spark, rows, whole) == expected
+    assert spark.table(schemas.VALIDATION_RESULTS).count() == audits + 1
+    assert nightly.run_nightly(spark, inputs, "disturbed") == whole and len(wrote) == len(whole)
+    # A table that somebody else has written since is an input that has changed.
+    tables.overwrite_table(spark.table(schemas.BRONZE_CUSTOMERS), schemas.BRONZE_CUSTOMERS, note=tables.note_of(spark, schemas.BRONZE_CUSTOMERS))
+    wrote.clear()
+    nightly.run_nightly(spark, inputs, "disturbed")
+    assert schemas.SILVER_CUSTOMERS in wrote and schemas.GOLD_CUSTOMER_INSIGHTS in wrote and schemas.SILVER_PRODUCTS not in wrote
+
+
+def test_a_source_that_has_changed_is_not_shown(spark, tmp_path):
+    _write_inputs(tmp_path)
+
+    def changed():
+        raise Broken("changed")
+
+    inputs = dataclasses.replace(_inputs(tmp_path, data.Shop(spark).table), verify=changed)
+    nightly.run_nightly(spark, _inputs(tmp_path, data.Shop(spark).table), "before")
+    shown = tables.current_version(spark, schemas.BRONZE_ORDERS)
+    with pytest.raises(Broken):
+        nightly.run_nightly(spark, inputs, "refused")
+    assert tables.current_version(spark, schemas.BRONZE_ORDERS) == shown

@@ -73,12 +73,31 @@ REVIEW_EXPECTATIONS = (
 )
 
 
-def check(df: DataFrame, expectations: Sequence, sample_rows: int | None = None) -> DataFrame:
+def bottom_sample(df: DataFrame, rows: int, key: Sequence[str] = ()) -> DataFrame:
+    """The ``rows`` rows whose key has the smallest hash; all of them if there are fewer.
+
+    The same rows in every run and at every partitioning: each task keeps its smallest, and these are merged. ``key``
+    should tell rows apart; without it all columns are the key.
+    """
+    named = [F.col(f"`{name}`") for name in key or df.columns]
+    text = F.to_json(F.struct(*named)) if len(named) != 1 else F.coalesce(named[0].cast("string"), F.lit(""))
+    # Rows with equal keys are told apart by the rest of them.
+    whole = F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]))
+    return df.orderBy(F.sha2(text, 256), text, whole).limit(rows)
+
+
+def check(
+    df: DataFrame, expectations: Sequence, sample_rows: int | None = None, sample_key: Sequence[str] = ()
+) -> DataFrame:
     """One result row per expectation, from a single aggregation.
 
-    ``sample_rows`` checks an arbitrary sample of that size instead of the whole table.
+    ``sample_rows`` checks a sample of that size instead of the whole table, the same in every run (``bottom_sample``).
     """
-    source = df if sample_rows is None else df.limit(sample_rows)
+    if sample_rows is None:
+        source = df
+    else:
+        needed = {*sample_key, *(expectation.column for expectation in expectations)}
+        source = bottom_sample(df.select([name for name in df.columns if not sample_key or name in needed]), sample_rows, sample_key)
     measured = [
         measure.alias(f"_{number}_{label}")
         for number, expectation in enumerate(expectations)
