@@ -26,6 +26,7 @@ from tillwork.plans import customers, gold, nightly, orders, reports, silver  #
 from tillwork.plans.driver_tables import DriverTables  # noqa: E402
 from tillwork.session import new_folder, remove_folder, use_scale_settings  # noqa: E402
 from tillwork.sinks import tables  # noqa: E402
+from tillwork.sinks.partitions import overwrite_partitions  # noqa: E402
 from tillwork.sources import files  # noqa: E402
 
 try:
@@ -99,14 +100,12 @@ def _silver_products(t: DriverTables) -> DataFrame:
 
 
 def _preferences_hot_key(t: DriverTables) -> DataFrame:
-    """All preferences under five customers: every array holds every child."""
-    five = t.preferences.withColumn("customer_id", F.col("customer_id") % 5 + 1)
-    nested = silver.silver_customers(t.customers, silver.nested_preferences(five)).where("customer_id_right IS NOT NULL")
-    return nested.select(
-        "customer_id",
-        F.size("preferences").cast("bigint").alias("n"),
-        F.sha2(_joined("preferences", "TYPE", "VALUE"), 256).alias("preferences_sha256"),
+    """A third of all preferences under one customer: numbers and digests of the children instead of their arrays."""
+    third = F.when(F.pmod("customer_id", F.lit(3)) == 0, F.lit(1)).otherwise(F.col("customer_id"))
+    digests = nesting.child_digests(
+        t.preferences.withColumn("customer_id", third), "customer_id", ("preference_type", "preference_value"), "digest"
     )
+    return t.customers.select("customer_id").join(digests, "customer_id").select("customer_id", "n", F.col("digest").cast("string").alias("digest"))
 
 
 def _silver_orders(t: DriverTables) -> DataFrame:
@@ -164,6 +163,15 @@ def _reviews_json(t: DriverTables) -> str:
     return path
 
 
+def _indented_reviews_json(t: DriverTables) -> str:
+    """Reviews as indented JSON arrays, whose elements span many lines."""
+    path = new_folder(t.spark, "reviews-indented")
+    fields = t.unrounded_reviews.withColumnRenamed("review_date", "date")
+    arrays = fields.groupBy(F.floor(F.col("review_id") / 400)).agg(F.collect_list(F.struct(*fields.columns)).alias("reviews"))
+    arrays.select(F.to_json("reviews", {"pretty": "true"}).alias("value")).write.text(path)
+    return path
+
+
 def _preferences_xml(t: DriverTables) -> str:
     path = new_folder(t.spark, "preferences-xml")
     fields = {"preference_type": "type", "preference_value": "value"}
@@ -181,7 +189,14 @@ def _specifications_xml(t: DriverTables) -> str:
 
 
 def _reviews_roundtrip(t: DriverTables) -> DataFrame:
-    read = files.read_reviews(t.spark, _reviews_json(t), "lines")
+    return _rated(files.read_reviews(t.spark, _reviews_json(t), "lines"))
+
+
+def _reviews_split(t: DriverTables) -> DataFrame:
+    return _rated(files.read_reviews(t.spark, _indented_reviews_json(t), "split"))
+
+
+def _rated(read: DataFrame) -> DataFrame:
     rated = F.transform("aspects", lambda one: F.concat(one["name"], F.lit("="), one["rating"].cast("string")))
     return read.withColumn("aspects", F.concat_ws("|", rated))
 
@@ -191,6 +206,11 @@ def _preferences_roundtrip(t: DriverTables) -> DataFrame:
     return read.select("customer_id", "preference_type", "preference_value")
 
 
+def _preferences_split(t: DriverTables) -> DataFrame:
+    read = files.read_preferences(t.spark, _preferences_xml(t), "split")
+    return read.select("customer_id", "preference_type", "preference_value")
+
+
 def _specifications_roundtrip(t: DriverTables) -> DataFrame:
     read = files.read_specifications(t.spark, _specifications_xml(t), "document")
     return read.select("product_id", "spec_name", "spec_value")
@@ -253,6 +273,22 @@ def _table_write_modes(t: DriverTables) -> DataFrame:
     return _settled(t, database, result)
 
 
+def _changed_partitions(t: DriverTables) -> DataFrame:
+    """Orders laid out by status, written again with other amounts under one status: rows, and which partitions were written anew."""
+    database = _new_database(t)
+    name = f"{database}.by_status"
+    sales = t.orders.select("order_id", "total_amount", "status")
+    overwrite_partitions(sales, name, ("status",))
+    raised = F.when(F.col("status") == "F", F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    overwrite_partitions(sales.withColumn("total_amount", raised.cast("decimal(12,2)")), name, ("status",))
+    version = tables.current_version(t.spark, name)
+    inside = F.contains(F.lower(F.input_file_name()), F.lit(version.rpartition(".")[2].lower()))
+    result = t.spark.table(name).withColumn("written", inside).groupBy("status", "written").agg(
+        F.count("*").alias("n"), F.sum("total_amount").alias("amount")
+    )
+    return _settled(t, database, result)
+
+
 # What to sum in each table of the nightly run; money in cents.
 _NIGHTLY_FIGURES = {
     "BRONZE_CUSTOMERS": "length(address)",
@@ -345,8 +381,9 @@ def _validation_record(t: DriverTables) -> DataFrame:
 
 
 def _validation_sample(t: DriverTables) -> DataFrame:
-    """The sampled form looks at 2000 rows, or all if there are fewer; which ones is open."""
-    return quality.check(t.review_facts, _EXPECTATIONS[:1], sample_rows=2000).select("check_no", "element_count")
+    """The sampled form: the 2000 rows whose ids have the smallest hashes, or all if there are fewer."""
+    sampled = quality.check(t.review_facts, _EXPECTATIONS, 2000, ("review_id",))
+    return sampled.select("check_no", "success", "element_count", "missing_count", "unexpected_count", "observed_value")
 
 
 def _state_by_extractor(t: DriverTables) -> DataFrame:
@@ -423,10 +460,13 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "top_preferences": lambda t: reports.top_preferences(t.preferences),
     "json_path_projection": _json_paths,
     "reviews_json_roundtrip": _reviews_roundtrip,
+    "reviews_json_split": _reviews_split,
     "preferences_xml_roundtrip": _preferences_roundtrip,
+    "preferences_xml_split": _preferences_split,
     "specs_xml_roundtrip": _specifications_roundtrip,
     "csv_export_roundtrip": _csv_roundtrip,
     "table_write_modes": _table_write_modes,
+    "changed_partitions": _changed_partitions,
     "expectation_results": _expectation_results,
     "validation_record": _validation_record,
     "validation_sample": _validation_sample,

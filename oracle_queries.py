@@ -170,6 +170,8 @@ _TABLES = {
                count(*) FILTER (title NOT IN ('click', 'purchase', 'signup')) AS odd_title,
                min(helpful_votes) AS least
         FROM rev""",
+    "sampled": """
+        SELECT * FROM rev ORDER BY sha256(CAST(review_id AS VARCHAR)), CAST(review_id AS VARCHAR) LIMIT 2000""",
 }
 
 
@@ -299,10 +301,10 @@ _BODIES = {
             SELECT customer_id, string_agg(preference_type || '=' || preference_value, '|' ORDER BY preference_type, preference_value) AS preferences
             FROM pref GROUP BY customer_id) p ON cust.customer_id = p.customer_id""",
     "silver_preferences_hot_key": """
-        SELECT cust.customer_id, n, preferences_sha256
+        SELECT cust.customer_id, n, CAST(digest AS VARCHAR) AS digest
         FROM cust JOIN (
-            SELECT customer_id % 5 + 1 AS customer_id, count(*) AS n,
-                   sha256(string_agg(preference_type || '=' || preference_value, '|' ORDER BY preference_type, preference_value)) AS preferences_sha256
+            SELECT CASE WHEN customer_id % 3 = 0 THEN 1 ELSE customer_id END AS customer_id, count(*) AS n,
+                   sum(CAST(CAST('0x' || substr(md5(coalesce(preference_type, '') || '=' || coalesce(preference_value, '')), 1, 15) AS BIGINT) AS HUGEINT)) AS digest
             FROM pref GROUP BY ALL) p ON cust.customer_id = p.customer_id""",
     "silver_products": """
         SELECT prod.product_id, product_name, category, CAST(price AS DOUBLE) AS price,
@@ -378,7 +380,17 @@ _BODIES = {
         FROM spec_wide WHERE try_cast(regexp_extract(storage, '(\\d+)', 1) AS DOUBLE) IS NOT NULL""",
     "silver_orders_state_by_extractor": """
         SELECT order_id, state FROM ord LEFT JOIN placed ON ord.customer_id = placed.customer_id""",
-    "validation_sample": "SELECT CAST(0 AS INTEGER) AS check_no, least(n, 2000) AS element_count FROM checks",
+    "validation_sample": """
+        SELECT CAST(check_no AS INTEGER) AS check_no, success, element_count, missing_count, unexpected_count, observed_value FROM (
+            SELECT 0 AS check_no, count(*) FILTER (verified_purchase NOT IN ('FALSE')) = 0 AS success, count(*) AS element_count,
+                   count(*) - count(verified_purchase) AS missing_count,
+                   count(*) FILTER (verified_purchase NOT IN ('FALSE')) AS unexpected_count, NULL AS observed_value FROM sampled
+            UNION ALL SELECT 1, coalesce(min(helpful_votes) BETWEEN 12 AND 20, false), NULL, NULL, NULL, CAST(min(helpful_votes) AS VARCHAR) FROM sampled
+            UNION ALL SELECT 2, count(*) FILTER (verified_purchase NOT IN ('true', 'false')) = 0, count(*), count(*) - count(verified_purchase),
+                   count(*) FILTER (verified_purchase NOT IN ('true', 'false')), NULL FROM sampled
+            UNION ALL SELECT 3, coalesce(min(helpful_votes) BETWEEN 0 AND 20, false), NULL, NULL, NULL, CAST(min(helpful_votes) AS VARCHAR) FROM sampled
+            UNION ALL SELECT 4, count(*) FILTER (title NOT IN ('click', 'purchase', 'signup')) = 0, count(*), count(*) - count(title),
+                   count(*) FILTER (title NOT IN ('click', 'purchase', 'signup')), NULL FROM sampled)""",
     "nightly_tables": _NIGHTLY,
     "spec_json_rows": "SELECT product_id, spec_name AS name, spec_value AS value FROM spec",
     "preference_counts": "SELECT * FROM pref_counts",
@@ -409,6 +421,9 @@ _BODIES = {
         UNION ALL SELECT 'written', 'replace', count(*), NULL FROM ord
         UNION ALL SELECT 'written', 'append', 2 * count(*), NULL FROM ord
         UNION ALL SELECT 'written', 'many', (SELECT count(*) FROM months) + (SELECT count(*) FROM payment_months), NULL""",
+    "changed_partitions": """
+        SELECT status, status = 'F' AS written, count(*) AS n,
+               CAST(sum(total_amount + CASE WHEN status = 'F' THEN 1 ELSE 0 END) AS DOUBLE) AS amount FROM ord GROUP BY status""",
     "expectation_results": "\nUNION ALL ".join(
         [
             _in_set(0, "verified_purchase", "not_false"),
@@ -424,4 +439,8 @@ _BODIES = {
     "lineage_columns": "SELECT customer_id, 'customers.xml' AS source_file, TRUE AS loaded FROM cust",
 }
 
+# Other ways to the same rows.
+_BODIES["reviews_json_split"] = _BODIES["reviews_json_roundtrip"]
+_BODIES["preferences_xml_split"] = _BODIES["preferences_xml_roundtrip"]
+
 ORACLES = {name: _with(body) for name, body in _BODIES.items()}
