@@ -42,6 +42,19 @@ def shingles(text):
     return frozenset(tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1)))
 
 
+def near_components(documents):
+    """id -> smallest id it reaches, for (id, text) rows in which ids may repeat with differing texts."""
+    rows = list({(doc_id, shingles(text)) for doc_id, text in documents})
+    group = {doc_id: doc_id for doc_id, _ in rows}
+    for k, (first, one) in enumerate(rows):
+        for second, other in rows[:k]:
+            common = len(one & other)
+            if common and 100 * common >= 80 * len(one | other):
+                low, high = sorted((group[first], group[second]))
+                group = {doc_id: low if at == high else at for doc_id, at in group.items()}
+    return group
+
+
 def near_groups(documents):
     """doc_id -> (set size, smallest id of its component)."""
     sets = {doc_id: shingles(text) for doc_id, text in documents}
@@ -101,7 +114,7 @@ def personal_data(text):
         return re.sub("[^0-9]", "", match.group())
 
     found = [("email", *m.span()) for m in _EMAIL.finditer(text)]
-    found += [("ip", *m.span()) for m in _IP.finditer(text) if all(int(x) <= 255 for x in m.group().split("."))]
+    found += [("ip", *m.span()) for m in _IP.finditer(text) if all(re.fullmatch("0*([0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])", x) for x in m.group().split("."))]
     found += [("card", *m.span()) for m in _CARD.finditer(text) if 16 <= len(digits(m)) <= 19 and luhn(digits(m))]
     return found + [("phone", *m.span()) for m in _PHONE.finditer(text) if 8 <= len(digits(m)) <= 15]
 

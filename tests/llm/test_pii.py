@@ -76,6 +76,24 @@ def test_prose_near_the_gates_stays(text):
     test_plain_prose_stays(text)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["0", "1", "9", " ", "-", "+", "@", ".", "a", "(", "one ", "é", "\n"]), st.sampled_from([1, 1, 2, 3, 5_000, 6_000])), max_size=8))
+def test_long_runs_of_anything(parts):
+    text = "".join(one * count for one, count in parts)
+    base, every = pii.find(text)
+    assert base == plain.personal_data(text) and set(base) <= set(every)
+    assert not plain.personal_data(pii.masked(text))
+
+
+@pytest.mark.parametrize("digit", ["0", "7", "\uff10"])
+def test_numbers_longer_than_int_reads(digit):
+    for text in (digit * 5_000 + ".1.1.1", f"1.{digit * 9_000}.2.3", "+" + digit * 6_000, f"host {digit * 5_000} dot 1 dot 1 dot 1"):
+        base, every = pii.find(text)
+        assert base == plain.personal_data(text)
+        assert pii.masked(text) is not None
+    assert pii.find("0" * 5_000 + ".1.1.1")[0] == [("ip", 0, 5_006)]
+
+
 def test_long_runs_of_blanks_take_no_longer():
     assert pii.find("a" + " " * 20_000 + "b dot c" + " " * 20_000 + "at x") == ([], [])
 

@@ -52,13 +52,19 @@ def plain_spans(text: str) -> list[Span]:
         found += [("email", *span) for span in _emails(text)]
     if _DIGIT.search(text):
         if "." in text:
-            found += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.groups())]
+            found += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_is_byte, m.groups()))]
         found += [("card", *m.span()) for m in _CARD.finditer(text) if m.end() - m.start() >= 16 and _is_card(m.group())]
         if "+" in text:
             found += [("phone", *m.span()) for m in _PHONE.finditer(text) if 8 <= sum(map(str.isdigit, m.group())) <= 15]
     return found
 
 
+def _is_byte(digits: str) -> bool:
+    """Up to 255, with any number of leading zeros: ``int`` refuses very long numbers, however small."""
+    digits = digits.lstrip("0") or "0"
+    return len(digits) <= 3 and int(digits) <= 255
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Each @ with the longest run of local characters before it, as far as earlier matches leave it."""
     free, at = 0, text.find("@")
