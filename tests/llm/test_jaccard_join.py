@@ -33,6 +33,30 @@ def test_components_as_by_brute_force(spark, corpus):
     assert result(jaccard_join.join(spark, documents)) == plain.near_groups(corpus)
 
 
+def test_long_words_of_two_letters_are_told_apart(spark):
+    """Sums of powers modulo 2^64 take such words for equal, whatever the odd base."""
+    letters = "".join("ab"[bin(k).count("1") % 2] for k in range(4_096))
+    swapped = letters.translate(str.maketrans("ab", "ba"))
+    documents = [(1, letters[:2_048]), (2, swapped[:2_048]), (3, letters), (4, swapped), (5, letters[:2_048].upper()), (6, swapped + " x")]
+    found = result(jaccard_join.join(spark, spark.createDataFrame(documents, "doc_id long, text string")))
+    assert found == plain.near_groups(documents)
+    assert {key: one for key, (_, one) in found.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1, 6: 6}
+
+
+def test_an_id_with_differing_texts_links_with_whatever_they_link_with(spark, prose):
+    """Ids 5 and 9: the smallest id of a class is that of two classes; 20 has words and none; 30 has none at all."""
+    documents = [(5, prose(1, 40)), (5, prose(2, 40)), (9, prose(2, 40) + " x"), (7, prose(1, 40) + " y"), (12, prose(3, 40)), (9, prose(3, 40))]
+    documents += [(20, ""), (20, prose(4, 40)), (18, prose(4, 40) + " z"), (30, None), (30, " "), (40, prose(5, 40)), (41, prose(5, 40)), (5, prose(1, 40))]
+    documents += [(60 + k % 3, prose(100 + k % 7, 30)) for k in range(20)] + [(2, prose(6, 40))]
+    found = jaccard_join.join(spark, spark.createDataFrame(documents, "doc_id long, text string").repartition(3)).collect()
+    expected = plain.near_components(documents)
+    assert len(found) == len(documents)
+    assert {(row["doc_id"], row["component_id"]) for row in found} == set(expected.items())
+    assert expected[7] == expected[9] == expected[12] == 5 and expected[20] == 18 and expected[30] == 30
+    sizes = sorted((row["doc_id"], row["n_shingles"]) for row in found)
+    assert sizes == sorted((doc_id, len(plain.shingles(text))) for doc_id, text in documents)
+
+
 @pytest.mark.parametrize(("shard", "tree"), [(1_000, 10_000), (4, 10_000), (4, 10)])
 def test_large_groups_are_cut_without_losing_links(spark, prose, monkeypatch, shard, tree):
     monkeypatch.setattr(jaccard_join, "SHARD", shard)

@@ -20,7 +20,8 @@ with fewer words, the whole sequence). Two documents link when ``100 * intersect
 4. Spanning links are contracted to components.
 
 Defined results: a null or text without words has an empty set, links with nothing and is its own component;
-a null id gets a null component; repeated rows are one document; an empty table gives no rows; other columns
+a null id gets a null component; repeated rows are one document, and an id with differing texts is one that links with whatever any
+of them links with; an empty table gives no rows; other columns
 are ignored.
 """
 
@@ -30,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import arrays, components, tables
@@ -49,7 +50,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     for first, end, data, offsets in arrays.text_chunks(texts):
         data = arrays.LOWER[data]
         starts, ends, rows = arrays.words_of(data, offsets, arrays.NOT_SPACE)
-        words = arrays.slice_hashes(data, starts, ends)
+        words = arrays.word_hashes(data, starts, ends)
         shingles = arrays.window_hashes(words, SHINGLE)
         bounds = arrays.row_ranges(rows, end - first).tolist()
         for a, b in zip(bounds, bounds[1:]):
@@ -516,22 +517,63 @@ def class_links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     return found.where("b is not null").select("a", "b").unionByName(again)
 
 
+def _several_texts(spark: SparkSession, documents: DataFrame) -> DataFrame | None:
+    """Ids with differing texts: doc_id, digest of the text, and a name of its own for each; all but one lie above all ids."""
+    repeated = documents.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    texts = documents.join(repeated.select("doc_id"), "doc_id", "left_semi")
+    texts = texts.select("doc_id", digest.alias("digest"), (~_has_word("text")).alias("empty")).distinct()
+    several = texts.groupBy("doc_id").agg(F.min(F.struct("empty", "digest")).alias("first"), F.count("*").alias("texts")).where("texts > 1")
+    several = tables.cut(spark, texts.join(several, "doc_id"), "several-texts")
+    if several.isEmpty():
+        return None
+    above = documents.agg(F.max("doc_id")).first()[0] + 1
+    name = F.when(F.col("digest") == F.col("first.digest"), F.col("doc_id")).otherwise(F.monotonically_increasing_id() + F.lit(above))
+    return tables.cut(spark, several.select("doc_id", "digest", name.alias("name")), "names-of-texts")
+
+
+def _has_word(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def _renamed(documents: DataFrame, several: DataFrame) -> DataFrame:
+    """``documents`` with the name of its text as the id of each row."""
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    joined = documents.withColumn("digest", digest).join(several, ["doc_id", "digest"], "left")
+    return joined.select(F.coalesce("name", "doc_id").alias("doc_id"), "text")
+
+
+def _classes_of_ids(documents: DataFrame, several: DataFrame, distinct: DataFrame) -> DataFrame:
+    """doc_id and class of each of its texts, for ids with several."""
+    chosen = documents.join(several.select(F.col("name").alias("doc_id")), "doc_id", "left_semi")
+    rows = chosen.mapInArrow(_sketch(False), "doc_id bigint, n bigint, c1 bigint, c2 bigint").where("n > 0")
+    rows = rows.join(distinct.select("c1", "c2", "representative"), ["c1", "c2"]).select(F.col("doc_id").alias("name"), "representative")
+    return rows.join(several.select("name", "doc_id"), "name").select("doc_id", "representative").distinct()
+
+
 def join(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Per row of ``documents(doc_id, text)``: set size and component."""
     tables.use_small_batches(spark)
     documents = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    distinct = tables.cut(spark, classes(documents), "shingle-classes")
-    found = components.connected(spark, class_links(spark, distinct))
-    named = distinct.select("c1", "c2", "representative").join(
-        found, F.col("representative") == F.col("vertex"), "left"
-    )
-    named = named.select("c1", "c2", F.coalesce("component", "representative").alias("component"))
+    several = _several_texts(spark, documents)
+    named = documents if several is None else _renamed(documents, several)
+    distinct = tables.cut(spark, classes(named), "shingle-classes")
+    links = class_links(spark, distinct)
+    if several is not None:
+        of_ids = tables.cut(spark, _classes_of_ids(named, several, distinct), "classes-of-ids")
+        lowest = of_ids.groupBy("doc_id").agg(F.min("representative").alias("b"))
+        links = links.unionByName(of_ids.join(lowest, "doc_id").select(F.col("representative").alias("a"), "b"))
+    found = components.connected(spark, links)
+    joined = distinct.join(found, F.col("representative") == F.col("vertex"), "left")
+    joined = joined.select("c1", "c2", "representative", F.coalesce("component", "representative").alias("component"))
     rows = documents.mapInArrow(_sketch(False), "doc_id bigint, n bigint, c1 bigint, c2 bigint")
-    return rows.join(named, ["c1", "c2"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))).alias("component_id"),
-    )
+    rows = rows.join(joined.drop("representative"), ["c1", "c2"], "left")
+    reached = F.when(F.col("n") > 0, F.col("component"))
+    if several is not None:
+        ids = of_ids.join(joined, "representative").groupBy("doc_id").agg(F.min("component").alias("id_component"))
+        rows, reached = rows.join(ids, "doc_id", "left"), F.coalesce(F.col("id_component"), reached)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce(reached, F.col("doc_id")))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def op8(spark: SparkSession, folder: str) -> DataFrame:
