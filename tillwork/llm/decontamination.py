@@ -42,7 +42,7 @@ class WindowSet:
             size = min(window, len(starts))
             if not size:
                 continue
-            hashes = arrays.window_hashes(arrays.slice_hashes(data, starts, ends), size)
+            hashes = arrays.window_hashes(arrays.word_hashes(data, starts, ends), size)
             known = self.by_length.setdefault(size, {})
             for k, value in enumerate(hashes.tolist()):
                 names = known.setdefault(value, {}).setdefault(_joined(data, starts, ends, k, size), set())
@@ -60,7 +60,7 @@ class WindowSet:
         starts, ends, rows = arrays.words_of(data, offsets, arrays.ALNUM)
         hit = np.zeros(len(starts), bool)
         found: list[set[str]] = [set() for _ in range(len(offsets) - 1)]
-        hashes = arrays.slice_hashes(data, starts, ends) if self.sorted and len(starts) else None
+        hashes = arrays.word_hashes(data, starts, ends) if self.sorted and len(starts) else None
         for size, values in self.sorted.items():
             if len(starts) < size:
                 continue
