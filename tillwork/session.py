@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans joins from measured sizes: it coalesces small shuffle partitions,
@@ -62,10 +67,49 @@ def shared_folder(spark: SparkSession) -> str:
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``new_folder``, in whatever store it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _remove(spark._jvm, spark._jsc.hadoopConfiguration(), path)
+
+
+def _remove(jvm, configuration, path: str) -> None:
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(configuration).delete(place, True)
+
+
+#: The folder of this process below each shared folder, and the folders made since each open ``scratch`` began.
+_process_folders: dict[str, str] = {}
+_open_scratches: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scratches", default=())
+
+
+def process_folder(spark: SparkSession) -> str:
+    """What all scratch data of this process lies below; it goes when the process ends, also after a failure."""
+    shared = shared_folder(spark)
+    if shared not in _process_folders:
+        _process_folders[shared] = f"{shared}/tillwork-{uuid.uuid4().hex}"
+        atexit.register(_remove_at_exit, spark._jvm, spark._jsc.hadoopConfiguration(), _process_folders[shared])
+    return _process_folders[shared]
+
+
+def _remove_at_exit(jvm, configuration, path: str) -> None:
+    with suppress(Py4JError, OSError):  # the JVM may be gone before
+        _remove(jvm, configuration, path)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier call has used."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{process_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for made in _open_scratches.get()[-1:]:
+        made.append(folder)
+    return folder
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders made in this block are removed at its end: whatever is to stay is written to one made before it."""
+    made: list[str] = []
+    before = _open_scratches.set((*_open_scratches.get(), made))
+    try:
+        yield
+    finally:
+        _open_scratches.reset(before)
+        for folder in made:
+            remove_folder(spark, folder)
