@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import time
 from collections import Counter
 
 import pyarrow as pa
@@ -99,3 +101,44 @@ def test_marginals_as_by_enumeration(model):
         for k in range(count):
             content[k] += weight * labels[k]
     assert html_extraction.marginals(tree, model) == pytest.approx([one / total for one in content])
+
+
+@pytest.mark.parametrize(
+    "piece", ['<a x="1" ', "<div>", "</section>", "<p title='it\"s>x", "<li>x", "</script ", "<", "<!--", '<a b="c>d', "<blockquote>", "&amp;", "<p>\"'"],
+)
+@pytest.mark.parametrize("before", ["", "<blockquote>" * 20_000, "<div>" * 20_000, "<script>", "<article>"])
+def test_a_megabyte_of_anything_takes_seconds(model, before, piece):
+    began = time.monotonic()
+    html_extraction.main_text(before + piece * (1_000_000 // len(piece)), model)
+    assert time.monotonic() - began < 30
+
+
+def test_tags_end_outside_of_quotes():
+    ends = html_extraction.TagEnds
+    assert ends("<a x='>'>").after(2) == 8 and ends("<a x=\">'\">").after(2) == 9
+    # A quote that is never closed is no quote.
+    assert ends("<a x='>text").after(2) == 6 and ends("<a x=").after(2) == -1
+
+
+def plain_page(k: int) -> tuple[str, str]:
+    """A page without article or main, its text in divisions that say little, and that text."""
+    rng = random.Random(k)
+    body = [f"Part {j} of page {k}: {BODY}" for j in range(2 + k % 5)]
+    name = rng.choice(["c1", "wrap", "post-content", "story", "x9", ""])
+    links = "".join(f"<li><a href=/{j}>Section {j}</a></li>" for j in range(6))
+    around = rng.choice(['<div class="menu"><ul>%s</ul></div>', "<nav><ul>%s</ul></nav>", '<div id="sidebar"><ul>%s</ul></div>', "<ul>%s</ul>"]) % links
+    end = rng.choice(["<footer>&copy; site</footer>", '<div class="footer"><p>&copy; site, all rights reserved</p></div>', '<div class="comments"><p>Nice one, thanks.</p></div>'])
+    paragraphs = "".join(f"<p>{one}</p>" for one in body)
+    return f'<html><head><title>t</title></head><body>{around}<div class="{name}"><h1>Title {k}</h1>{paragraphs}</div>{end}</body></html>', f"Title {k} " + " ".join(body)
+
+
+def test_pages_without_article_or_main(model):
+    """Words of the text that are found, and words found that are of the text, over pages that do not label themselves."""
+    kept = wanted = found = 0
+    for k in range(300):
+        source, text = plain_page(k)
+        have, expected = Counter(html_extraction.main_text(source, model).split()), Counter(text.split())
+        kept += (have & expected).total()
+        wanted += expected.total()
+        found += have.total()
+    assert kept / wanted > 0.95 and kept / found > 0.95, (kept / wanted, kept / found)

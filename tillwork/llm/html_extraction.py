@@ -21,8 +21,9 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -73,16 +74,40 @@ _CONTENT_TAGS = frozenset(("article", "main"))
 _FRAME = frozenset(("html", "body"))
 _TELLING = _NOT_CONTENT_TAGS | _CONTENT_TAGS | _DROPPED | {"header"}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^>]*\Z|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_ENDS = re.compile(r"[>\"']")
 _NAMES = re.compile(r"(?i)(?:^|[\s\"'])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
 
+class TagEnds:
+    """Where tags end: at the first ``>`` outside of quotes, or, where a quote is never closed, at the first one at all.
+
+    One pass from the end settles this for every place, so no text is looked at again for each tag that begins in it.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.places = [match.start() for match in _ENDS.finditer(source)]
+        self.ends = [-1] * (len(self.places) + 1)
+        closing: dict[str, int] = {}
+        for k in range(len(self.places) - 1, -1, -1):
+            one = source[self.places[k]]
+            if one == ">":
+                self.ends[k] = self.places[k]
+            else:
+                self.ends[k] = self.ends[closing[one] + 1] if one in closing else -1
+                closing[one] = k
+
+    def after(self, place: int) -> int:
+        """The ``>`` of the tag whose name ends at ``place``; -1 if the page ends before."""
+        found = self.ends[bisect_left(self.places, place)]
+        return found if found >= 0 else self.source.find(">", place)
+
+
 class Page:
-    """The block tree of one page: parallel lists over its nodes, parents before children."""
+    """The block tree of one page: parallel lists over its nodes, parents before children. Reading takes time in proportion to the page."""
 
     def __init__(self, source: str):
         self.parent: list[int] = [-1]
@@ -91,6 +116,7 @@ class Page:
         self.text: list[str] = [""]
         self.link_share: list[float] = [0.0]
         self._stack = [0]
+        self._open_at: dict[str, list[int]] = {}
         self._buffer: list[str] = []
         self._linked = self._length = 0
         self._links = 0
@@ -98,29 +124,49 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        done, size = 0, len(source)
-        while done < size:
-            match = _TOKEN.search(source, done)
-            if match is None:
-                self._words(source[done:])
-                break
-            self._words(source[done : match.start()])
-            done = match.end()
-            if match.group(2) is None:
-                if match.group().startswith("<![CDATA["):
-                    self._words(match.group()[9:].removesuffix("]]>"), False)
+        ends, done, size, at = TagEnds(source), 0, len(source), source.find("<")
+        while at >= 0:
+            closes = source.startswith("/", at + 1)
+            name = _NAME.match(source, at + 1 + closes)
+            if name is None and not source.startswith(("!", "?"), at + 1):
+                at = source.find("<", at + 1)
                 continue
-            name = match.group(2).lower()
-            if match.group(1):
-                self._close(name)
-                continue
-            self._open(name, match.group(3) or "")
-            if name in _RAW or name == "noframes" and self._in_head():
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, done)
-                done = end.end() if end else size
-                self._close(name)
+            self._words(source[done:at])
+            if name is None:
+                done = self._markup(source, at)
+            else:
+                end = ends.after(name.end())
+                done = end + 1 if end >= 0 else size
+                if end >= 0:
+                    done = self._tag(source, name.group().lower(), closes, source[name.end() : end], done)
+            at = source.find("<", done)
+        self._words(source[done:])
         self._flush()
 
+    def _markup(self, source: str, at: int) -> int:
+        """Pass a comment, a declaration or CDATA, whose text is text; returns where it ends."""
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            return end + 3 if end >= 0 else len(source)
+        if source.startswith("<![CDATA[", at):
+            end = source.find("]]>", at + 9)
+            self._words(source[at + 9 : end if end >= 0 else len(source)], False)
+            return end + 3 if end >= 0 else len(source)
+        end = source.find(">", at)
+        return end + 1 if end >= 0 else len(source)
+
+    def _tag(self, source: str, name: str, closes: bool, attributes: str, done: int) -> int:
+        """Read a tag that ends at ``done``; returns where to go on."""
+        if closes:
+            self._close(name)
+            return done
+        self._open(name, attributes)
+        if name in _RAW or name == "noframes" and self._in_head():
+            end = re.compile(rf"</{name}\b", re.I).search(source, done)
+            done = source.find(">", end.end()) + 1 if end else 0
+            self._close(name)
+        return done or len(source)
+
     def _in_head(self) -> bool:
         return self.tag[self._stack[-1]] == "head"
 
@@ -163,10 +209,11 @@ class Page:
             return
         self._flush()
         if self.tag[self._stack[-1]] in _CLOSED_BY_BLOCK and not self._skipping:
-            self._stack.pop()
+            self._pop_to(len(self._stack) - 1)
         if name in _SAME_LEVEL:
             self._close_within(_SAME_LEVEL[name])
         self._add(name, _evidence(attributes))
+        self._open_at.setdefault(name, []).append(len(self._stack))
         self._stack.append(len(self.tag) - 1)
         if name in _DROPPED:
             self._skipping += 1
@@ -177,22 +224,20 @@ class Page:
         if name not in _BLOCKS:
             return
         self._flush()
-        for depth in range(len(self._stack) - 1, 0, -1):
-            if self.tag[self._stack[depth]] == name:
-                self._pop_to(depth)
-                return
+        if self._open_at.get(name):
+            self._pop_to(self._open_at[name][-1])
+
+    def _innermost(self, names: Iterable[str]) -> int:
+        return max((self._open_at[name][-1] for name in names if self._open_at.get(name)), default=0)
 
     def _close_within(self, names: tuple[str, ...]) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self.tag[self._stack[depth]]
-            if tag in names:
-                self._pop_to(depth)
-                return
-            if tag in _SCOPES:
-                return
+        depth = self._innermost(names)
+        if depth > self._innermost(_SCOPES.difference(names)):
+            self._pop_to(depth)
 
     def _pop_to(self, depth: int) -> None:
-        for number in self._stack[depth:]:
+        for number in reversed(self._stack[depth:]):
+            self._open_at[self.tag[number]].pop()
             if self.tag[number] in _DROPPED:
                 self._skipping -= 1
         del self._stack[depth:]
@@ -358,7 +403,6 @@ def train(pages: DataFrame, limit: int = PAGES) -> Potentials:
         pages.join(F.broadcast(chosen), "page_id", "left_semi")
         .select("html")
         .mapInArrow(_counted, "name string, label int, above int, count bigint")
-        .where(F.length("name") <= 40)
         .groupBy("name", "label", "above")
         .agg(F.sum("count").alias("count"))
         .collect()
