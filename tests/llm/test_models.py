@@ -67,6 +67,60 @@ def test_scorer_separates_positives_hidden_in_unlabelled():
     assert predicted[:600].mean() > 0.9 and predicted[600:].mean() < 0.1
 
 
+def test_risk_and_gradient_as_by_plain_sums_and_differences():
+    rng = np.random.default_rng(3)
+    positive, unlabelled = rng.normal(0.5, 1, (30, 5)), rng.normal(0, 1, (50, 5))
+    signs = set()
+    for prior in (0.2, 0.6, 0.95):
+        for _ in range(8):
+            weights = rng.normal(0, 2, 5)
+
+            def part(k):
+                def loss(rows, sign):
+                    return sum(1 / (1 + np.exp(sign * float(row @ weights))) for row in rows) / len(rows)
+
+                return prior * loss(positive, 1) if k == 0 else loss(unlabelled, -1) - prior * loss(positive, -1)
+
+            parts = quality_classifier.risk(positive, unlabelled, weights, prior)
+            assert np.allclose(parts, (part(0), part(1)))
+            signs.add(parts[1] >= 0)
+
+            def target(at):
+                both = quality_classifier.risk(positive, unlabelled, at, prior)
+                return sum(both) if parts[1] >= 0 else -both[1]
+
+            steps = 1e-5 * np.eye(5)
+            slopes = [(target(weights + one) - target(weights - one)) / 2e-5 for one in steps]
+            assert np.allclose(quality_classifier.risk_gradient(positive, unlabelled, weights, prior), slopes, atol=1e-7)
+    assert signs == {True, False}
+
+
+def test_a_table_in_which_every_row_is_labelled(spark, prose):
+    """Labels of the unlabelled sample are not looked at, so there is one; scores differ and are in the right order."""
+    rows = [(k, prose(k, 80).capitalize() + ".", 1) for k in range(120)] + [(200 + k, "$$ ## " * 30 + prose(k, 5), 0) for k in range(60)]
+    documents = spark.createDataFrame([row[:2] for row in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(row[0], row[2]) for row in rows], "doc_id long, quality int")
+    scores = {row["doc_id"]: row["score"] for row in quality_classifier.score(documents, quality_classifier.train(documents, labels)).collect()}
+    assert min(scores[k] for k in range(120)) > max(scores[200 + k] for k in range(60))
+    assert max(scores[200 + k] for k in range(60)) < 0.3 < min(scores[k] for k in range(120))
+
+
+def test_repeated_ids_do_not_multiply_what_is_collected(spark, prose, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "POSITIVES", 40)
+    monkeypatch.setattr(quality_classifier, "UNLABELLED", 50)
+    seen, matrices = quality_classifier.fit_scorer, []
+
+    def noting(positive, unlabelled, prior):
+        matrices.append((len(positive), len(unlabelled)))
+        return seen(positive, unlabelled, prior)
+
+    monkeypatch.setattr(quality_classifier, "fit_scorer", noting)
+    rows = [(1, prose(k % 7, 30)) for k in range(2_000)] + [(k, prose(k, 40)) for k in range(2, 300)]
+    labels = [(1, 1)] * 500 + [(1, 0)] * 3 + [(k, k % 2) for k in range(2, 300)]
+    quality_classifier.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert matrices == [(40, 50)]
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = [b"Hello world. ", b"", b"A A A A | # 12\n\nx", "é ü".encode()]
     offsets = np.cumsum([0, *map(len, texts)])

@@ -1,17 +1,18 @@
 """Quality classifier by positive-unlabelled learning with the non-negative risk estimator.
 
-A linear scorer over text statistics is fitted to trusted positives (``quality`` 1) against unlabelled text. The
-risk is ``prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)])`` with the sigmoid loss; where the second part
+A linear scorer over text statistics is fitted to trusted positives (``quality`` 1) against unlabelled text, a sample of all learning
+rows whose labels are not looked at. The risk is ``prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)])`` with the sigmoid loss; where the second part
 turns negative, the step goes up its gradient, as the non-negative estimator prescribes. The class prior is estimated from
 the labelled learning rows, smoothed. A two-parameter scaling on the labelled learning rows turns the
 scorer into probabilities.
 
-The fit reads at most ``POSITIVES`` positives and ``UNLABELLED`` other rows (the first in order of a hash of the
-id); their statistics, of fixed length, are what the driver holds. Scoring is one pass over whole texts.
+The fit reads at most ``POSITIVES`` positives, as many negatives and ``UNLABELLED`` unlabelled rows (the first in order of a hash of the
+id, one text per id); their statistics, of fixed length, are what the driver holds. Scoring is one pass over whole texts.
 
-Defined results: null and empty texts are scored like any other, from statistics that are all zero; without positives or
-without unlabelled rows every score is the prior; labels of unknown rows are ignored, repeated labels count once each;
-repeated rows are scored one by one; an empty table gives no rows; other columns are carried, but for ``score``.
+Defined results: null and empty texts are scored like any other, from statistics that are all zero; texts of any length are read whole;
+without positives every score is the prior; labels of unknown rows are ignored, repeated labels count once each in the prior and a
+row with both labels is in both samples; of an id with differing texts the one with the smallest hash is learned from;
+equal scores are equal verdicts, there are no other ties; repeated rows are scored one by one; an empty table gives no rows; other columns are carried, but for ``score``.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ UNLABELLED = 12_000
 THRESHOLD = 0.3
 _CLASSES = 16
 _STATISTICS = 10
-_STEPS = 600
+_STEPS = 1_500
 _CHUNK = 500_000
 
 #: Byte classes: upper case, lower case, digits, beyond ASCII, space, line end, and the marks one by one or in kinds.
@@ -111,6 +112,24 @@ def _sigmoid(values: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(values, -40, 40)))
 
 
+def risk(positive: np.ndarray, unlabelled: np.ndarray, weights: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the risk under sigmoid losses, l(f) = s(-f) and l(-f) = s(f): that of positives, and that of negatives.
+
+    The second one is estimated from unlabelled rows less the positives among them, and may turn out negative.
+    """
+    p, u = _sigmoid(positive @ weights), _sigmoid(unlabelled @ weights)
+    return float(prior * (1 - p).mean()), float(u.mean() - prior * p.mean())
+
+
+def risk_gradient(positive: np.ndarray, unlabelled: np.ndarray, weights: np.ndarray, prior: float) -> np.ndarray:
+    """Where to step down from: the gradient of both parts, or, where the second is negative, against that part alone."""
+    p, u = _sigmoid(positive @ weights), _sigmoid(unlabelled @ weights)
+    slope_p, slope_u = (p * (1 - p)) @ positive / len(p), (u * (1 - u)) @ unlabelled / len(u)
+    if u.mean() - prior * p.mean() >= 0:
+        return slope_u - 2 * prior * slope_p
+    return prior * slope_p - slope_u
+
+
 def fit_scorer(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk, by full gradients with adaptive steps."""
     size = positive.shape[1]
@@ -118,15 +137,7 @@ def fit_scorer(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tu
     positive = np.hstack([positive, np.ones((len(positive), 1))])
     unlabelled = np.hstack([unlabelled, np.ones((len(unlabelled), 1))])
     for step in range(1, _STEPS + 1):
-        p, u = _sigmoid(positive @ weights), _sigmoid(unlabelled @ weights)
-        # Sigmoid losses: l(f) = s(-f) and l(-f) = s(f); both have slope s(1 - s).
-        slope_p, slope_u = (p * (1 - p)) @ positive / len(p), (u * (1 - u)) @ unlabelled / len(u)
-        negative_part = u.mean() - prior * p.mean()
-        if negative_part >= 0:
-            gradient = -prior * slope_p + slope_u - prior * slope_p
-        else:
-            gradient = -(slope_u - prior * slope_p)
-        gradient = gradient + 1e-4 * np.append(weights[:-1], 0)
+        gradient = risk_gradient(positive, unlabelled, weights, prior) + 1e-4 * np.append(weights[:-1], 0)
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         weights = weights - 0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -156,13 +167,19 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     seen = known.agg(F.count("*"), F.sum((F.col("quality") == 1).cast("long"))).first()
     prior = ((seen[1] or 0) + 1) / (seen[0] + 2)
     order = F.xxhash64(F.col("doc_id"), F.lit(10))
-    positive = known.where("quality = 1").orderBy(order, "doc_id").limit(POSITIVES)
-    # Trusted negatives only scale the scores; they are in no term of the risk.
-    negative = known.where("quality = 0").orderBy(order, "doc_id").limit(POSITIVES)
-    other = documents.select("doc_id").join(known.select("doc_id").distinct(), "doc_id", "left_anti")
-    other = other.where("doc_id is not null").orderBy(order, "doc_id").limit(UNLABELLED).withColumn("quality", F.lit(-1))
-    chosen = positive.union(negative).unionByName(other)
-    rows = documents.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text").mapInArrow(
+
+    def first(rows: DataFrame, limit: int) -> DataFrame:
+        return rows.select("doc_id").distinct().orderBy(order, "doc_id").limit(limit)
+
+    # Trusted negatives only scale the scores; they are in no term of the risk. The unlabelled sample is one of all rows: what is
+    # known of their labels stays hidden, so that it has the distribution which the risk and the prior speak of.
+    kinds = ((known.where("quality = 1"), POSITIVES, 1), (known.where("quality = 0"), POSITIVES, 0), (documents.where("doc_id is not null"), UNLABELLED, -1))
+    samples = [first(rows, limit).withColumn("quality", F.lit(kind)) for rows, limit, kind in kinds]
+    chosen = samples[0].unionByName(samples[1]).unionByName(samples[2])
+    # Of an id with several texts one is read, so what is collected keeps to the limits.
+    texts = documents.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").groupBy("doc_id")
+    texts = texts.agg(F.min_by("text", F.coalesce(F.xxhash64("text"), F.lit(0))).alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text").mapInArrow(
         _feature_rows, "doc_id bigint, quality int, features binary"
     )
     found = rows.collect()
