@@ -7,7 +7,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from tillwork.llm import filter_audit
+from tillwork.llm import filter_audit, tables
 
 COLUMNS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
 
@@ -41,7 +41,7 @@ def frames(spark, documents, labels):
 @pytest.mark.parametrize("share", [1_000, 8, 1])
 def test_audit_as_by_brute_force(spark, documents, labels, monkeypatch, share):
     """Also with most keys joined as frequent ones."""
-    monkeypatch.setattr(filter_audit, "SHARE", share)
+    monkeypatch.setattr(tables, "SHARE", share)
     docs, known = frames(spark, documents, labels)
     found = filter_audit.audit(filter_audit.survivors(filter_audit.mark(docs, known))).collect()
     expected = plain.filter_audit(documents, labels)

@@ -7,7 +7,7 @@ and task travel. All figures of all orders follow from these subset survivors.
 
 Texts are read once: the failure bits and a SHA-256 digest of each text are written as a small table. Whether a text
 is that of a smaller id takes the smallest id per digest, aggregated in the map tasks, and a join on the digest. Keys that hold more
-than one in ``SHARE`` of all rows are at most ``SHARE``, so they are joined by broadcast and the shuffled rest has no hot key.
+than one in ``tables.SHARE`` of all rows are at most as many, so they are joined by broadcast and the shuffled rest has no hot key.
 
 Defined results: a null text is the empty text, and a copy of it; a null or empty language is the part with the empty name; a document
 without an id is no copy, makes no other a copy, and has no label; rows that repeat an id are documents each, and copies of
@@ -30,8 +30,6 @@ from tillwork.llm import tables
 #: Letters of the filters, in the order of the failure bits.
 FILTERS = "ABCDE"
 SUBSETS = 1 << len(FILTERS)
-#: A key with more than one in so many rows is joined by broadcast.
-SHARE = 1_000
 #: Parts that a task adds up before it hands its counts on.
 PARTS = 10_000
 LABELS = ("all", "good", "toxic")
@@ -67,30 +65,18 @@ def failures(documents: DataFrame) -> DataFrame:
     return counted.select("doc_id", "part", "digest", bits.alias("failures"))
 
 
-def join_one(rows: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join with a table of one row per key; neither null nor frequent keys gather in one task."""
-    total = rows.count()
-    often = rows.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") * SHARE > total)
-    often = [row[0] for row in often.select(key).collect()]
-    known, hot = F.col(key).isNotNull(), F.col(key).isin(often) if often else F.lit(False)
-    joined = rows.where(known & ~hot).join(right, key, "left")
-    if often:
-        joined = joined.unionByName(rows.where(known & hot).join(F.broadcast(right.where(hot)), key, "left"))
-    return joined.unionByName(rows.where(~known), allowMissingColumns=True)
-
-
 def mark(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, part, all failure bits, good and toxic of every document."""
     spark = documents.sparkSession
     facts = tables.cut(spark, failures(documents), "filter-failures")
     ids = facts.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    copies = join_one(facts, ids.where("first < last").drop("last"), "digest")
+    copies = tables.join_one(facts, ids.where("first < last").drop("last"), "digest")
     copied = F.when(F.col("doc_id") > F.col("first"), 1 << FILTERS.index("E")).otherwise(0)
     marked = copies.select("doc_id", "part", (F.col("failures") + copied).alias("failures"))
     marked = tables.cut(spark, marked, "filter-marked")
     flags = labels.where("doc_id is not null and (quality = 1 or toxic = 1)").groupBy("doc_id")
     flags = flags.agg(F.max(_is("quality")).alias("good"), F.max(_is("toxic")).alias("toxic"))
-    joined = join_one(marked, flags, "doc_id")
+    joined = tables.join_one(marked, flags, "doc_id")
     return joined.select("doc_id", "part", "failures", *(F.coalesce(name, F.lit(False)).alias(name) for name in LABELS[1:]))
 
 

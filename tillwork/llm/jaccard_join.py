@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import arrays, components, tables
+from tillwork.session import new_folder, scratch
 
 SHINGLE = 5
 SHARD = 1_000
@@ -467,7 +468,7 @@ def class_links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     met = tables.cut(spark, met, "meetings")
     met = met.unionByName(met.select("leader", F.col("leader").alias("member")).distinct())
     counts = met.groupBy("leader").agg(F.count("*").alias("members"))
-    sized = met.join(counts, "leader")
+    sized = tables.join_one(met, tables.cut(spark, counts, "group-sizes"), "leader")
     vectors = distinct.select(F.col("representative").alias("member"), "n", "counts")
     near = (
         sized.where(F.col("members") <= TREE)
@@ -558,12 +559,15 @@ def join(spark: SparkSession, documents: DataFrame) -> DataFrame:
     several = _several_texts(spark, documents)
     named = documents if several is None else _renamed(documents, several)
     distinct = tables.cut(spark, classes(named), "shingle-classes")
-    links = class_links(spark, distinct)
-    if several is not None:
-        of_ids = tables.cut(spark, _classes_of_ids(named, several, distinct), "classes-of-ids")
-        lowest = of_ids.groupBy("doc_id").agg(F.min("representative").alias("b"))
-        links = links.unionByName(of_ids.join(lowest, "doc_id").select(F.col("representative").alias("a"), "b"))
-    found = components.connected(spark, links)
+    of_ids = None if several is None else tables.cut(spark, _classes_of_ids(named, several, distinct), "classes-of-ids")
+    folder = new_folder(spark, "components")
+    with scratch(spark):  # groups and links go when the components are written
+        links = class_links(spark, distinct)
+        if of_ids is not None:
+            lowest = of_ids.groupBy("doc_id").agg(F.min("representative").alias("b"))
+            links = links.unionByName(of_ids.join(lowest, "doc_id").select(F.col("representative").alias("a"), "b"))
+        components.connected(spark, links).write.parquet(folder)
+    found = spark.read.schema("vertex bigint, component bigint").parquet(folder)
     joined = distinct.join(found, F.col("representative") == F.col("vertex"), "left")
     joined = joined.select("c1", "c2", "representative", F.coalesce("component", "representative").alias("component"))
     rows = documents.mapInArrow(_sketch(False), "doc_id bigint, n bigint, c1 bigint, c2 bigint")
