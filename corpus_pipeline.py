@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwork.llm import bpe, decontamination, jaccard_join, language_id, pii, tables
-from tillwork.session import new_folder
+from tillwork.session import new_folder, remove_folder, scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is undetermined or ambiguous go."""
+    """Documents whose language is undetermined or ambiguous go.
+
+    Null and empty texts, and such without a letter, have no language; texts of any length are read whole; equal texts are judged alike;
+    a tie between languages is ambiguous; an empty table stays empty.
+    """
     tables.use_small_batches(spark)
     rows, restore = tables.set_aside(docs, language_id.ADDED)
     judged = language_id.predict(rows, language_id.train(language_id.learning_rows(docs)))
@@ -47,7 +51,11 @@ def _first_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of the benchmark are cut out; documents that mostly consist of them go."""
+    """Passages of the benchmark are cut out; documents that mostly consist of them go.
+
+    Null and empty texts stay as they are, repeated rows are treated alike, texts of any length are read whole, a text of which just half
+    the words are hit stays, and an empty benchmark changes nothing.
+    """
     tables.use_small_batches(spark)
     rows, restore = tables.set_aside(docs, ("decontamination",))
     marked = decontamination.mark(rows, tables.read(spark, sf_dir, "benchmark"))
@@ -55,13 +63,20 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by a mark of its kind."""
+    """Personal data is replaced by a mark of its kind.
+
+    Null and empty texts stay as they are, repeated rows are treated alike, texts of any length are read whole; where finds overlap the
+    one that begins first, then the longer one, gives its mark to both.
+    """
     tables.use_small_batches(spark)
     return tables.with_length(pii.mask(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document and the text they decode to."""
+    """Ids of every document and the text they decode to.
+
+    Null and empty texts have no ids and decode to an empty text, repeated rows stay, texts of any length are encoded whole.
+    """
     tables.use_small_batches(spark)
     encoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), bpe.vocabulary_path())
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "decoded")
@@ -80,10 +95,22 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over ``documents``; each result is written and read again."""
-    docs = tables.read(spark, sf_dir, "documents")
+    """All stages in turn over ``documents``; each result is written and read again.
+
+    What a stage writes for itself goes when its result is written, and the result when its successor's is. Only the last one
+    stays, until the process ends.
+    """
+    docs, before = tables.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = new_folder(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        try:
+            with scratch(spark):
+                stage(spark, docs, sf_dir).write.parquet(folder)
+        except BaseException:
+            remove_folder(spark, folder)
+            raise
+        finally:
+            if before is not None:
+                remove_folder(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return docs
