@@ -21,7 +21,7 @@ from oracle_queries import NEGATIVE, ORACLES, POSITIVE  # noqa: E402
 from tillwork import schemas  # noqa: E402
 from tillwork.functions.names import clean_names, trim_names  # noqa: E402
 from tillwork.functions.text import lexicon_score  # noqa: E402
-from tillwork.operators import nesting, quality  # noqa: E402
+from tillwork.operators import clustering, nesting, quality  # noqa: E402
 from tillwork.plans import customers, gold, nightly, orders, reports, silver  # noqa: E402
 from tillwork.plans.driver_tables import DriverTables  # noqa: E402
 from tillwork.session import new_folder, remove_folder, use_scale_settings  # noqa: E402
@@ -289,6 +289,24 @@ def _changed_partitions(t: DriverTables) -> DataFrame:
     return _settled(t, database, result)
 
 
+def _clustered_orders(t: DriverTables) -> DataFrame:
+    """Orders and lines clustered by order, a third of the lines in one order; sales per month out of them."""
+    database = _new_database(t)
+    order = F.when(F.col("product_id") % 3 == 0, F.lit(1)).otherwise(F.col("order_id"))
+    items = t.order_items.withColumn("order_id", order)
+    hot = clustering.hot_keys(items, "order_id")
+    sales, lines = f"{database}.sales", f"{database}.lines"
+    clustering.write_clustered(t.orders, sales, "order_id", hot, 16)
+    clustering.write_clustered(items, lines, "order_id", hot, 16)
+    metrics = gold.clustered_monthly_metrics(
+        clustering.read_clustered(t.spark, lines), clustering.read_clustered(t.spark, sales)
+    )
+    result = metrics.groupBy("order_month").agg(
+        *[F.sum(name).alias(name) for name in ("total_orders", "total_quantity", "total_sales")]
+    )
+    return _settled(t, database, result)
+
+
 # What to sum in each table of the nightly run; money in cents.
 _NIGHTLY_FIGURES = {
     "BRONZE_CUSTOMERS": "length(address)",
@@ -467,6 +485,7 @@ _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "csv_export_roundtrip": _csv_roundtrip,
     "table_write_modes": _table_write_modes,
     "changed_partitions": _changed_partitions,
+    "clustered_orders": _clustered_orders,
     "expectation_results": _expectation_results,
     "validation_record": _validation_record,
     "validation_sample": _validation_sample,

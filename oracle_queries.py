@@ -421,6 +421,11 @@ _BODIES = {
         UNION ALL SELECT 'written', 'replace', count(*), NULL FROM ord
         UNION ALL SELECT 'written', 'append', 2 * count(*), NULL FROM ord
         UNION ALL SELECT 'written', 'many', (SELECT count(*) FROM months) + (SELECT count(*) FROM payment_months), NULL""",
+    "clustered_orders": """
+        SELECT CAST(date_trunc('month', order_date) AS TIMESTAMP) AS order_month, count(i.order_id) AS total_orders,
+               CAST(sum(quantity) AS BIGINT) AS total_quantity, CAST(sum(unit_price * quantity) AS DOUBLE) AS total_sales
+        FROM (SELECT CASE WHEN product_id % 3 = 0 THEN 1 ELSE order_id END AS order_id, product_id, quantity, unit_price FROM item) i
+        LEFT JOIN ord ON i.order_id = ord.order_id GROUP BY 1""",
     "changed_partitions": """
         SELECT status, status = 'F' AS written, count(*) AS n,
                CAST(sum(total_amount + CASE WHEN status = 'F' THEN 1 ELSE 0 END) AS DOUBLE) AS amount FROM ord GROUP BY status""",

@@ -1,0 +1,86 @@
+"""Facts clustered by order: joins without a shuffle of the lines, and hot orders that are split."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwork.operators import clustering
+from tillwork.plans import gold, orders
+from tillwork.sinks.tables import current_version, drop_table
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture
+def facts(spark):
+    """Two clustered tables: orders 1 to 400, order 7 with a third of the lines; some lines and orders without a key or a match."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 97 == 0, F.lit(None)).otherwise(F.col("id") % 450)
+    items = spark.range(0, 6_000, 1, 6).select(
+        hot.alias("order_id"), (F.col("id") % 11).alias("product_id"), (F.col("id") % 5).cast("int").alias("quantity"),
+        (F.col("id") % 100).cast("decimal(12,2)").alias("unit_price"),
+    )
+    sales = spark.range(1, 401).select(
+        F.when(F.col("id") % 101 == 0, F.lit(None)).otherwise(F.col("id")).alias("order_id"), (F.col("id") % 20).alias("customer_id"),
+        F.expr("timestampadd(DAY, id, timestamp_ntz'2024-01-01 00:00:00')").alias("order_date"),
+    )
+    keys = clustering.hot_keys(items, "order_id", 100)
+    assert keys == [7]
+    rows = clustering.write_clustered(sales, "clustered_sales", "order_id", keys, 4), clustering.write_clustered(items, "clustered_lines", "order_id", keys, 4)
+    assert rows == (400, 6_000)
+    yield sales, items, clustering.read_clustered(spark, "clustered_sales"), clustering.read_clustered(spark, "clustered_lines")
+    for name in ("clustered_sales", "clustered_lines", "clustered_sales_hot", "clustered_lines_hot"):
+        drop_table(spark, name)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = {name: spark.conf.get(name, None) for name in NO_BROADCAST}
+    for name, value in NO_BROADCAST.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def others(spark):
+    products = spark.range(9).select(F.col("id").alias("product_id"), F.concat(F.lit("p"), "id").alias("product_name"), (F.col("id") % 3).cast("string").alias("category"))
+    people = spark.range(15).select(F.col("id").alias("customer_id"), F.concat(F.lit("a, s"), F.col("id") % 4).alias("address"))
+    return products, people
+
+
+def test_the_same_rows_as_without_clusters(spark, rows, facts):
+    sales, items, clustered_sales, clustered_items = facts
+    assert rows(gold.clustered_monthly_metrics(clustered_items, clustered_sales)) == rows(gold.monthly_metrics(items, sales))
+    products, people = others(spark)
+    assert rows(orders.clustered_state_category(clustered_sales, clustered_items, products, people)) == rows(orders.state_category(sales, items, products, people))
+    found = orders.clustered_order_details(clustered_sales, clustered_items, products, people)
+    expected = orders.order_details(sales, items, products, people)
+    assert rows(found, *expected.columns) == rows(expected) and clustered_sales.hot.count() == 1 + 3
+
+
+def test_lines_are_not_shuffled_for_the_join(spark, facts, no_broadcast):
+    *_, clustered_sales, clustered_items = facts
+    joined = gold._dated_lines(clustered_items.cold, clustered_sales.cold)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    grouped = clustered_items.cold.groupBy("order_id", "product_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in grouped
+
+
+def test_hot_lines_lie_in_a_table_that_is_split(spark, facts):
+    _, items, clustered_sales, clustered_items = facts
+    assert clustered_items.hot.where("order_id = 7").count() == items.where("order_id = 7").count() > 2_000 and clustered_items.cold.where("order_id = 7 or order_id is null").isEmpty()
+    details = {row[0]: row[1] for row in spark.sql(f"DESCRIBE EXTENDED {current_version(spark, 'clustered_lines_hot')}").collect()}
+    assert "Num Buckets" not in details
+    # The few orders of the hot part are sent to its lines.
+    plan = gold._dated_lines(clustered_items.hot, clustered_sales.hot)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_no_hot_key(spark, rows):
+    df = spark.range(300).select("id", (F.col("id") % 100).alias("order_id"))
+    assert clustering.hot_keys(df, "order_id", 10) == []
+    assert clustering.write_clustered(df, "even", "order_id", [], 3) == 300
+    read = clustering.read_clustered(spark, "even")
+    assert rows(clustering.per_part(lambda one: one, read)) == rows(df) and read.hot.isEmpty()
+    for name in ("even", "even_hot"):
+        drop_table(spark, name)

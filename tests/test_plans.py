@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables
 
 WRITING = {
     "reviews_json_roundtrip", "preferences_xml_roundtrip", "specs_xml_roundtrip", "csv_export_roundtrip",
-    "table_write_modes", "nightly_tables",
+    "table_write_modes", "nightly_tables", "reviews_json_split", "preferences_xml_split", "changed_partitions", "clustered_orders",
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.measures import ratio, with_copies
 from tillwork.functions.text import Scorer, with_state
+from tillwork.operators.clustering import Clustered, per_part
 from tillwork.operators.joins import join_suffix, left_join_many, small_enough
 from tillwork.operators.ranking import top_n, top_ranked
 
@@ -30,6 +31,19 @@ def order_details(
     return _described(lines, products, customers, extractor)
 
 
+def clustered_order_details(
+    orders: Clustered,
+    order_items: Clustered,
+    products: DataFrame,
+    customers: DataFrame,
+    extractor: Scorer | None = None,
+) -> DataFrame:
+    """``order_details`` of tables that lie clustered by order: lines and orders meet without a shuffle."""
+    cold = join_suffix(orders.cold, order_items.cold, "order_id", "left", "_order_items")
+    hot = left_join_many(orders.hot, order_items.hot, "order_id", "_order_items")
+    return _described(cold.unionByName(hot), products, customers, extractor)
+
+
 def _described(lines: DataFrame, products: DataFrame, customers: DataFrame, extractor: Scorer | None) -> DataFrame:
     """Lines with product, customer, state and line total."""
     lines = join_suffix(lines, products, "product_id", "left", "_products")
@@ -129,6 +143,26 @@ def state_category(
     Lines are reduced to one row per order and category before they meet the orders, and only the
     state, not the customer, travels with an order.
     """
+    return _per_state(_placed_lines(orders, order_items, products, customers, extractor))
+
+
+def clustered_state_category(
+    orders: Clustered,
+    order_items: Clustered,
+    products: DataFrame,
+    customers: DataFrame,
+    extractor: Scorer | None = None,
+) -> DataFrame:
+    """``state_category`` of tables that lie clustered by order; no order is in both parts."""
+    return _per_state(
+        per_part(lambda sales, items: _placed_lines(sales, items, products, customers, extractor), orders, order_items)
+    )
+
+
+def _placed_lines(
+    orders: DataFrame, order_items: DataFrame, products: DataFrame, customers: DataFrame, extractor: Scorer | None
+) -> DataFrame:
+    """One row per order and category, with the order's state."""
     labels = products.select("product_id", "category")
     lines = order_items.select("order_id", "product_id", "quantity", "unit_price")
     per_order = (
@@ -143,9 +177,12 @@ def state_category(
     placed = orders.select("order_id", "customer_id").join(
         states.select("customer_id", "state"), "customer_id", "left"
     )
+    return placed.join(per_order, "order_id", "left")
+
+
+def _per_state(lines: DataFrame) -> DataFrame:
     return (
-        placed.join(per_order, "order_id", "left")
-        .groupBy("state", "category")
+        lines.groupBy("state", "category")
         .agg(
             F.count_distinct("order_id").alias("order_count"),
             F.sum("_quantity").alias("total_quantity"),

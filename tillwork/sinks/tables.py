@@ -151,8 +151,16 @@ def _commit(spark: SparkSession, name: str, wait_seconds: float | None = None) -
 class Replacement:
     """A new version of ``name``: written, then shown or abandoned."""
 
-    def __init__(self, spark: SparkSession, name: str, partition_by: Sequence[str] = (), external: bool = False):
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        partition_by: Sequence[str] = (),
+        external: bool = False,
+        cluster_by: tuple[str, int] | None = None,
+    ):
         self.spark, self.name, self.partition_by, self.external = spark, name, partition_by, external
+        self.cluster_by = cluster_by
         self.version = _fresh_version(name)
         self.rows: int | None = None
         #: Partitions with what tells whether they have changed, ``@`` and the version that holds their files.
@@ -161,9 +169,13 @@ class Replacement:
     def write(self, df: DataFrame) -> None:
         written = Observation()
         rows = df.hint("rebalance", *self.partition_by) if self.partition_by else df
+        if self.cluster_by is not None:
+            rows = df.repartition(self.cluster_by[1], self.cluster_by[0])  # one file per bucket
         writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
+        if self.cluster_by is not None:
+            writer = writer.bucketBy(self.cluster_by[1], self.cluster_by[0]).sortBy(self.cluster_by[0])
         if self.external:
             database, _, table = self.version.rpartition(".")
             home = self.spark.catalog.getDatabase(database or self.spark.catalog.currentDatabase()).locationUri
@@ -235,6 +247,7 @@ def overwrite_table(
     verify: Callable[[], None] | None = None,
     replacing: str | None = None,
     note: Mapping[str, str] | None = None,
+    cluster_by: tuple[str, int] | None = None,
 ) -> int:
     """Replace rows and schema of ``name`` and return the number of rows that were written.
 
@@ -244,9 +257,10 @@ def overwrite_table(
     lease is over. ``partition_by`` lays the rows out by these columns; large groups are split over several files. ``verify`` is
     called between both steps and may refuse by raising. Of several writers the last to commit wins; one that has
     computed its rows from the present version can name it as ``replacing`` and gets a ``Conflict`` if another was faster.
-    ``note`` is kept with the version that is shown, in the same step; ``note_of`` reads it.
+    ``note`` is kept with the version that is shown, in the same step; ``note_of`` reads it. ``cluster_by`` is a column and a number
+    of buckets: joins and groupings on the column need no shuffle of this table, but rows of one value lie in one bucket.
     """
-    replacement = Replacement(df.sparkSession, name, partition_by)
+    replacement = Replacement(df.sparkSession, name, partition_by, cluster_by=cluster_by)
     try:
         replacement.write(df)
         if verify is not None:
