@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 
 import numpy as np
@@ -41,6 +42,43 @@ def test_codewords_differ(count):
         assert (np.abs(codes.sum(0)) < count).all()  # every bit separates some languages
 
 
+def _plain_language(model, text):
+    """Bit by bit and language by language, trigram by trigram."""
+    raw = "".join(one.lower() if "A" <= one <= "Z" else one for one in text).encode()
+    grams = [int.from_bytes(raw[k : k + 3], "little") * 0x9E3779B1 % 2**32 >> 32 - language_id.BUCKET_BITS for k in range(len(raw) - 2)]
+    bits = [float(weights[grams].astype(float).sum()) / max(len(grams), 1) * min(len(grams), language_id._EVIDENCE) + bias for weights, bias in zip(model.weights, model.bias)]
+    losses = [sum(trust * math.log1p(math.exp(-code * bit)) for code, bit, trust in zip(codes, bits, model.trust)) for codes in model.codes.tolist()]
+    odds = [math.exp(min(losses) - one) for one in losses]
+    ordered = sorted(odds, reverse=True)
+    return model.languages[odds.index(max(odds))], max(odds) / sum(odds), (ordered[0] - ordered[1]) / sum(odds)
+
+
+@pytest.mark.parametrize("count", [2, 3, 6])
+def test_decoding_as_by_brute_force(spark, prose, count):
+    """Random classifiers, so that texts come near to several codewords."""
+    rng = np.random.default_rng(count)
+    codes = language_id.codewords(count)
+    size = codes.shape[1]
+    model = language_id.Model(
+        [f"l{k}" for k in range(count)], codes, rng.normal(0, 0.5, (size, 1 << language_id.BUCKET_BITS)).astype(np.float32), rng.normal(0, 1, size), rng.dirichlet(np.ones(size))
+    )
+    texts = [prose(k, 1 + k % 40) for k in range(60)] + ["É é", "x", "ab", "ABC abc", "word " * 3_000, "中文 a"]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {row["doc_id"]: row for row in language_id.predict(documents, model).collect()}
+    for k, text in enumerate(texts):
+        name, score, lead = _plain_language(model, text)
+        assert found[k]["lang_pred"] == name and abs(found[k]["score"] - score) < 1e-6
+        if abs(lead - language_id.AMBIGUOUS_MARGIN) > 1e-6:
+            assert found[k]["ambiguous"] == (lead < language_id.AMBIGUOUS_MARGIN)
+    assert len({row["lang_pred"] for row in found.values()}) > 1
+
+
+def test_equally_near_codewords_go_to_the_first_name(spark):
+    model = language_id.Model(["aa", "bb"], language_id.codewords(2), np.zeros((1, 1 << language_id.BUCKET_BITS), np.float32), np.zeros(1), np.ones(1))
+    row = language_id.predict(spark.createDataFrame([(1, "some text")], "doc_id long, text string"), model).first()
+    assert (row["lang_pred"], row["score"], row["ambiguous"]) == ("aa", 0.5, True)
+
+
 def test_languages_without_letters_and_without_training(spark):
     documents = spark.createDataFrame(
         [(1, "ab cd", "xx"), (2, "12 34 !!", "xx"), (3, "", "xx"), (4, None, "xx"), (5, "é", "xx"), (6, "中", None)], "doc_id long, text string, lang string"
