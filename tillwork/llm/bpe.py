@@ -10,7 +10,8 @@ that happens are encoded again one by one.
 The file may name the special tokens' strings in a text; those become their ids. Decoding joins the tokens of the
 ids with one space, as the file names no decoder. Encoded words are kept within a task, about ``CACHE`` of them.
 
-Defined results: null is the empty text and gives no token; repeated rows are encoded one by one; an empty table
+Defined results: null is the empty text and gives no token; texts of any length are encoded whole; of equal pairs in a word
+the first is merged first; repeated rows are encoded one by one; an empty table
 gives no rows; other columns are carried, but for those that bear the name of an added one.
 """
 

@@ -8,7 +8,8 @@ Benchmark sets beyond ``BLOCK_BYTES`` are scanned in several blocks, each broadc
 the documents, so what is broadcast never grows. There is no shuffle.
 
 Defined results: a null or empty text has no words and no hits; a null or empty benchmark text gives no
-window; an item without an id marks words but is not listed; repeated rows are judged one by one; an
+window; an item without an id marks words but is not listed; items that share a window are all
+listed; texts of any length are read whole; repeated rows are judged one by one; an
 empty benchmark leaves every document clean; further columns of the documents are
 carried, but for one named ``decontamination``.
 """

@@ -12,7 +12,7 @@ the second time with these two tags read as plain divisions, so that pages witho
 evidence. Training reads at most ``PAGES`` pages, the first in order of a hash of the id; counts are added by Spark.
 
 Defined results: null and empty pages and pages without content give an empty text; unclosed, stray and truncated tags
-end where a browser would end them or at the page's end, a head at the first tag or text that cannot stand in it; repeated rows are extracted one by one; an empty table gives no
+end where a browser would end them or at the page's end, a head at the first tag or text that cannot stand in it; pages of any length are read whole; a block whose two labels are equally likely is kept; repeated rows are extracted one by one; an empty table gives no
 rows; other columns are carried.
 """
 

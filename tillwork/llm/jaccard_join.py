@@ -21,7 +21,7 @@ with fewer words, the whole sequence). Two documents link when ``100 * intersect
 
 Defined results: a null or text without words has an empty set, links with nothing and is its own component;
 a null id gets a null component; repeated rows are one document, and an id with differing texts is one that links with whatever any
-of them links with; an empty table gives no rows; other columns
+of them links with; texts of any length are read whole; components are named by their smallest id, so there are no ties; an empty table gives no rows; other columns
 are ignored.
 """
 

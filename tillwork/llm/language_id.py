@@ -9,7 +9,8 @@ decoded probability; texts whose two best codewords are close are flagged as amb
 Training reads about ``PER_LANGUAGE`` labelled texts of each language, chosen by a hash of the id. Prediction reads whole texts. The model's size depends on the languages only and travels in the tasks.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0; without any training row so is every
-text; texts too short for a trigram are decoded from the language frequencies; repeated rows are judged one by
+text; texts too short for a trigram are decoded from the language frequencies; texts of any length are read whole; of equally near codewords the
+first language by name is taken, and the text is ambiguous; repeated rows are judged one by
 one; an empty table gives no rows; other columns are carried, but for those
 that bear the name of an added one.
 """

@@ -11,7 +11,8 @@ words such as "us" or "look", nor before "www.". Eight or nine spelled digits th
 
 A text without any disguise is not rewritten. All work is per row in one pass, without a shuffle.
 
-Defined results: null is the empty text and has no spans; spans are code points, end exclusive; repeated rows are judged
+Defined results: null is the empty text and has no spans; texts of any length, and numbers of any length in them, are read whole;
+spans are code points, end exclusive; where kinds overlap each is listed, and of one kind the leftmost; repeated rows are judged
 one by one; an empty table gives no rows; other columns are carried, but for those that bear the name of
 an added one.
 """

@@ -9,7 +9,8 @@ Repeated eight-word windows are found within the row, by a 64-bit hash of each w
 are sorted. There is no shuffle.
 
 Defined results: null and empty texts have no words and zero everywhere, so they fail the rule on few words; repeated
-rows are judged one by one; an empty table gives an empty ledger and an ablation without rows; other columns are carried,
+rows are judged one by one; texts of any length are measured whole; there are no ties, a document on a
+limit does not fail; an empty table gives an empty ledger and an ablation without rows; other columns are carried,
 but for those that bear the name of an added one.
 """
 
