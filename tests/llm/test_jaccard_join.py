@@ -6,7 +6,7 @@ import numpy as np
 import plain
 import pytest
 
-from tillwork.llm import components, jaccard_join
+from tillwork.llm import components, jaccard_join, tables
 
 
 def result(df):
@@ -57,6 +57,46 @@ def test_an_id_with_differing_texts_links_with_whatever_they_link_with(spark, pr
     assert sizes == sorted((doc_id, len(plain.shingles(text))) for doc_id, text in documents)
 
 
+def test_members_with_a_partner_as_by_all_pairs():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        count = rng.integers(1, 30)
+        token = np.sort(rng.integers(0, 4, count).astype(np.uint64))
+        size = rng.integers(1, 40, count)
+        order = np.lexsort((size, token))
+        token, size = token[order], size[order].astype(np.int64)
+        left = size - rng.integers(0, np.maximum(size // 4, 1))
+        found = jaccard_join._partnered(token, size, left)
+        for a in range(count):
+            pairs = [
+                b for b in range(count)
+                if a != b and token[a] == token[b] and 180 * min(left[a], left[b]) >= 80 * (size[a] + size[b])
+            ]
+            assert found[a] == bool(pairs)
+
+
+@pytest.mark.parametrize("listed", [65_536, 0])
+def test_a_shared_passage_brings_nobody_together(spark, prose, monkeypatch, listed):
+    """A passage of 85 % of each document: where its shingles are listed as frequent, no text travels; the result is the same without."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", max(listed, 1))
+    written, cut = {}, tables.cut
+
+    def noting(session, df, label):
+        found = cut(session, df, label)
+        written[label] = found.count()
+        return found
+
+    monkeypatch.setattr(tables, "cut", noting)
+    passage = prose(1, 60)
+    count = 3_000 if listed else 300
+    documents = [(k, f"{passage} " + " ".join(f"u{k}x{j}" for j in range(10))) for k in range(count)]
+    documents += [(5_000 + k, prose(50, 60) + f" tail{k}") for k in range(20)]
+    found = result(jaccard_join.join(spark, spark.createDataFrame(documents, "doc_id long, text string")))
+    assert all(found[k][1] == k for k in range(count)) and all(found[5_000 + k][1] == 5_000 for k in range(20))
+    if listed:
+        assert written["meetings"] == 19 and written["near"] == 20
+
+
 @pytest.mark.parametrize(("shard", "tree"), [(1_000, 10_000), (4, 10_000), (4, 10)])
 def test_large_groups_are_cut_without_losing_links(spark, prose, monkeypatch, shard, tree):
     monkeypatch.setattr(jaccard_join, "SHARD", shard)

@@ -7,7 +7,9 @@ with fewer words, the whole sequence). Two documents link when ``100 * intersect
    once per task.
 2. Blocks: linked sets must share one of the first ``n - ceil(0.8 n) + 1`` shingles of any common order. The
    order is by mixed hash, with a bounded list of frequent shingles last, so common passages rarely open a
-   block. The list decides only where work is done, never a result. In a block, sizes that differ
+   block. The list decides only where work is done, never a result. Two sets whose first common shingle this is share at most what
+   follows it in either, so members whose place in the order leaves too little for any other member leave the block; a passage that is
+   not enough of its documents brings none of them together. In a block, sizes that differ
    too much part it; the rest gets a leader, the smallest id, and every member meets that leader.
    Blocks with the same leader form one group: whoever shares a shingle also shares a group.
 3. In a group: shingles are hashed into counters, the counters are points of an R-tree, and the sum of the
@@ -254,12 +256,14 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(frequent: np.ndarray, parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The first shingles of each set, packed per part of the hash space."""
+    """The first shingles of each set with the number of shingles from there on, packed per part of the hash space."""
 
     def packed(tokens: list[np.ndarray], ids: list[int], sizes: list[int]) -> pa.RecordBatch:
         token = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
         lengths = [len(one) for one in tokens]
         row, size = np.repeat(np.array(ids, np.int64), lengths), np.repeat(np.array(sizes, np.int32), lengths)
+        places = [np.arange(one, dtype=np.int32) for one in lengths]
+        left = size - (np.concatenate(places) if places else np.zeros(0, np.int32))
         part = (token % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         found, cuts = np.unique(part[order], return_index=True)
@@ -267,8 +271,8 @@ def _prefixes(frequent: np.ndarray, parts: int) -> Callable[[Iterator[pa.RecordB
         pieces = [order[a:b] for a, b in zip(cuts.tolist(), ends)]
         return pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32))]
-            + [pa.array([x[p].tobytes() for p in pieces], pa.binary()) for x in (token, row, size)],
-            ["part", "tokens", "ids", "sizes"],
+            + [pa.array([x[p].tobytes() for p in pieces], pa.binary()) for x in (token, row, size, left)],
+            ["part", "tokens", "ids", "sizes", "lefts"],
         )
 
     def prefix(one: np.ndarray) -> np.ndarray:
@@ -296,20 +300,44 @@ def _prefixes(frequent: np.ndarray, parts: int) -> Callable[[Iterator[pa.RecordB
     return run
 
 
+def _partnered(token: np.ndarray, size: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Which rows of blocks, sorted by token and size, may link with another row of their block.
+
+    If a block's shingle is the first that two sets share, they share at most what either has left from there on. So a row may link
+    with sizes up to ``180 left / 80 - size`` only, and needs a row of such a size that may link with its own.
+    """
+    block = np.cumsum(np.concatenate(([True], token[1:] != token[:-1])).astype(np.int64)) - 1
+    reach = 180 * left // 80 - size
+    wide = int(max(size.max(), reach.max())) + 2
+    ordered = block * wide + size
+    last = np.searchsorted(ordered, block * wide + np.clip(reach, 0, wide - 1), "right") - 1
+    # The two farthest reaches among the rows of the block up to each place.
+    far = block * wide + np.maximum(reach, 0)
+    first = np.maximum.accumulate(far)
+    second = np.concatenate((far[:1] * 0 - 1, np.maximum.accumulate(np.minimum(far[1:], first[:-1]))))
+    own = (far == first[last]) & (np.arange(len(far)) <= last)
+    best = np.where(own, second[last], first[last])
+    return (last >= 0) & (best >= ordered)
+
+
 def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(leader, member) for every block of one or more parts of the hash space."""
-    held: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
+    held: dict[int, list[tuple[bytes, ...]]] = {}
     for batch in batches:
         for part, *arrived in zip(*(column.to_pylist() for column in batch.columns)):
             held.setdefault(part, []).append(tuple(arrived))
     for part in sorted(held):
-        token, row, size = (
+        token, row, size, left = (
             np.concatenate([np.frombuffer(piece[k], kind) for piece in held[part]])
-            for k, kind in enumerate((np.uint64, np.int64, np.int32))
+            for k, kind in enumerate((np.uint64, np.int64, np.int32, np.int32))
         )
         held[part] = []
         order = np.lexsort((size, token))
-        token, row, size = token[order], row[order], size[order].astype(np.int64)
+        token, row, size, left = token[order], row[order], size[order].astype(np.int64), left[order].astype(np.int64)
+        for _ in range(2):  # whoever leaves may have been the only partner of another
+            if len(token):
+                kept = _partnered(token, size, left)
+                token, row, size, left = token[kept], row[kept], size[kept], left[kept]
         begins = np.ones(len(token), bool)
         begins[1:] = (token[1:] != token[:-1]) | (100 * size[:-1] < 80 * size[1:])
         cuts = np.flatnonzero(begins)
@@ -460,7 +488,7 @@ def class_links(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     )
     common = np.sort(np.array([row["shingle"] for row in frequent], np.int64).view(np.uint64))
     met = (
-        texts.mapInArrow(_prefixes(common, 8 * parts), "part int, tokens binary, ids binary, sizes binary")
+        texts.mapInArrow(_prefixes(common, 8 * parts), "part int, tokens binary, ids binary, sizes binary, lefts binary")
         .repartition(parts, "part")
         .mapInArrow(_meetings, "leader bigint, member bigint")
         .distinct()
