@@ -134,9 +134,9 @@ def test_csv_export_writes_every_row(spark, tmp_path):
 
 
 def _orders_of_two():
-    """Every way to mix begin, write and commit of two writers."""
-    for places in itertools.combinations(range(6), 3):
-        yield [0 if k in places else 1 for k in range(6)]
+    """Every way to mix begin, write and commit of two writers; which of them begins first makes no difference."""
+    for places in itertools.combinations(range(1, 6), 2):
+        yield [0 if k in (0, *places) else 1 for k in range(6)]
 
 
 def test_two_writers_in_every_order_of_their_steps(spark, rows):
