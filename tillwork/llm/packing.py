@@ -179,19 +179,17 @@ class Sequences:
         return number, self.capacity - gap
 
     def choose(self, size: int) -> int:
-        """The gap to fill; ``capacity`` stands for a new sequence.
+        """The gap to fill; ``capacity`` stands for a new sequence, where no open one has room.
 
         From gap g to g - size the sum changes by 2 (N(g - size) - N(g)) + 2, by 1 less where nothing stays open.
         """
-        if size == self.capacity:
-            return size
         here = self.count[size:]
+        if not here.any():
+            return self.capacity
         change = 2 * (self.count[: self.capacity - size] - here) + 2
         change[0] -= 1
         change[here == 0] = np.iinfo(np.int64).max
-        best = int(np.argmin(change))
-        new = 2 * int(self.count[self.capacity - size]) + 1
-        return size + best if change[best] <= new else self.capacity
+        return size + int(np.argmin(change))
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
