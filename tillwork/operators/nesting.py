@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes of copies of one child that are hashed at once.
+_BLOCK = 1 << 20
+
 
 def nest_children(children: DataFrame, key: str, fields: Mapping[str, str], out: str) -> DataFrame:
     """``key, out``: one sorted array of structs per key that holds every child row.
@@ -34,3 +39,49 @@ def child_digests(children: DataFrame, key: str, fields: Sequence[str], out: str
     hashed = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     keyed = children.where(F.col(key).isNotNull())
     return keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(hashed).alias(out))
+
+
+def array_digests(children: DataFrame, key: str, fields: Sequence[str], out: str) -> DataFrame:
+    """``key, n, out``: per key the size of the array that ``nest_children`` builds, and the SHA-256 of its text.
+
+    The text is that of all elements in order, ``first=second``, joined by ``|``; elements with a null have none, and a key without any
+    text has a null digest. The array itself is never built: children are counted before they travel, and the task of a key sorts them on disk
+    if need be and reads them once, a batch at a time, so its memory does not grow with the key. A digest of ordered
+    text is one pass of one task by definition.
+    """
+    keyed = children.where(F.col(key).isNotNull())
+    tallies = keyed.groupBy(key, *fields).agg(F.count(F.lit(1)).alias("_copies"))
+    text = F.concat(*[part for name in fields for part in (F.lit("="), F.col(name))][1:])
+    ordered = tallies.repartition(key).sortWithinPartitions(key, *fields).select(key, text.alias("_text"), "_copies")
+    kind = children.schema[key].dataType.simpleString()
+    return ordered.mapInArrow(_digests_in_order, f"`{key}` {kind}, n bigint, `{out}` string")
+
+
+def _digests_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    current = digest = None
+    count = 0
+
+    def row(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = None if digest is None else digest.hexdigest()
+        columns = [pa.array([current], batch.schema.field(0).type), pa.array([count], pa.int64()), pa.array([found], pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    names, batch = ["key", "n", "out"], None
+    for batch in batches:
+        for key, text, copies in zip(*(column.to_pylist() for column in batch.columns)):
+            if key != current:
+                if current is not None:
+                    yield row(batch)
+                current, digest, count = key, None, 0
+            count += copies
+            if text is None:
+                continue
+            one, left = b"|" + text.encode(), copies
+            if digest is None:
+                digest, left = hashlib.sha256(one[1:]), left - 1
+            at_once = max(_BLOCK // len(one), 1)
+            while left:
+                digest.update(one * min(left, at_once))
+                left -= min(left, at_once)
+    if current is not None:
+        yield row(batch)
