@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from tillwork.operators.joins import left_join_many
 from tillwork.plans import customers
+from tillwork.session import PARTITION_BYTES, use_scale_settings
 
 FOLDER = os.environ.get("TILLWORK_TEST_DATA", "/root/testdata/sf0.001")
 
@@ -126,3 +127,17 @@ def test_a_hot_right_key_is_split(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_shuffle_partitions_grow_with_the_input(spark, tmp_path):
+    """A task after a shuffle gets no more of a larger input; few configured partitions are no limit."""
+    (tmp_path / "documents.parquet").write_bytes(bytes(5 * PARTITION_BYTES + 1))
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        use_scale_settings(spark, str(tmp_path))
+        assert spark.conf.get(name) == "6"
+        plan = spark.range(9).groupBy(F.col("id") % 5).count()._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(.*, 6\)", plan)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    finally:
+        spark.conf.unset(name)
