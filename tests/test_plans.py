@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from tillwork.operators.joins import left_join_many
 from tillwork.plans import customers
+from tillwork.plans.driver_tables import DriverTables
 from tillwork.session import PARTITION_BYTES, use_scale_settings
 
 FOLDER = os.environ.get("TILLWORK_TEST_DATA", "/root/testdata/sf0.001")
@@ -141,3 +142,11 @@ def test_shuffle_partitions_grow_with_the_input(spark, tmp_path):
         assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     finally:
         spark.conf.unset(name)
+
+
+def test_source_files_of_the_nightly_run_lie_compressed(spark):
+    """They are read once, a file per task, and raw JSON was the largest thing that the run wrote."""
+    t = DriverTables(spark, FOLDER)
+    for path in (registry._reviews_json(t), registry._preferences_xml(t, "gzip"), registry._specifications_xml(t, "gzip")):
+        files = [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("part-")]
+        assert files and all(name.endswith(".gz") for name in files)
